@@ -2,7 +2,7 @@
 
 from importlib import import_module
 
-MODULES = ("matching", "history", "shapes", "scalars")
+MODULES = ("matching", "history", "shapes", "scalars", "pages", "jobs")
 
 
 def _registered(kind):

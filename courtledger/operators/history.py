@@ -2,7 +2,8 @@
 
 A batch may hold any number of days. It is first reduced to one row per member and day, so that
 everything ordered by day works on groups no longer than the calendar, whatever the row counts.
-State goes in and out as whole frames: old spells and a batch give new spells.
+State goes in and out as whole frames: old spells and a batch give new spells. The reduced batch is
+used several times; `store`, if given, keeps it from being computed anew each time.
 """
 
 from typing import NamedTuple
@@ -50,14 +51,15 @@ def scd2_build(history: DataFrame, key, attr, day, start, end, order=None) -> Da
     return found.select(key, attr, F.col("_from").alias(start), day_before("_next").alias(end))
 
 
-def scd2_apply(spells: DataFrame, batch: DataFrame, key, attr, day, start, end, order=None) -> SpellChange:
+def scd2_apply(spells: DataFrame, batch: DataFrame, key, attr, day, start, end, order=None,
+               store=lambda df: df) -> SpellChange:
     """Carry a batch of days into existing spells.
 
     A member whose open spells all differ from the first value of the batch gets them closed the day
     before and a new one opened; an equal open spell goes on until the value changes within the
     batch. Several stale open spells are all closed, and one is opened.
     """
-    found = runs(day_state(batch, key, attr, day, order), key, attr, day)
+    found = store(runs(day_state(batch, key, attr, day, order), key, attr, day))
     return _apply(spells, found, key, start, end,
                   goes_on=lambda spell, run: spell[attr].eqNullSafe(run[attr]),
                   opens=F.lit(True), columns={attr: F.col(attr)})
@@ -70,11 +72,11 @@ def event_spells_build(rows: DataFrame, key, flag, day, start, end) -> DataFrame
 
 
 def event_spells_apply(spells: DataFrame, batch: DataFrame, key, flag, day, start, end,
-                       constants=None) -> SpellChange:
+                       constants=None, store=lambda df: df) -> SpellChange:
     """Open a spell on the first flagged day of a member without one; close all its open spells, of
     whatever kind, the day before its first day without the flag. Members not in the batch keep theirs.
     """
-    found = runs(day_state(batch, key, flag, day), key, flag, day)
+    found = store(runs(day_state(batch, key, flag, day), key, flag, day))
     return _apply(spells, found, key, start, end,
                   goes_on=lambda spell, run: run[flag],
                   opens=F.col(flag), columns={c: F.lit(v) for c, v in (constants or {}).items()})

@@ -12,9 +12,9 @@ _ROW_BITS = 33
 def allocate_ids(df: DataFrame, id_col, order, after=0) -> DataFrame:
     """Dense ids after+1, after+2, ... in the given order, which has to be total.
 
-    Rows are range-partitioned and sorted once and stored by a checkpoint, so that the counts and
-    the rows they number come from the same partitions even if tasks are repeated. Only the counts,
-    one row per partition, are summed up in a single task.
+    Rows are range-partitioned and sorted once and stored with their place, so that the counts and
+    the rows they number agree even if tasks are repeated. Only the counts, one row per partition,
+    are summed up in a single task.
     """
     columns = df.columns
     placed = cut_lineage(df.repartitionByRange(*order).sortWithinPartitions(*order)

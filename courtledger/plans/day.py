@@ -67,8 +67,8 @@ def process_days(inputs: dict, state: dict, season=fv.DEFAULT_SEASON, game_type=
     """
     pairs = pivot_pair(inputs["games"], GAME, "team_idx", fv.TEAM_COLUMN,
                        ["equipe_exterieure", "equipe_domicile"])
-    games = allocate_ids(dedup_games(pairs, state["match"]), "id_match", GAME,
-                         max_of(state["match"], "id_match", 0))
+    games = cut_lineage(allocate_ids(dedup_games(pairs, state["match"]), "id_match", GAME,
+                                     max_of(state["match"], "id_match", 0)))
     ids = games.select("id_match", *GAME)
     team_of = inputs["games"].select(*GAME, "team_idx", fv.TEAM_COLUMN)
 
@@ -88,12 +88,12 @@ def process_days(inputs: dict, state: dict, season=fv.DEFAULT_SEASON, game_type=
                          .join(team_of, [*GAME, "team_idx"]))
 
     contracts = scd2_apply(state["contrat"], listed, "id_joueur", fv.TEAM_COLUMN, "game_date",
-                           "date_debut_contrat", "date_fin_contrat", order=["game_no", "team_idx"])
+                           "date_debut_contrat", "date_fin_contrat", order=["game_no", "team_idx"], store=cut_lineage)
     contrat = _with_ids(state["contrat"], contracts.all(), "id_contrat", ["id_joueur", "date_debut_contrat"])
 
     spells = event_spells_apply(state["blessure"], listed, "id_joueur", "blesse", "game_date",
                                 "date_blessure", "date_guerison",
-                                {"id_type_blessure": fv.UNKNOWN_INJURY_TYPE}).all()
+                                {"id_type_blessure": fv.UNKNOWN_INJURY_TYPE}, store=cut_lineage).all()
     if injury_list is not None:
         # The list is read on the last day, before that day's player facts are stored.
         last_day = max_of(games, "game_date")

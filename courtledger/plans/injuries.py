@@ -66,18 +66,19 @@ def apply_injury_list(spells: DataFrame, members: DataFrame, listed: DataFrame,
                       kinds: DataFrame, store=lambda df: df) -> DataFrame:
     """The three steps in their order: complete placeholders, add those with history, add the rest.
 
-    facts: (nom_simple, id_joueur, date_match). `store` keeps intermediate spells from being computed
-    again. New rows have no id yet.
+    facts: (nom_simple, id_joueur, date_match). Past spells are passed through; `store` keeps the open
+    ones and the additions from being computed again. New rows have no id yet.
     """
     other_kind = lambda kind: kind != fv.UNKNOWN_INJURY_TYPE
-    start, kind = "date_blessure", "id_type_blessure"
-    spells = store(fill_placeholder_kind(spells, members, listed))
-    added = unseen_with_history(
-        listed, open_names(spells, members, other_kind), facts, kinds, spells,
+    start, kind, end = "date_blessure", "id_type_blessure", "date_guerison"
+    is_open = F.col(end).isNull()
+    still_open = store(fill_placeholder_kind(spells.filter(is_open), members, listed))
+    met = store(unseen_with_history(
+        listed, open_names(still_open, members, other_kind), facts, kinds, spells,
         name="nom_simple", key="id_joueur", day="date_match", kind="Injury",
-        kind_name="nom_blessure_anglais", kind_id=kind, start=start)
-    spells = store(spells.unionByName(added, allowMissingColumns=True))
-    added = unseen_without_history(
-        listed, open_names(spells, members, other_kind), members,
+        kind_name="nom_blessure_anglais", kind_id=kind, start=start))
+    still_open = still_open.unionByName(met, allowMissingColumns=True)
+    unmet = unseen_without_history(
+        listed, open_names(still_open, members, other_kind), members,
         name="nom_simple", key="id_joueur", columns=[start, kind])
-    return spells.unionByName(added, allowMissingColumns=True)
+    return spells.filter(~is_open).unionByName(still_open).unionByName(unmet, allowMissingColumns=True)
