@@ -1,9 +1,11 @@
 """Tables and links out of stored pages."""
 
+import html as entities
 import re
-from html.parser import HTMLParser
+import sys
 
-import pandas as pd
+import pyarrow as pa
+from pyspark.cloudpickle import register_pickle_by_value
 from pyspark.sql import DataFrame, functions as F, types as T
 
 CELLS = T.ArrayType(T.StringType())
@@ -15,22 +17,37 @@ TABLE_FIELDS = [
     T.StructField("cells", CELLS),
 ]
 
-
+# A cell of plain text is one token, and so are comments and whole scripts and styles; everything else
+# is a tag or text.
+_TOKEN = re.compile(
+    r"<(?P<cell>t[dh])>(?P<text>[^<]*+)</(?P=cell)>"
+    r"|<!--.*?(?:-->|\Z)"
+    r"|<(?:script|style)\b.*?(?:</(?:script|style)\s*>|\Z)"
+    r"|<(?P<end>/?)(?P<tag>[a-zA-Z][a-zA-Z0-9:-]*)(?P<attrs>(?:[^>\"']++|\"[^\"]*\"|'[^']*')*+)>",
+    re.S | re.I)
+_SPAN = re.compile(r"\b(colspan|rowspan)\s*=\s*[\"']?\s*(\d+)", re.I)
+_HIDDEN = re.compile(r"\bstyle\s*=\s*(?:\"[^\"]*|'[^']*)display\s*:\s*none", re.I)
+_VOID = {"br", "hr", "img", "input", "link", "meta", "wbr", "col", "area", "base", "embed", "source"}
 # A single space, of whatever kind, stays as it is; longer white space and line ends become one space.
 _LONG_SPACE = re.compile(r"[\r\n]+|\s{2,}")
 
 
+def _clean(text):
+    if "&" in text:
+        text = entities.unescape(text)
+    return _LONG_SPACE.sub(" ", text.strip()) or None
+
+
 class _Table:
+    """Rows of one table by section; a cell is [text pieces, tag, colspan, rowspan]."""
+
     def __init__(self):
         self.sections = {"thead": [], "tbody": [], "tfoot": []}
-        self.section = "tbody"
-        self.row = None
-        self.cell = None
+        self.section, self.row, self.cell = "tbody", None, None
 
     def end_cell(self):
         if self.cell is not None:
-            text = _LONG_SPACE.sub(" ", "".join(self.cell["text"]).strip())
-            self.row.append((text or None, self.cell["tag"], self.cell["colspan"], self.cell["rowspan"]))
+            self.cell[0] = _clean("".join(self.cell[0]))
             self.cell = None
 
     def end_row(self):
@@ -39,34 +56,38 @@ class _Table:
             self.sections[self.section].append(self.row)
         self.row = None
 
-    def start_row(self):
-        self.end_row()
-        self.row = []
-
     def start_cell(self, tag, attrs):
+        self.end_cell()
         if self.row is None:
             self.row = []
-        self.end_cell()
-
-        def span(name):
-            value = (attrs.get(name) or "").strip()
-            return max(int(value), 1) if value.isdigit() else 1
+        spans = {k.lower(): max(int(v), 1) for k, v in _SPAN.findall(attrs)} if attrs else {}
+        self.cell = [[], tag, spans.get("colspan", 1), spans.get("rowspan", 1)]
+        self.row.append(self.cell)
 
-        self.cell = {"tag": tag, "text": [], "colspan": span("colspan"), "rowspan": span("rowspan")}
+    def plain_cell(self, tag, text):
+        if self.cell is not None:
+            self.end_cell()
+        if self.row is None:
+            self.row = []
+        self.row.append((_clean(text), tag, 1, 1))
 
     def rows(self):
-        """(header rows, body rows), spans filled in, all of one width."""
-        head, body = list(self.sections["thead"]), self.sections["tbody"] + self.sections["tfoot"]
+        """(header rows, body rows), spans filled in, all of one width; the footer ends the body."""
+        head, body = self.sections["thead"], self.sections["tbody"] + self.sections["tfoot"]
         if not head:
-            while body and all(tag == "th" for _, tag, _, _ in body[0]):
-                head.append(body.pop(0))
+            n = next((i for i, row in enumerate(body) if any(c[1] != "th" for c in row)), len(body))
+            head, body = body[:n], body[n:]
         head, body = _fill_spans(head), _fill_spans(body)
-        width = max((len(r) for r in head + body), default=0)
-        return [[r + [None] * (width - len(r)) for r in rows] for rows in (head, body)]
+        width = max(map(len, head + body), default=0)
+        for row in head + body:
+            row.extend([None] * (width - len(row)))
+        return head, body
 
 
 def _fill_spans(rows):
-    filled, hanging = [], {}
+    if all(c[2] == 1 and c[3] == 1 for row in rows for c in row):
+        return [[c[0] for c in row] for row in rows]
+    filled, hanging = [], {}  # hanging: column -> (text, rows it still reaches into)
     for row in rows:
         out, cells = [], iter(row)
         while True:
@@ -78,133 +99,134 @@ def _fill_spans(rows):
                 continue
             cell = next(cells, None)
             if cell is None:
-                if any(i > len(out) for i in hanging):
+                if any(column > len(out) for column in hanging):
                     out.append(None)
                     continue
                 break
-            text, _, colspan, rowspan = cell
-            for _ in range(colspan):
-                if rowspan > 1:
-                    hanging[len(out)] = (text, rowspan - 1)
-                out.append(text)
+            for _ in range(cell[2]):
+                if cell[3] > 1:
+                    hanging[len(out)] = (cell[0], cell[3] - 1)
+                out.append(cell[0])
         filled.append(out)
     return filled
 
 
-class _TableReader(HTMLParser):
-    """All tables of one page in page order, nested ones included."""
-
-    VOID = {"br", "hr", "img", "input", "link", "meta", "wbr", "col", "area", "base", "embed", "source"}
-
-    def __init__(self):
-        super().__init__(convert_charrefs=True)
-        self.found, self.open = [], []
-        self.silent = None  # [tag, depth] of an element whose text is not shown
-
-    def handle_starttag(self, tag, attrs):
-        if self.silent:
-            if tag == self.silent[0]:
-                self.silent[1] += 1
-            return
-        attrs = dict(attrs)
-        hidden = "display:none" in (attrs.get("style") or "").replace(" ", "").lower()
-        if tag in ("script", "style") or (hidden and tag not in self.VOID):
-            self.silent = [tag, 1]
-            return
-        if tag == "table":
-            table = _Table()
-            self.found.append(table)
-            self.open.append(table)
-        elif self.open:
-            table = self.open[-1]
-            if tag in table.sections:
-                table.end_row()
-                table.section = tag
-            elif tag == "tr":
-                table.start_row()
-            elif tag in ("td", "th"):
-                table.start_cell(tag, attrs)
-            elif tag == "br":
-                self.handle_data(" ")
-
-    def handle_endtag(self, tag):
-        if self.silent:
-            if tag == self.silent[0]:
-                self.silent[1] -= 1
-                if not self.silent[1]:
-                    self.silent = None
-            return
-        if not self.open:
-            return
-        table = self.open[-1]
-        if tag == "table":
+def read_tables(page):
+    """[(header rows, body rows)] of a page in page order, nested tables included, empty ones not."""
+    found, open_tables = [], []
+    hidden, depth, at = None, 0, 0
+    for token in _TOKEN.finditer(page):
+        if open_tables and hidden is None and token.start() > at:
+            text = page[at:token.start()]
+            for table in open_tables:
+                if table.cell is not None:
+                    table.cell[0].append(text)
+        at = token.end()
+        cell = token["cell"]
+        if cell is not None:
+            if open_tables and hidden is None:
+                for table in open_tables[:-1]:
+                    if table.cell is not None:
+                        table.cell[0].append(token["text"])
+                open_tables[-1].plain_cell(cell.lower(), token["text"])
+            continue
+        tag = token["tag"]
+        if tag is None:
+            continue
+        tag, ends = tag.lower(), token["end"]
+        if hidden is not None:
+            if tag == hidden:
+                depth += -1 if ends else 1
+                if depth == 0:
+                    hidden = None
+            continue
+        attrs = token["attrs"]
+        if attrs and not ends and tag not in _VOID and _HIDDEN.search(attrs):
+            hidden, depth = tag, 1
+            continue
+        if tag == "table" and not ends:
+            open_tables.append(_Table())
+            found.append(open_tables[-1])
+            continue
+        if not open_tables:
+            continue
+        table = open_tables[-1]
+        if tag == "td" or tag == "th":
+            table.end_cell() if ends else table.start_cell(tag, attrs)
+        elif tag == "tr":
             table.end_row()
-            self.open.pop()
+            if not ends:
+                table.row = []
+        elif tag == "br":
+            if table.cell is not None:
+                table.cell[0].append(" ")
         elif tag in table.sections:
             table.end_row()
-            table.section = "tbody"
-        elif tag == "tr":
+            table.section = "tbody" if ends else tag
+        elif tag == "table":
             table.end_row()
-        elif tag in ("td", "th"):
-            table.end_cell()
+            open_tables.pop()
+    for table in open_tables:
+        table.end_row()
+    tables = (table.rows() for table in found)
+    return [(head, body) for head, body in tables if any(c is not None for row in head + body for c in row)]
 
-    def handle_data(self, data):
-        if not self.silent:
-            for table in self.open:
-                if table.cell is not None:
-                    table.cell["text"].append(data)
-
-    def read(self, html):
-        self.feed(html)
-        self.close()
-        while self.open:
-            self.open.pop().end_row()
-        tables = (t.rows() for t in self.found)
-        return [(head, body) for head, body in tables
-                if any(c is not None for r in head + body for c in r)]
-
-
-def _page_rows(html):
-    if html is None or "<table" not in html.lower():
-        return
-    for table_idx, (head, body) in enumerate(_TableReader().read(html)):
-        for is_header, rows in ((True, head), (False, body)):
+
+def _page_rows(page):
+    for table_idx, parts in enumerate(read_tables(page)):
+        for is_header, rows in zip((True, False), parts):
             for row_idx, cells in enumerate(rows):
                 yield table_idx, is_header, row_idx, len(rows), cells
 
 
-def extract_html_tables(pages: DataFrame, id_cols, html_col="html", batch_rows=2000) -> DataFrame:
+# The reader travels with the job: workers need not have this package.
+register_pickle_by_value(sys.modules[__name__])
+
+_ARROW_TYPES = [pa.int32(), pa.bool_(), pa.int32(), pa.int32(), pa.list_(pa.string())]
+
+
+def _has_table(html_col):
+    return F.col(html_col).rlike("(?i)<table")
+
+
+def extract_html_tables(pages: DataFrame, id_cols, html_col="html", batch_rows=10000) -> DataFrame:
     """One row per table row: id columns, table_idx, is_header, row_idx, n_rows, cells.
 
     row_idx counts from 0 within the header or the body; n_rows is the length of that part, so the
     last row is known without a shuffle. Cells are texts, null where empty; rows of a table all have
-    its width. The only operator that needs Python workers: a page is parsed alone, and rows are
-    handed on every batch_rows rows, so memory follows the largest page.
+    its width. The only operator that needs Python workers: pages without a table are not sent to
+    them, a page is parsed alone, and rows are handed on every batch_rows rows, so memory follows the
+    largest page.
     """
     id_cols = [id_cols] if isinstance(id_cols, str) else list(id_cols)
-    kept = pages.select(*id_cols, F.col(html_col).alias("_html"))
+    kept = pages.filter(_has_table(html_col)).select(*id_cols, F.col(html_col).alias("_html"))
     schema = T.StructType([pages.schema[c] for c in id_cols] + TABLE_FIELDS)
     names = schema.names
 
+    def emit(batch, sources, rows):
+        ids = [batch.column(c).take(pa.array(sources, pa.int32())) for c in id_cols]
+        values = [pa.array(column, kind) for column, kind in zip(zip(*rows), _ARROW_TYPES)]
+        return pa.RecordBatch.from_arrays(ids + values, names)
+
     def parse(batches):
         for batch in batches:
-            out = []
-            ids = batch[id_cols].itertuples(index=False, name=None)
-            for key, html in zip(ids, batch["_html"]):
-                for row in _page_rows(html):
-                    out.append((*key, *row))
-                    if len(out) >= batch_rows:
-                        yield pd.DataFrame(out, columns=names)
-                        out = []
-            if out:
-                yield pd.DataFrame(out, columns=names)
+            sources, rows = [], []
+            for i, page in enumerate(batch.column("_html")):
+                for row in _page_rows(page.as_py()):
+                    sources.append(i)
+                    rows.append(row)
+                    if len(rows) >= batch_rows:
+                        yield emit(batch, sources, rows)
+                        sources, rows = [], []
+            if rows:
+                yield emit(batch, sources, rows)
 
-    return kept.mapInPandas(parse, schema)
+    return kept.mapInArrow(parse, schema)
 
 
 def pages_without_tables(pages: DataFrame, html_col="html") -> DataFrame:
     """Pages to reject: nothing to read in them."""
-    return pages.filter(F.col(html_col).isNull() | ~F.lower(html_col).contains("<table"))
+    return pages.filter(~F.coalesce(_has_table(html_col), F.lit(False)))
 
 
 def extract_links(pages: DataFrame, id_cols, html_col="html", containing=None) -> DataFrame:
