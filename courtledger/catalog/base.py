@@ -21,3 +21,8 @@ def table(spark, sf_dir, name):
 
 def date(column):
     return F.col(column).cast("date")
+
+
+def spread(df, key):
+    """Slim rows over all tasks, before they are turned into something large."""
+    return df.repartition(int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")), key)

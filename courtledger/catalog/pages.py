@@ -2,7 +2,7 @@
 
 from pyspark.sql import functions as F
 
-from courtledger.catalog.base import date, registry, table
+from courtledger.catalog.base import date, registry, spread, table
 from courtledger.functions.text import url_basename, url_parent, url_path
 from courtledger.operators.reshape import melt_map
 from courtledger.plans.box_score import game_tables as game_tables_op, normalize_box_score, team_facts, team_tables
@@ -87,7 +87,7 @@ def html_tables(spark, sf):
     tags = ("<p>before</p><table><tr><th>n</th><th>s</th></tr><tr><td rowspan=2>%s</td><td>%d</td><td colspan='2'>wide</td></tr>"
             "<tr><td>%s<span style='display: none'>no</span></td></tr></table><table></table>"
             "<table><tr><td rowspan='2'> %s <td>a &amp; b<tr><td>x\n\n  y<script>var t='</td>';</script></table>")
-    pages = table(spark, sf, "part").select("p_partkey", F.format_string(tags, "p_name", "p_size", "p_brand", "p_type").alias("html"))
+    pages = spread(table(spark, sf, "part"), "p_partkey").select("p_partkey", F.format_string(tags, "p_name", "p_size", "p_brand", "p_type").alias("html"))
     tables = extract_html_tables(pages, "p_partkey").filter("NOT is_header")
     return tables.select("p_partkey", "table_idx", "row_idx", F.array_join("cells", "|", "~").alias("cells"))
 
@@ -132,7 +132,7 @@ def _box_pages(spark, sf):
     rows = f"array_join(transform(sequence(0, 6), r -> concat('<tr><td>', {cells}, '</td></tr>')), '')"
     tables = (f"array_join(transform(sequence(0, 1), t -> concat('<table><thead><tr><th>player</th></tr></thead><tbody>', {rows}, "
               "'<tr><td>TOTALS</td><td>240:00</td></tr></tbody></table>')), '<hr>')")
-    return table(spark, sf, "part").selectExpr("p_partkey", "p_name", "p_partkey AS k", "p_size AS s") \
+    return spread(table(spark, sf, "part"), "p_partkey").selectExpr("p_partkey", "p_name", "p_partkey AS k", "p_size AS s") \
         .select("p_partkey", F.concat(F.lit("<html><body>"), F.expr(tables), F.lit("</body></html>")).alias("html"))
 
 
@@ -147,7 +147,7 @@ def _summary_tables(spark, sf):
     stats = "concat('<tr><td>T', t, '</td><td>', array_join(transform(sequence(1, 8), i -> i * s + t), '</td><td>'), '</td></tr>')"
     html = (f"concat('<table><tr><th>team</th></tr>', array_join(transform(sequence(0, 1), t -> {row}), ''), '</table>"
             f"<table>', array_join(transform(sequence(0, 1), t -> {stats}), ''), '</table>')")
-    pages = table(spark, sf, "part").selectExpr("p_partkey", "p_size AS s").selectExpr("p_partkey", f"{html} AS html")
+    pages = spread(table(spark, sf, "part"), "p_partkey").selectExpr("p_partkey", "p_size AS s").selectExpr("p_partkey", f"{html} AS html")
     return extract_html_tables(pages, "p_partkey")
 
 

@@ -27,37 +27,49 @@ def normalize_name(c) -> Column:
     return F.lower(F.translate(as_column(c), " -.'", ""))
 
 
-def tokens(c) -> Column:
-    """Words between white space of any kind, no-break spaces included."""
-    return F.split(F.trim(F.regexp_replace(as_column(c), r"(?U)[\s\x1c-\x1f]+", " ")), " ")
+# White space other than the space itself, no-break spaces included.
+_ODD_SPACES = ("\t\n\x0b\x0c\r\x1c\x1d\x1e\x1f\x85\u00a0\u1680\u2000\u2001\u2002\u2003\u2004\u2005\u2006"
+               "\u2007\u2008\u2009\u200a\u2028\u2029\u202f\u205f\u3000")
 
 
-def has_suffix(name_tokens) -> Column:
-    return F.lower(F.element_at(name_tokens, -1)).isin(fv.NAME_SUFFIXES)
+def single_spaced(c) -> Column:
+    """Words parted by one space each, whatever white space parted them."""
+    plain = F.translate(as_column(c), _ODD_SPACES, " " * len(_ODD_SPACES))
+    return F.trim(F.when(plain.contains("  "), F.regexp_replace(plain, " +", " ")).otherwise(plain))
+
+
+def last_words(spaced, n) -> Column:
+    return F.substring_index(spaced, " ", -n)
+
+
+def word(spaced, i) -> Column:
+    """Word i of a single-spaced text, from 0; null if there are fewer."""
+    return F.when(count_char(spaced, " ") >= i,
+                  F.substring_index(F.substring_index(spaced, " ", i + 1), " ", -1))
+
+
+def has_suffix(spaced) -> Column:
+    return F.lower(last_words(spaced, 1)).isin(fv.NAME_SUFFIXES)
 
 
 def name_tail(c) -> Column:
     """The last two words, or three when the name has a suffix or more than four spaces."""
-    c = as_column(c)
-    words = tokens(c)
-    wanted = F.when((count_char(c, " ") <= 4) & ~has_suffix(words), 2).otherwise(3)
-    n = F.least(wanted, F.size(words))
-    return F.when(F.trim(c) != "", F.array_join(F.slice(words, -n, n), " "))
+    c, spaced = as_column(c), single_spaced(c)
+    short = (count_char(c, " ") <= 4) & ~has_suffix(spaced)
+    return F.nullif(F.when(short, last_words(spaced, 2)).otherwise(last_words(spaced, 3)), F.lit(""))
 
 
 def undouble_name(c) -> Column:
     """Cut the two characters a page repeats after the last name; null if words are missing."""
-    c = as_column(c)
-    words = tokens(c)
+    c, spaced = as_column(c), single_spaced(c)
+    first, second, third = (word(spaced, i) for i in range(3))
 
-    def cut(i):
-        word = F.get(words, i)
-        return F.substring(word, F.lit(1), F.length(word) - 2)
+    def cut(w):
+        return F.substring(w, F.lit(1), F.length(w) - 2)
 
-    short = (count_char(c, " ") <= 2) & ~has_suffix(words)
-    first, second = F.get(words, 0), F.get(words, 1)
-    return (F.when(short, F.concat(first, F.lit(" "), cut(1)))
-             .otherwise(F.concat(first, F.lit(" "), second, F.lit(" "), cut(2))))
+    short = (count_char(c, " ") <= 2) & ~has_suffix(spaced)
+    return (F.when(short, F.concat(first, F.lit(" "), cut(second)))
+             .otherwise(F.concat(first, F.lit(" "), second, F.lit(" "), cut(third))))
 
 
 def slug_team(c, side) -> Column:

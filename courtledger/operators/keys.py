@@ -33,14 +33,13 @@ def allocate_ids(df: DataFrame, id_col, order, after=0) -> DataFrame:
 def new_members(dim: DataFrame, facts: DataFrame, on, columns, id_col, after) -> DataFrame:
     """One row with a fresh id per key of the facts that the dimension lacks.
 
-    If facts spell a member differently, the greatest spelling is taken.
+    If facts spell a member differently, the greatest spelling is taken. Facts are reduced to one row
+    per key before they meet the dimension.
     """
     rest = [c for c in columns if c not in on]
-    unknown = drop_members(facts.select(*columns), dim, on)
-    unique = (unknown.groupBy(*on).agg(*[F.max(c).alias(c) for c in rest]) if rest
-              else unknown.distinct())
-    unique = unique.filter(" AND ".join(f"`{c}` IS NOT NULL" for c in on))
-    return allocate_ids(unique, id_col, on, after)
+    facts = facts.select(*columns).filter(" AND ".join(f"`{c}` IS NOT NULL" for c in on))
+    met = facts.groupBy(*on).agg(*[F.max(c).alias(c) for c in rest]) if rest else facts.distinct()
+    return allocate_ids(drop_members(met, dim, on, hot=False), id_col, on, after)
 
 
 def add_members(dim: DataFrame, facts: DataFrame, on, columns, id_col, after) -> DataFrame:

@@ -13,19 +13,30 @@ def active_or_injured(dnp="dnp", injured="blesse") -> Column:
     return ~as_column(dnp) | as_column(injured)
 
 
-def keep_members(df: DataFrame, known: DataFrame, on) -> DataFrame:
-    """Rows whose key is known."""
-    return df.join(member_keys(known, on), on, "left_semi")
+def _keys_of(known, on, unique, hot):
+    keys = known.select(*on)
+    if unique:
+        return keys
+    return member_keys(known, on) if hot else keys.distinct()
 
 
-def drop_members(df: DataFrame, known: DataFrame, on) -> DataFrame:
-    """Rows whose key is not known; a row with a null key is kept."""
-    return df.join(member_keys(known, on), on, "left_anti")
+def keep_members(df: DataFrame, known: DataFrame, on, unique=False, hot=True) -> DataFrame:
+    """Rows whose key is known.
+
+    unique: the known side has few rows per key, as a dimension has, and need not be reduced first.
+    hot=False: df has few rows per key, so no key of it needs splitting; saves shuffles of known.
+    """
+    return df.join(_keys_of(known, on, unique, hot), on, "left_semi")
+
+
+def drop_members(df: DataFrame, known: DataFrame, on, unique=False, hot=True) -> DataFrame:
+    """Rows whose key is not known; a row with a null key is kept. Options as for keep_members."""
+    return df.join(_keys_of(known, on, unique, hot), on, "left_anti")
 
 
 def unknown_members(df: DataFrame, dim: DataFrame, on, columns) -> DataFrame:
     """The rows without a member in the dimension, not made unique."""
-    return drop_members(df, dim, on).select(*columns)
+    return drop_members(df, dim, on, unique=True).select(*columns)
 
 
 def exclude_marginal(df: DataFrame, known: DataFrame, columns) -> DataFrame:

@@ -53,7 +53,7 @@ def unseen_with_history(listed: DataFrame, excluded: DataFrame, facts: DataFrame
     latest = latest_per_key(met, [key], [day, kind]).withColumn(start, day_after(day))
     typed = latest.join(kinds.select(F.lower(kind_name).alias("_kind"), kind_id),
                         F.lower(kind) == F.col("_kind"))
-    return drop_members(typed.select(key, start, kind_id), existing, [key, start])
+    return drop_members(typed.select(key, start, kind_id), existing, [key, start], hot=False)
 
 
 def unseen_without_history(listed: DataFrame, excluded: DataFrame, members: DataFrame, *,

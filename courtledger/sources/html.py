@@ -17,14 +17,16 @@ TABLE_FIELDS = [
     T.StructField("cells", CELLS),
 ]
 
-# A cell of plain text is one token, and so are comments and whole scripts and styles; everything else
-# is a tag or text.
+# A row of plain cells is one token, as most rows are, and so are comments and whole scripts and
+# styles; everything else is a tag or text.
 _TOKEN = re.compile(
-    r"<(?P<cell>t[dh])>(?P<text>[^<]*+)</(?P=cell)>"
+    r"<tr>(?P<row>(?:\s*+<t(?:d>[^<]*+</td>|h>[^<]*+</th>))++)\s*+</tr>"
     r"|<!--.*?(?:-->|\Z)"
     r"|<(?:script|style)\b.*?(?:</(?:script|style)\s*>|\Z)"
     r"|<(?P<end>/?)(?P<tag>[a-zA-Z][a-zA-Z0-9:-]*)(?P<attrs>(?:[^>\"']++|\"[^\"]*\"|'[^']*')*+)>",
     re.S | re.I)
+_PLAIN_CELL = re.compile(r"<(t[dh])>([^<]*)<", re.I)
+_UNCLEAN = re.compile(r"&|[\r\n]|\s\s|>\s|\s<")
 _SPAN = re.compile(r"\b(colspan|rowspan)\s*=\s*[\"']?\s*(\d+)", re.I)
 _HIDDEN = re.compile(r"\bstyle\s*=\s*(?:\"[^\"]*|'[^']*)display\s*:\s*none", re.I)
 _VOID = {"br", "hr", "img", "input", "link", "meta", "wbr", "col", "area", "base", "embed", "source"}
@@ -64,18 +66,16 @@ class _Table:
         self.cell = [[], tag, spans.get("colspan", 1), spans.get("rowspan", 1)]
         self.row.append(self.cell)
 
-    def plain_cell(self, tag, text):
-        if self.cell is not None:
-            self.end_cell()
-        if self.row is None:
-            self.row = []
-        self.row.append((_clean(text), tag, 1, 1))
+    def plain_row(self, cells, unclean):
+        self.end_row()
+        self.sections[self.section].append(
+            [(_clean(text) if unclean else text or None, tag, 1, 1) for tag, text in cells])
 
     def rows(self):
         """(header rows, body rows), spans filled in, all of one width; the footer ends the body."""
         head, body = self.sections["thead"], self.sections["tbody"] + self.sections["tfoot"]
         if not head:
-            n = next((i for i, row in enumerate(body) if any(c[1] != "th" for c in row)), len(body))
+            n = next((i for i, row in enumerate(body) if any(c[1].lower() != "th" for c in row)), len(body))
             head, body = body[:n], body[n:]
         head, body = _fill_spans(head), _fill_spans(body)
         width = max(map(len, head + body), default=0)
@@ -122,13 +122,14 @@ def read_tables(page):
                 if table.cell is not None:
                     table.cell[0].append(text)
         at = token.end()
-        cell = token["cell"]
-        if cell is not None:
+        row = token["row"]
+        if row is not None:
             if open_tables and hidden is None:
+                cells = _PLAIN_CELL.findall(row)
                 for table in open_tables[:-1]:
                     if table.cell is not None:
-                        table.cell[0].append(token["text"])
-                open_tables[-1].plain_cell(cell.lower(), token["text"])
+                        table.cell[0].extend(text for _, text in cells)
+                open_tables[-1].plain_row(cells, _UNCLEAN.search(row) is not None)
             continue
         tag = token["tag"]
         if tag is None:
