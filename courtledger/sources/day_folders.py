@@ -34,8 +34,7 @@ def parse_sheets(sheets: DataFrame, path_col="path", text_col="value") -> DataFr
 
 def read_day_folders(spark: SparkSession, path: str) -> DataFrame:
     """All sheets under path/<date>/."""
-    sheets = (spark.read.option("wholetext", True).option("pathGlobFilter", "m*.csv")
-              .option("recursiveFileLookup", True).text(path)
+    sheets = (spark.read.text(path, wholetext=True, pathGlobFilter="m*.csv", recursiveFileLookup=True)
               .select("value", F.col("_metadata.file_path").alias("path")))
     return parse_sheets(sheets)
 
