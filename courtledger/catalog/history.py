@@ -4,6 +4,7 @@ from pyspark.sql import functions as F, types as T
 
 from courtledger.catalog.base import date, registry, table
 from courtledger.operators.history import (event_spells_apply as event_apply, event_spells_build, scd2_apply, scd2_build)
+from courtledger.operators.matching import drop_members
 from courtledger.plans.schedule import high_water_marks as marks_op, sync_window as sync_op
 from courtledger.session import scratch_path
 from courtledger.sources.tables import date_series as series_op
@@ -101,7 +102,7 @@ def missing_days(spark, sf):
     orders = table(spark, sf, "orders")
     span = orders.agg(F.min(date("o_orderdate")).alias("a"), F.max(date("o_orderdate")).alias("b")).first()
     series = series_op(spark, span["a"], (span["b"] - span["a"]).days + 1)
-    return series.join(orders.filter(_BIG_DAYS).select(date("o_orderdate").alias("day")), "day", "left_anti")
+    return drop_members(series, orders.filter(_BIG_DAYS).select(date("o_orderdate").alias("day")), ["day"], hot=False)
 
 
 @query("""

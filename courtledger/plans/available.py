@@ -3,6 +3,7 @@
 from pyspark.sql import DataFrame, functions as F
 
 from courtledger.operators.matching import drop_members
+from courtledger.operators.skew import own_shuffle
 
 
 def available(schedule: DataFrame, contracts: DataFrame, players: DataFrame, injuries: DataFrame,
@@ -14,7 +15,7 @@ def available(schedule: DataFrame, contracts: DataFrame, players: DataFrame, inj
                          "equipe_domicile", "equipe_exterieure")
     opponent = F.when(F.col("id_equipe") == F.col("equipe_domicile"),
                       F.col("equipe_exterieure")).otherwise(F.col("equipe_domicile"))
-    playing = teams.select("id_equipe", opponent.alias("adversaire")).distinct()
+    playing = own_shuffle(teams.select("id_equipe", opponent.alias("adversaire")).distinct())
     signed = contracts.filter(F.col("date_fin_contrat").isNull()).select("id_joueur", "id_equipe")
     hurt = injuries.filter(F.col("date_guerison").isNull() & (F.col("date_blessure") <= day))
     free = drop_members(drop_members(signed.join(playing, "id_equipe"), hurt, ["id_joueur"]),

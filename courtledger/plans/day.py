@@ -50,25 +50,32 @@ def conform(df: DataFrame, schema) -> DataFrame:
                        for f in schema.fields])
 
 
-def _with_ids(old: DataFrame, changed: DataFrame, id_col, order) -> DataFrame:
-    """Number the rows of `changed` that have no id yet, after those of `old`."""
-    fresh = allocate_ids(changed.filter(F.col(id_col).isNull()), id_col, order, max_of(old, id_col, 0))
+def _with_ids(changed: DataFrame, id_col, order, after) -> DataFrame:
+    """Number the rows that have no id yet."""
+    fresh = allocate_ids(changed.filter(F.col(id_col).isNull()), id_col, order, after)
     return changed.filter(F.col(id_col).isNotNull()).unionByName(fresh)
 
 
 def process_days(inputs: dict, state: dict, season=fv.DEFAULT_SEASON, game_type=fv.REGULAR_SEASON,
-                 injury_list: DataFrame | None = None) -> dict:
+                 injury_list: DataFrame | None = None, last_ids: dict | None = None) -> dict:
     """Any number of game days at once.
 
     inputs: frames "games", "players", "teams" as from `read_day_pages`; injury_list as from
     `normalize_injury_list`, applied after the last day. Returns groups of frames: "match", "stats"
     and new players to append; "contrat" and "blesse" as whole new tables. Games that are stored
     already are skipped, so importing a day twice changes nothing.
+
+    Without an injury list, the state may hold the open contracts and injuries alone; the greatest ids
+    given so far then have to be named in last_ids, by table.
     """
+    def last_id(table, id_col):
+        known = (last_ids or {}).get(table)
+        return max_of(state[table], id_col, 0) if known is None else known
+
     pairs = pivot_pair(inputs["games"], GAME, "team_idx", fv.TEAM_COLUMN,
                        ["equipe_exterieure", "equipe_domicile"])
     games = cut_lineage(allocate_ids(dedup_games(pairs, state["match"]), "id_match", GAME,
-                                     max_of(state["match"], "id_match", 0)))
+                                     last_id("match", "id_match")))
     ids = games.select("id_match", *GAME)
     team_of = inputs["games"].select(*GAME, "team_idx", fv.TEAM_COLUMN)
 
@@ -81,7 +88,7 @@ def process_days(inputs: dict, state: dict, season=fv.DEFAULT_SEASON, game_type=
     rows = inputs["players"].join(ids, GAME)
     members = cut_lineage(new_members(
         state["joueur"].select("id_joueur", "nom_simple"), rows, ["nom_simple"], ["nom", "nom_simple"],
-        "id_joueur", max_of(state["joueur"], "id_joueur", 0)))
+        "id_joueur", last_id("joueur", "id_joueur")))
     names = ["id_joueur", "nom_simple"]
     known = state["joueur"].select(*names).unionByName(members.select(*names))
     listed = cut_lineage(resolve_key(rows.filter(active_or_injured()), known, ["nom_simple"], "id_joueur")
@@ -89,7 +96,8 @@ def process_days(inputs: dict, state: dict, season=fv.DEFAULT_SEASON, game_type=
 
     contracts = scd2_apply(state["contrat"], listed, "id_joueur", fv.TEAM_COLUMN, "game_date",
                            "date_debut_contrat", "date_fin_contrat", order=["game_no", "team_idx"], store=cut_lineage)
-    contrat = _with_ids(state["contrat"], contracts.all(), "id_contrat", ["id_joueur", "date_debut_contrat"])
+    contrat = _with_ids(contracts.all(), "id_contrat", ["id_joueur", "date_debut_contrat"],
+                        last_id("contrat", "id_contrat"))
 
     spells = event_spells_apply(state["blessure"], listed, "id_joueur", "blesse", "game_date",
                                 "date_blessure", "date_guerison",
@@ -106,8 +114,8 @@ def process_days(inputs: dict, state: dict, season=fv.DEFAULT_SEASON, game_type=
         facts = seen.unionByName(today).join(known, "id_joueur")
         spells = apply_injury_list(spells, known, injury_list, facts, state["enum_type_blessure"],
                                    store=cut_lineage)
-    blessure = _with_ids(state["blessure"], spells, "id_blessure",
-                         ["id_joueur", "date_blessure", "id_type_blessure"])
+    blessure = _with_ids(spells, "id_blessure", ["id_joueur", "date_blessure", "id_type_blessure"],
+                         last_id("blessure", "id_blessure"))
 
     frames = {
         "joueur": {"joueur": members},

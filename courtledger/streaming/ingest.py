@@ -8,8 +8,11 @@ log. A batch repeated after a failure writes the same folders again, so nothing
 
 from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 
+from courtledger import fixed_values as fv
 from courtledger.operators.history import scd2_apply
-from courtledger.sources.tables import latest_version, path_exists, read_version, version_path
+from courtledger.plans.day import process_days, read_day_pages
+from courtledger.schemas import STORED
+from courtledger.sources.tables import latest_version, max_of, path_exists, read_version, version_path
 
 
 def log_path(root, name, batch_id):
@@ -72,6 +75,42 @@ def spell_step(key, attr, day, start, end, order=None, name="spells"):
     return step
 
 
+# Spell tables of the day import: id column and end column.
+_SPELL_TABLES = {"contrat": ("id_contrat", "date_fin_contrat"), "blessure": ("id_blessure", "date_guerison")}
+DAY_STATES = {"joueur": STORED["joueur"], **{f"open_{name}": STORED[name] for name in _SPELL_TABLES}}
+DAY_LOGS = ["match", "score_match", "stats_equipes", "stats_joueur"]
+
+
+def day_step(root, season=fv.DEFAULT_SEASON, game_type=fv.REGULAR_SEASON):
+    """A step that imports game pages. State: players and open spells. Logs: games, facts, closed spells."""
+    def step(pages, state, batch_id):
+        spark = pages.sparkSession
+        known, last_ids = {"joueur": state["joueur"]}, {}
+        known["match"] = read_log(spark, root, "match", STORED["match"], before=batch_id)
+        for name, (id_col, _) in _SPELL_TABLES.items():
+            known[name] = state[f"open_{name}"]
+            closed = read_log(spark, root, f"closed_{name}", STORED[name], before=batch_id)
+            last_ids[name] = max_of(known[name].select(id_col).unionByName(closed.select(id_col)), id_col, 0)
+        outputs = process_days(read_day_pages(pages), known, season, game_type, last_ids=last_ids)
+        frames = {name: df for tables in outputs.values() for name, df in tables.items()}
+        new_state = {"joueur": state["joueur"].unionByName(frames["joueur"])}
+        logs = {name: frames[name] for name in DAY_LOGS}
+        for name, (_, end) in _SPELL_TABLES.items():
+            new_state[f"open_{name}"] = frames[name].filter(F.col(end).isNull())
+            logs[f"closed_{name}"] = frames[name].filter(F.col(end).isNotNull())
+        return new_state, logs
+    return step
+
+
+def read_days(spark: SparkSession, root) -> dict:
+    """The stored tables that `day_step` has built up."""
+    state = read_state(spark, root, DAY_STATES)
+    tables = {name: read_log(spark, root, name, STORED[name]) for name in DAY_LOGS}
+    for name in _SPELL_TABLES:
+        tables[name] = state[f"open_{name}"].unionByName(read_log(spark, root, f"closed_{name}", STORED[name]))
+    return {"joueur": state["joueur"], **tables}
+
+
 def dedup_stream(stream: DataFrame, keys, event_time, delay) -> DataFrame:
     """Drop repeated games of a stream; keys are remembered until the watermark passes them."""
     return stream.withWatermark(event_time, delay).dropDuplicatesWithinWatermark(list(keys))

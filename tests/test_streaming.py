@@ -5,7 +5,9 @@ from pyspark.sql import functions as F, types as T
 
 from courtledger.operators.history import scd2_build
 from courtledger.sources.tables import version_path
-from courtledger.streaming.ingest import dedup_stream, ingest_stream, log_path, read_log, read_state, spell_step
+from courtledger.streaming.ingest import (DAY_STATES, day_step, dedup_stream, ingest_stream, log_path, read_days, read_log,
+                                          read_state, spell_step)
+from tests.test_plans import check_final, first_day, second_day
 
 D = datetime.date
 SPELLS = T.StructType([T.StructField("k", T.IntegerType()), T.StructField("team", T.StringType()),
@@ -45,6 +47,16 @@ def test_several_batches_and_a_repeated_one(spark, rows, tmp_path):
     assert read_log(spark, root, "closed_spells", SPELLS, before=0).count() == 0
 
 
+def test_pages_arriving_day_by_day(spark, rows, tmp_path):
+    """A day per batch, and the first day once more with the second."""
+    source, root = str(tmp_path / "in"), str(tmp_path / "tables")
+    for pages in (first_day(spark), second_day(spark).unionByName(first_day(spark))):
+        pages.coalesce(1).write.mode("append").parquet(source)
+        stream = spark.readStream.schema(pages.schema).parquet(source)
+        ingest_stream(stream, root, DAY_STATES, day_step(root), str(tmp_path / "checkpoint")).awaitTermination()
+    check_final(read_days(spark, root), rows)
+
+
 def test_repeated_games_in_a_stream(spark, tmp_path):
     games = [(D(2021, 1, 1), "BOS", "PHI"), (D(2021, 1, 1), "BOS", "PHI"), (D(2021, 1, 2), "BOS", "PHI")]
     spark.createDataFrame(games, "day date, home string, away string").write.parquet(str(tmp_path / "in"))
