@@ -15,15 +15,19 @@ from courtledger.operators.skew import own_shuffle
 
 
 class SpellChange(NamedTuple):
-    """Spells after a batch, in three parts."""
-    kept: DataFrame     # untouched rows
-    closed: DataFrame   # rows that got an end
-    opened: DataFrame   # new rows (open, or already closed within the batch)
+    """Spells after a batch: those that had ended before, those that were open, and the new ones."""
+    past: DataFrame     # untouched
+    carried: DataFrame  # open before; some have an end now
+    opened: DataFrame   # new; open, or already closed within the batch
+    end: str            # name of the end column
 
     def all(self) -> DataFrame:
-        return (self.kept.unionByName(self.closed)
+        return (self.past.unionByName(self.carried)
                          .unionByName(self.opened, allowMissingColumns=True))
 
+    def closed(self) -> DataFrame:
+        return self.carried.filter(F.col(self.end).isNotNull())
+
 
 def day_state(rows: DataFrame, key, value, day, order=None) -> DataFrame:
     """One row per (key, day) with the value of the row greatest in `order` (or the greatest value)."""
@@ -91,15 +95,13 @@ def _apply(spells, found, key, start, end, goes_on, opens, columns):
     joined = open_spells.join(first, open_spells[key] == first["_key"], "left")
     run = {c: first[f"_run_{c}"] for c in value}
     going = goes_on(open_spells, run)
-    ended = joined.withColumn("_end", F.when(F.col("_from").isNotNull(), F.when(
-        going, day_before("_next")).otherwise(day_before("_from"))))
+    new_end = F.when(F.col("_from").isNotNull(), F.when(
+        going, day_before("_next")).otherwise(day_before("_from")))
+    carried = joined.select(*[new_end.alias(end) if c == end else open_spells[c] for c in spells.columns])
     # An open spell that goes on makes its member's first run a continuation, not a new spell.
     continued = joined.filter(F.col("_from").isNotNull() & going).select(
         F.col(key), F.lit(True).alias("_first")).distinct()
     opened = (found.join(continued, [key, "_first"], "left_anti").filter(opens)
                    .select(key, *[c.alias(n) for n, c in columns.items()],
                            F.col("_from").alias(start), day_before("_next").alias(end)))
-    closed = ended.filter(F.col("_end").isNotNull()).withColumn(end, F.col("_end"))
-    still = ended.filter(F.col("_end").isNull())
-    return SpellChange(past.unionByName(still.select(*spells.columns)),
-                       closed.select(*spells.columns), opened)
+    return SpellChange(past, carried, opened, end)

@@ -133,7 +133,7 @@ def test_changes_close_and_reopen(spark, rows):
         (5, 4, "PHI", D(2021, 1, 1), None),
         (6, 5, "BOS", D(2021, 1, 1), D(2021, 1, 31)), (7, 5, "LAL", D(2021, 1, 1), None),
         (None, 6, "LAL", D(2021, 2, 1), None)], key=str)
-    assert change.closed.count() == 4 and change.opened.count() == 4
+    assert change.closed().count() == 4 and change.opened.count() == 4
 
 
 def test_events_open_and_close(spark, rows):
