@@ -38,9 +38,9 @@ def unseen_with_history(spark, sf):
     listed = named.join(nation, F.col("c_nationkey") == F.col("n_nationkey")) \
                   .select("c_name", F.lower("n_name").alias("kind"))
     users = events.select(F.col("user_id").alias("c_custkey"))
-    seen = keep_members(named, users, ["c_custkey"]).select("c_name")
-    facts = orders.join(named, F.col("o_custkey") == F.col("c_custkey")) \
-                  .select("c_name", "o_custkey", date("o_orderdate").alias("day"))
+    seen = keep_members(named, users, ["c_custkey"], hot=False).select("c_name")
+    last = orders.groupBy("o_custkey").agg(F.max(date("o_orderdate")).alias("day"))
+    facts = last.join(named, F.col("o_custkey") == F.col("c_custkey")).select("c_name", "o_custkey", "day")
     shipped = orders.join(lineitem, F.col("o_orderkey") == F.col("l_orderkey")) \
                     .select("o_custkey", date("l_shipdate").alias("start_day"))
     return unseen_with_op(listed, seen, facts, nation, shipped, name="c_name", key="o_custkey", day="day",
@@ -59,7 +59,7 @@ def unseen_without_history(spark, sf):
     customer, orders, events = (table(spark, sf, t) for t in ("customer", "orders", "events"))
     listed = events.select(F.concat(F.lit("Customer#"), F.lpad(F.col("user_id").cast("string"), 9, "0")).alias("c_name"),
                            date("ts").alias("day"), "event_type")
-    busy = orders.filter("o_orderstatus = 'O' AND o_totalprice > 400000") \
+    busy = orders.filter("o_orderstatus = 'O' AND o_totalprice > 400000").select("o_custkey").distinct() \
                  .join(customer, F.col("o_custkey") == F.col("c_custkey")).select("c_name")
     return unseen_without_op(listed, busy, customer, name="c_name", key="c_custkey", columns=["day", "event_type"])
 

@@ -32,6 +32,11 @@ def read_day_pages(pages: DataFrame) -> dict:
             "rejected_pages": pages_without_tables(pages).select(*GAME, "kind")}
 
 
+def incomplete_games(games: DataFrame) -> DataFrame:
+    """Games for which a team is missing."""
+    return games.groupBy(*GAME).agg(F.count(fv.TEAM_COLUMN).alias("n_teams")).filter("n_teams <> 2")
+
+
 def dedup_games(games: DataFrame, stored: DataFrame) -> DataFrame:
     """Games whose date and teams are not stored yet, each once (the lowest number wins)."""
     teams = ["equipe_domicile", "equipe_exterieure"]
@@ -57,7 +62,8 @@ def _with_ids(changed: DataFrame, id_col, order, after) -> DataFrame:
 
 
 def process_days(inputs: dict, state: dict, season=fv.DEFAULT_SEASON, game_type=fv.REGULAR_SEASON,
-                 injury_list: DataFrame | None = None, last_ids: dict | None = None) -> dict:
+                 injury_list: DataFrame | None = None, last_ids: dict | None = None,
+                 past_injuries: DataFrame | None = None) -> dict:
     """Any number of game days at once.
 
     inputs: frames "games", "players", "teams" as from `read_day_pages`; injury_list as from
@@ -65,8 +71,9 @@ def process_days(inputs: dict, state: dict, season=fv.DEFAULT_SEASON, game_type=
     and new players to append; "contrat" and "blesse" as whole new tables. Games that are stored
     already are skipped, so importing a day twice changes nothing.
 
-    Without an injury list, the state may hold the open contracts and injuries alone; the greatest ids
-    given so far then have to be named in last_ids, by table.
+    The state may hold the open contracts and injuries alone; then the greatest ids given so far have to
+    be named in last_ids, by table, and with an injury list the ended injuries in past_injuries. Games
+    without two teams are left out (`incomplete_games`).
     """
     def last_id(table, id_col):
         known = (last_ids or {}).get(table)
@@ -74,6 +81,7 @@ def process_days(inputs: dict, state: dict, season=fv.DEFAULT_SEASON, game_type=
 
     pairs = pivot_pair(inputs["games"], GAME, "team_idx", fv.TEAM_COLUMN,
                        ["equipe_exterieure", "equipe_domicile"])
+    pairs = pairs.dropna(subset=["equipe_exterieure", "equipe_domicile"])
     games = cut_lineage(allocate_ids(dedup_games(pairs, state["match"]), "id_match", GAME,
                                      last_id("match", "id_match")))
     ids = games.select("id_match", *GAME)
@@ -113,7 +121,7 @@ def process_days(inputs: dict, state: dict, season=fv.DEFAULT_SEASON, game_type=
             today = today.filter(F.col("date_match") < F.lit(last_day))
         facts = seen.unionByName(today).join(known, "id_joueur")
         spells = apply_injury_list(spells, known, injury_list, facts, state["enum_type_blessure"],
-                                   store=cut_lineage)
+                                   store=cut_lineage, past=past_injuries)
     blessure = _with_ids(spells, "id_blessure", ["id_joueur", "date_blessure", "id_type_blessure"],
                          last_id("blessure", "id_blessure"))
 

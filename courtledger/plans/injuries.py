@@ -63,22 +63,26 @@ def unseen_without_history(listed: DataFrame, excluded: DataFrame, members: Data
 
 
 def apply_injury_list(spells: DataFrame, members: DataFrame, listed: DataFrame, facts: DataFrame,
-                      kinds: DataFrame, store=lambda df: df) -> DataFrame:
+                      kinds: DataFrame, store=lambda df: df, past: DataFrame | None = None) -> DataFrame:
     """The three steps in their order: complete placeholders, add those with history, add the rest.
 
-    facts: (nom_simple, id_joueur, date_match). Past spells are passed through; `store` keeps the open
-    ones and the additions from being computed again. New rows have no id yet.
+    facts: (nom_simple, id_joueur, date_match). Past spells are passed through, or given as `past` if
+    they are stored elsewhere; `store` keeps the open ones and the additions from being computed again.
+    New rows have no id yet.
     """
     other_kind = lambda kind: kind != fv.UNKNOWN_INJURY_TYPE
-    start, kind, end = "date_blessure", "id_type_blessure", "date_guerison"
+    key, start, kind, end = "id_joueur", "date_blessure", "id_type_blessure", "date_guerison"
     is_open = F.col(end).isNull()
+    existing = spells.select(key, start)
+    if past is not None:
+        existing = existing.unionByName(past.select(key, start))
     still_open = store(fill_placeholder_kind(spells.filter(is_open), members, listed))
     met = store(unseen_with_history(
-        listed, open_names(still_open, members, other_kind), facts, kinds, spells,
-        name="nom_simple", key="id_joueur", day="date_match", kind="Injury",
+        listed, open_names(still_open, members, other_kind), facts, kinds, existing,
+        name="nom_simple", key=key, day="date_match", kind="Injury",
         kind_name="nom_blessure_anglais", kind_id=kind, start=start))
     still_open = still_open.unionByName(met, allowMissingColumns=True)
     unmet = unseen_without_history(
         listed, open_names(still_open, members, other_kind), members,
-        name="nom_simple", key="id_joueur", columns=[start, kind])
+        name="nom_simple", key=key, columns=[start, kind])
     return spells.filter(~is_open).unionByName(still_open).unionByName(unmet, allowMissingColumns=True)

@@ -30,32 +30,36 @@ def read_log(spark: SparkSession, root, name, schema, before=None) -> DataFrame:
     return rows.drop("batch")
 
 
+def run_batch(batch: DataFrame, batch_id: int, root, states: dict, step) -> None:
+    """Carry one batch into the stored tables; running it again writes the same once more.
+
+    step(batch, state, batch_id) gives all state tables anew and rows to add to any logs. A batch may
+    hold several days in any order of arrival, so it has to use the bulk form of the spell operators.
+    """
+    spark = batch.sparkSession
+    state = {name: read_version(spark, f"{root}/{name}", batch_id - 1, schema)
+             for name, schema in states.items()}
+    batch.persist()  # read once for all the tables written
+    try:
+        new_state, logs = step(batch, state, batch_id)
+        missing = set(states) - set(new_state)
+        if missing:
+            raise ValueError(f"no new version of {sorted(missing)}")
+        for name, df in logs.items():
+            df.write.mode("overwrite").parquet(log_path(root, name, batch_id))
+        for name, df in new_state.items():
+            df.write.mode("overwrite").parquet(version_path(f"{root}/{name}", batch_id))
+    finally:
+        batch.unpersist()
+
+
 def ingest_stream(stream: DataFrame, root, states: dict, step, checkpoint, once=True):
-    """Run `step(batch, state, batch_id) -> (new state, log rows)` on every micro-batch.
+    """`run_batch` on every micro-batch; states: {name: schema}, empty before the first.
 
-    states: {name: schema}, empty before the first batch; step returns all of them anew, and rows to
-    add to any logs. A batch may hold several days in any order of arrival, so step has to use the
-    bulk form of the spell operators. With once=True the query stops when all files now there are
-    read. Returns the streaming query.
+    With once=True the query stops when all files now there are read. Returns the streaming query.
     """
-    def run(batch: DataFrame, batch_id: int):
-        spark = batch.sparkSession
-        state = {name: read_version(spark, f"{root}/{name}", batch_id - 1, schema)
-                 for name, schema in states.items()}
-        batch.persist()  # read once for all the tables written
-        try:
-            new_state, logs = step(batch, state, batch_id)
-            missing = set(states) - set(new_state)
-            if missing:
-                raise ValueError(f"no new version of {sorted(missing)}")
-            for name, df in logs.items():
-                df.write.mode("overwrite").parquet(log_path(root, name, batch_id))
-            for name, df in new_state.items():
-                df.write.mode("overwrite").parquet(version_path(f"{root}/{name}", batch_id))
-        finally:
-            batch.unpersist()
-
-    writer = stream.writeStream.foreachBatch(run).option("checkpointLocation", checkpoint)
+    writer = (stream.writeStream.option("checkpointLocation", checkpoint)
+              .foreachBatch(lambda batch, batch_id: run_batch(batch, batch_id, root, states, step)))
     return (writer.trigger(availableNow=True) if once else writer).start()
 
 
@@ -81,17 +85,26 @@ DAY_STATES = {"joueur": STORED["joueur"], **{f"open_{name}": STORED[name] for na
 DAY_LOGS = ["match", "score_match", "stats_equipes", "stats_joueur"]
 
 
-def day_step(root, season=fv.DEFAULT_SEASON, game_type=fv.REGULAR_SEASON):
-    """A step that imports game pages. State: players and open spells. Logs: games, facts, closed spells."""
+def day_step(root, season=fv.DEFAULT_SEASON, game_type=fv.REGULAR_SEASON, injury_list=None, kinds=None):
+    """A step that imports game pages. State: players and open spells. Logs: games, facts, closed spells.
+
+    injury_list(batch_id), if given, is the normalised list to apply after the batch, or None; kinds
+    are the injury types.
+    """
     def step(pages, state, batch_id):
         spark = pages.sparkSession
-        known, last_ids = {"joueur": state["joueur"]}, {}
-        known["match"] = read_log(spark, root, "match", STORED["match"], before=batch_id)
+        log = lambda name, schema: read_log(spark, root, name, schema, before=batch_id)
+        known, last_ids = {"joueur": state["joueur"], "enum_type_blessure": kinds}, {}
+        for name in ("match", "stats_joueur"):
+            known[name] = log(name, STORED[name])
         for name, (id_col, _) in _SPELL_TABLES.items():
             known[name] = state[f"open_{name}"]
-            closed = read_log(spark, root, f"closed_{name}", STORED[name], before=batch_id)
+            closed = log(f"closed_{name}", STORED[name])
             last_ids[name] = max_of(known[name].select(id_col).unionByName(closed.select(id_col)), id_col, 0)
-        outputs = process_days(read_day_pages(pages), known, season, game_type, last_ids=last_ids)
+        outputs = process_days(
+            read_day_pages(pages), known, season, game_type, last_ids=last_ids,
+            injury_list=injury_list(batch_id) if injury_list else None,
+            past_injuries=log("closed_blessure", STORED["blessure"]))
         frames = {name: df for tables in outputs.values() for name, df in tables.items()}
         new_state = {"joueur": state["joueur"].unionByName(frames["joueur"])}
         logs = {name: frames[name] for name in DAY_LOGS}

@@ -121,10 +121,13 @@ def test_import_of_days(spark, rows):
     check_final(stored(day.next_state(empty, both), spark), rows)
 
 
-def test_injury_list_completes_spells(spark, rows):
-    empty = day.empty_state(spark)
-    empty["enum_type_blessure"] = spark.createDataFrame(KINDS, schemas.STORED["enum_type_blessure"])
-    state = stored(day.next_state(empty, day.process_days(day.read_day_pages(first_day(spark)), empty)), spark)
+def test_games_without_two_teams_are_left_out(spark, rows):
+    games = spark.createDataFrame([(D(2021, 1, 5), 0, 0, "BOS", {"final": 1}), (D(2021, 1, 5), 1, 0, "LAL", {"final": 1}), (D(2021, 1, 5), 1, 1, "MIA", {"final": 2})],
+                                  "game_date date, game_no int, team_idx int, id_equipe string, periods map<string,int>")
+    assert rows(day.incomplete_games(games), "game_no", "n_teams") == [(0, 1)]
+
+
+def injuries_of_day(spark, kinds):
     listed = spark.createDataFrame([
         ("B. Bee Bo Bee", "Fri, Jan 8", "Knee"),      # placed in the box score: takes the type
         ("E. Eel Ed Eel", "Wed, Jan 6", "ANKLE"),     # has played: from the day after the last game before
@@ -133,15 +136,26 @@ def test_injury_list_completes_spells(spark, rows):
         ("A. Ant Al Ant", "Sat, Jan 9", "Ankle"),     # after the day imported
         ("F. Fly Fo Fly", "Fri, Jan 8", "Flu"),       # unknown injury
     ], "Player string, Updated string, Injury string")
-    normal = injuries.normalize_injury_list(listed, state["enum_type_blessure"], D(2021, 1, 10), "2021-01-08")
-    assert rows(normal, "nom_simple", "id_type_blessure") == [("bobee", 2), ("didog", 1), ("edeel", 1), ("zizoo", 1)]
-    outputs = day.process_days(day.read_day_pages(second_day(spark)), state, injury_list=normal)
-    final = stored(day.next_state(state, outputs), spark)
+    return injuries.normalize_injury_list(listed, kinds, D(2021, 1, 10), "2021-01-08")
+
+
+def check_injuries(final):
     names = {r["id_joueur"]: r["nom_simple"] for r in final["joueur"].collect()}
     spells = sorted((names[r["id_joueur"]], r["id_type_blessure"], r["date_blessure"], r["date_guerison"]) for r in final["blessure"].collect())
     assert spells == [("bobee", 2, D(2021, 1, 8), None), ("cycat", 99, D(2021, 1, 5), D(2021, 1, 7)),
                       ("didog", 1, D(2021, 1, 7), None), ("edeel", 1, D(2021, 1, 6), None)]
     assert sorted(r["id_blessure"] for r in final["blessure"].collect()) == [1, 2, 3, 4]
+
+
+def test_injury_list_completes_spells(spark, rows):
+    empty = day.empty_state(spark)
+    empty["enum_type_blessure"] = spark.createDataFrame(KINDS, schemas.STORED["enum_type_blessure"])
+    state = stored(day.next_state(empty, day.process_days(day.read_day_pages(first_day(spark)), empty)), spark)
+    normal = injuries_of_day(spark, state["enum_type_blessure"])
+    assert rows(normal, "nom_simple", "id_type_blessure") == [("bobee", 2), ("didog", 1), ("edeel", 1), ("zizoo", 1)]
+    outputs = day.process_days(day.read_day_pages(second_day(spark)), state, injury_list=normal)
+    final = stored(day.next_state(state, outputs), spark)
+    check_injuries(final)
     # The same list again adds nothing.
     known = final["joueur"].select("id_joueur", "nom_simple")
     facts = final["stats_joueur"].join(final["match"], "id_match").select("id_joueur", "date_match").join(known, "id_joueur")

@@ -7,7 +7,9 @@ from courtledger.operators.history import scd2_build
 from courtledger.sources.tables import version_path
 from courtledger.streaming.ingest import (DAY_STATES, day_step, dedup_stream, ingest_stream, log_path, read_days, read_log,
                                           read_state, spell_step)
-from tests.test_plans import check_final, first_day, second_day
+from courtledger.schemas import STORED
+from courtledger.streaming.ingest import run_batch
+from tests.test_plans import KINDS, check_final, check_injuries, first_day, injuries_of_day, second_day
 
 D = datetime.date
 SPELLS = T.StructType([T.StructField("k", T.IntegerType()), T.StructField("team", T.StringType()),
@@ -57,6 +59,15 @@ def test_pages_arriving_day_by_day(spark, rows, tmp_path):
     check_final(read_days(spark, root), rows)
 
 
+def test_days_as_batches_with_an_injury_list(spark, tmp_path):
+    """The list comes with the second day, whose batch is run twice, as after a failure."""
+    root, kinds = str(tmp_path), spark.createDataFrame(KINDS, STORED["enum_type_blessure"])
+    step = day_step(root, injury_list=lambda batch_id: injuries_of_day(spark, kinds) if batch_id == 1 else None, kinds=kinds)
+    for batch_id, pages in ((0, first_day(spark)), (1, second_day(spark)), (1, second_day(spark))):
+        run_batch(pages, batch_id, root, DAY_STATES, step)
+    check_injuries(read_days(spark, root))
+
+
 def test_repeated_games_in_a_stream(spark, tmp_path):
     games = [(D(2021, 1, 1), "BOS", "PHI"), (D(2021, 1, 1), "BOS", "PHI"), (D(2021, 1, 2), "BOS", "PHI")]
     spark.createDataFrame(games, "day date, home string, away string").write.parquet(str(tmp_path / "in"))
