@@ -6,6 +6,7 @@ import __spark_entry__ as contract
 import check_queries
 
 SF = "/root/testdata/sf0.001"
+READ_PAGES = {"html_tables", "page_tables", "box_score", "game_tables", "team_stats"}
 
 
 @pytest.fixture(scope="module")
@@ -21,4 +22,8 @@ def test_contract(spark):
 
 @pytest.mark.parametrize("name", sorted(contract.queries()))
 def test_query(spark, db, name):
-    assert check_queries.compare(contract.queries()[name](spark, SF), db, contract.oracle_sql()[name]) is None
+    df = contract.queries()[name](spark, SF)
+    plan = df._jdf.queryExecution().executedPlan().toString()
+    assert "CartesianProduct" not in plan and "BroadcastNestedLoopJoin" not in plan
+    assert ("Python" in plan or "MapInArrow" in plan) == (name in READ_PAGES)
+    assert check_queries.compare(df, db, contract.oracle_sql()[name]) is None
