@@ -20,14 +20,20 @@ def cells_to_columns(df: DataFrame, names, cells="cells", keep=()) -> DataFrame:
 
 
 def period_names(n_periods) -> Column:
-    """q1..q4, then one overtime name per extra period, then final."""
-    regular = F.array(*[F.lit(p) for p in fv.REGULAR_PERIODS])
+    """q1..q4, then one overtime name per extra period, then final.
+
+    The usual widths, up to two overtimes, are constants; others are put together row by row.
+    """
+    def names(overtimes):
+        extra = [f"{fv.OVERTIME_PREFIX}{i + 1}" for i in range(overtimes)]
+        return F.array(*[F.lit(p) for p in [*fv.REGULAR_PERIODS, *extra, fv.FINAL_PERIOD]])
+
     extra = as_column(n_periods) - len(fv.REGULAR_PERIODS) - 1
-    overtime = F.when(extra > 0, F.transform(
-        F.sequence(F.lit(1), F.greatest(extra, F.lit(1))),
-        lambda i: F.concat(F.lit(fv.OVERTIME_PREFIX), i.cast("string")))
-    ).otherwise(F.array().cast("array<string>"))
-    return F.concat(regular, overtime, F.array(F.lit(fv.FINAL_PERIOD)))
+    overtimes = F.transform(F.sequence(F.lit(1), F.greatest(extra, F.lit(1))),
+                            lambda i: F.concat(F.lit(fv.OVERTIME_PREFIX), i.cast("string")))
+    regular = F.array(*[F.lit(p) for p in fv.REGULAR_PERIODS])
+    return (F.when(extra == 0, names(0)).when(extra == 1, names(1)).when(extra == 2, names(2))
+             .otherwise(F.concat(regular, overtimes, F.array(F.lit(fv.FINAL_PERIOD)))))
 
 
 def period_map(values) -> Column:

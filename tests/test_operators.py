@@ -11,11 +11,12 @@ D = datetime.date
 
 
 def test_periods_by_width(spark, rows):
-    df = spark.createDataFrame([(1, [1, 2, 3, 4, 10]), (2, [1, 2, 3, 4, 5, 15]), (3, [1, 2, 3, 4, 5, 6, 21]), (4, [1, 2])], "g int, v array<int>")
+    df = spark.createDataFrame([(1, [1, 2, 3, 4, 10]), (2, [1, 2, 3, 4, 5, 15]), (3, [1, 2, 3, 4, 5, 6, 21]), (4, [1, 2]),
+                                (5, [1, 2, 3, 4, 5, 6, 7, 8, 36])], "g int, v array<int>")
     out = {r["g"]: r["p"] for r in df.select("g", reshape.period_map("v").alias("p")).collect()}
     assert out[1] == {"q1": 1, "q2": 2, "q3": 3, "q4": 4, "final": 10}
     assert out[3] == {"q1": 1, "q2": 2, "q3": 3, "q4": 4, "pr1": 5, "pr2": 6, "final": 21}
-    assert out[4] is None
+    assert out[4] is None and out[5]["pr4"] == 8 and out[5]["final"] == 36
     melted = reshape.melt_map(df.filter("g = 2").select("g", reshape.period_map("v").alias("p")), ["g"], "p", "period", "points")
     assert ("pr1", 5) in rows(melted, "period", "points") and melted.count() == 6
 
