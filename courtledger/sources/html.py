@@ -22,8 +22,9 @@ TABLE_FIELDS = [
 _TOKEN = re.compile(
     r"<tr>(?P<row>(?:\s*+<t(?:d>[^<]*+</td>|h>[^<]*+</th>))++)\s*+</tr>"
     r"|<!--.*?(?:-->|\Z)"
-    r"|<(?:script|style)\b.*?(?:</(?:script|style)\s*>|\Z)"
-    r"|<(?P<end>/?)(?P<tag>[a-zA-Z][a-zA-Z0-9:-]*)(?P<attrs>(?:[^>\"']++|\"[^\"]*\"|'[^']*')*+)>",
+    r"|<(?P<raw>script|style)\b.*?(?:</(?P=raw)\s*>|\Z)"
+    # Quotes count only after an equals sign.
+    r"|<(?P<end>/?)(?P<tag>[a-zA-Z][a-zA-Z0-9:-]*)(?P<attrs>(?:[^>=]++|=\s*+(?:\"[^\"]*+\"|'[^']*+')?+)*+)>",
     re.S | re.I)
 _PLAIN_CELL = re.compile(r"<(t[dh])>([^<]*)<", re.I)
 _UNCLEAN = re.compile(r"&|[\r\n]|\s\s|>\s|\s<")
@@ -111,24 +112,25 @@ def _fill_spans(rows):
     return filled
 
 
+def _add_text(tables, text):
+    for table in tables:
+        if table.cell is not None:
+            table.cell[0].append(text)
+
+
 def read_tables(page):
     """[(header rows, body rows)] of a page in page order, nested tables included, empty ones not."""
     found, open_tables = [], []
     hidden, depth, at = None, 0, 0
     for token in _TOKEN.finditer(page):
         if open_tables and hidden is None and token.start() > at:
-            text = page[at:token.start()]
-            for table in open_tables:
-                if table.cell is not None:
-                    table.cell[0].append(text)
+            _add_text(open_tables, page[at:token.start()])
         at = token.end()
         row = token["row"]
         if row is not None:
             if open_tables and hidden is None:
                 cells = _PLAIN_CELL.findall(row)
-                for table in open_tables[:-1]:
-                    if table.cell is not None:
-                        table.cell[0].extend(text for _, text in cells)
+                _add_text(open_tables[:-1], "".join(text for _, text in cells))
                 open_tables[-1].plain_row(cells, _UNCLEAN.search(row) is not None)
             continue
         tag = token["tag"]
@@ -167,6 +169,8 @@ def read_tables(page):
         elif tag == "table":
             table.end_row()
             open_tables.pop()
+    if open_tables and hidden is None:
+        _add_text(open_tables, page[at:])
     for table in open_tables:
         table.end_row()
     tables = (table.rows() for table in found)

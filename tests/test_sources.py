@@ -25,8 +25,10 @@ def test_tables_of_a_page():
 def test_spans_and_damage():
     assert read_tables("<table><tr><td colspan=2>a<td rowspan='2'>b<tr><td>c<td>d<tr><td>e</table>") == [
         ([], [["a", "a", "b"], ["c", "d", "b"], ["e", None, None]])]
-    assert read_tables("<table><tr><td>never closed") == [([], [["never closed"]])] or \
-        read_tables("<table><tr><td>never closed") == []
+    assert read_tables("<table><tr><td data=o'neal>x</td><td title='a > b'>y</td><td class=\"c>z</td></tr></table>") == [
+        ([], [["x", "y", "z"]])]
+    assert read_tables("<table><tr><td>a</td><td><script>s='</style><td>'</script>b</table>") == [([], [["a", "b"]])]
+    assert read_tables("<table><tr><td>never closed") == [([], [["never closed"]])]
     assert read_tables("no table < here > at all") == []
     assert read_tables("<table><tr><td style='color:red; display: none'>x</td><td>y</td></tr></table>") == [([], [["y"]])]
 
