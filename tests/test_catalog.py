@@ -4,6 +4,7 @@ import pytest
 
 import __spark_entry__ as contract
 import check_queries
+from courtledger import catalog
 
 SF = "/root/testdata/sf0.001"
 READ_PAGES = {"html_tables", "page_tables", "box_score", "game_tables", "team_stats"}
@@ -15,15 +16,15 @@ def db():
 
 
 def test_contract(spark):
-    queries, sql = contract.queries(), contract.oracle_sql()
-    assert set(sql) == set(queries)
+    assert set(catalog.all_sql()) == set(catalog.all_queries())
+    assert set(catalog.all_queries()) <= set(contract.queries()) and set(contract.oracle_sql()) <= set(contract.queries())
     assert contract.entry(spark).count() > 0
 
 
-@pytest.mark.parametrize("name", sorted(contract.queries()))
+@pytest.mark.parametrize("name", sorted(catalog.all_queries()))
 def test_query(spark, db, name):
-    df = contract.queries()[name](spark, SF)
+    df = catalog.all_queries()[name](spark, SF)
     plan = df._jdf.queryExecution().executedPlan().toString()
     assert "CartesianProduct" not in plan and "BroadcastNestedLoopJoin" not in plan
     assert ("Python" in plan or "MapInArrow" in plan) == (name in READ_PAGES)
-    assert check_queries.compare(df, db, contract.oracle_sql()[name]) is None
+    assert check_queries.compare(df, db, catalog.all_sql()[name]) is None
