@@ -2,7 +2,7 @@
 
 from importlib import import_module
 
-MODULES = ("secrets", "pii", "packing", "token_counts", "piece_codec")
+MODULES = ("secret_scan", "dedup", "pii", "packing", "warc", "token_counts", "piece_codec", "fingerprints", "toxicity")
 
 
 def _registered(kind):
