@@ -14,6 +14,7 @@ table gives an empty table; columns other than id and text are never read for a
 
 import re
 import zlib
+from math import ceil
 
 import numpy as np
 from pyspark.sql import DataFrame, functions as F
@@ -27,7 +28,8 @@ QUERIES, SQL, query = registry()
 SAMPLE = 12_000
 BITS, SCALE = 18, 3.0
 PREFIXES = (4, 5, 6, 7)
-EPOCHS, AVERAGED, RATE, DECAY, BATCH, POSITIVES = 20, 5, 0.02, 3e-4, 512, 64
+#: Passes over the sample, more of them for a small one, so that as many steps are made; the last quarter is averaged.
+EPOCHS, STEPS, RATE, DECAY, BATCH, POSITIVES = 20, 460, 0.02, 3e-4, 512, 64
 HOLD_OUT = 5
 WORD = re.compile(r"[^\W\d_]+")
 #: Words whose score a worker remembers.
@@ -108,8 +110,9 @@ def train(rows, positive, seed=0):
     state = [np.zeros(width + 1), np.zeros(width + 1)]
     mean, n_mean = np.zeros(width + 1), 0
     confirmed, step = np.flatnonzero(positive), 0
-    for epoch in range(EPOCHS):
-        n_batches = max(1, len(rows) // BATCH)
+    n_batches = max(1, len(rows) // BATCH)
+    epochs = max(EPOCHS, ceil(STEPS / n_batches))
+    for epoch in range(epochs):
         unlabelled = np.array_split(rng.permutation(len(rows)), n_batches)
         examples = np.array_split(rng.permutation(np.resize(confirmed, max(len(confirmed), n_batches * POSITIVES))), n_batches)
         for u, p in zip(unlabelled, examples):
@@ -124,7 +127,7 @@ def train(rows, positive, seed=0):
             state[1] = 0.999 * state[1] + 0.001 * g * g
             move = RATE * (state[0] / (1 - 0.9 ** step)) / (np.sqrt(state[1] / (1 - 0.999 ** step)) + 1e-8)
             weights, bias = weights - move[:-1], bias - move[-1]
-        if epoch >= EPOCHS - AVERAGED:
+        if 4 * epoch >= 3 * epochs:
             mean, n_mean = mean + np.append(weights, bias), n_mean + 1
     mean /= n_mean
     return (mean[:-1] * SCALE).astype(np.float32), float(mean[-1])
