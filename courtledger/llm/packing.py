@@ -11,6 +11,7 @@ Defined cases: a null or empty text is one piece with the end id alone; repeated
 an empty table gives an empty table; other columns are ignored. Ties are broken by document, then piece.
 """
 
+import struct
 import zlib
 from math import ceil
 
@@ -29,7 +30,7 @@ SEQUENCE, END_ID, GROUP = 2048, 0, 16_384
 
 
 def _as_bytes(ids) -> bytes:
-    return np.asarray(ids, dtype="<u4").tobytes()
+    return struct.pack(f"<{len(ids)}I", *ids)
 
 
 def text_ids(text: str, splitter: Splitter, encoded: Cache) -> bytes:

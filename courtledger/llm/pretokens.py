@@ -22,6 +22,13 @@ def unassigned(text: str) -> bool:
     return not text.isascii() and any(unicodedata.category(c) == "Cn" for c in set(text) if c > "˿")
 
 
+def byte_letters() -> dict:
+    """The letter that stands for each byte in a byte-level vocabulary: itself if it is printable, else the next one from 256 on."""
+    printable = {*range(33, 127), *range(161, 173), *range(174, 256)}
+    others = [b for b in range(256) if b not in printable]
+    return {b: chr(256 + k) for k, b in enumerate(others)}
+
+
 class Splitter:
     """`pieces(text)`: normalised pieces of a text, and the ids of the special strings between them."""
 
@@ -30,6 +37,7 @@ class Splitter:
         self.tokenizer = Tokenizer.from_str(spec)
         self.tokenizer.no_truncation()
         self.tokenizer.no_padding()
+        self.merges, self.letters = self.tokenizer.model, byte_letters()
         self.special = {t["content"]: t["id"] for t in config["added_tokens"]}
         if any(t["lstrip"] or t["rstrip"] or t["single_word"] or t["normalized"] for t in config["added_tokens"]):
             raise ValueError("special strings that take part of their surroundings are not supported")
@@ -59,6 +67,11 @@ class Splitter:
             part = part.lower()
         return self.find(part)
 
+    def encode_piece(self, piece: str):
+        """Ids of one piece, straight from the merges: neither special strings nor the normaliser can touch it any more."""
+        letters = piece.encode().decode("latin-1").translate(self.letters)
+        return [t.id for t in self.merges.tokenize(letters)]
+
     def encode(self, text: str):
         return self.tokenizer.encode(text, add_special_tokens=False).ids
 
@@ -71,7 +84,7 @@ class Cache(dict):
         self.splitter, self.value, self.shared, self.limit = splitter, value, shared, limit
 
     def __missing__(self, piece):
-        found = self.value(self.splitter.encode(piece))
+        found = self.value(self.splitter.encode_piece(piece))
         if len(self) >= self.limit:
             self.clear()
             self.update(self.shared)
