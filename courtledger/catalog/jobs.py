@@ -112,15 +112,15 @@ def _day_inputs(spark, sf):
     return {"games": games, "players": players, "teams": teams}
 
 
-def _import(spark, sf, twice=False):
-    """All days at once, or in two imports of which the second repeats the last day of the first."""
+def _import(spark, sf, groups, twice=False):
+    """Groups of all days at once, or in two imports of which the second repeats the last day of the first."""
     inputs, state = _day_inputs(spark, sf), empty_state(spark)
     if twice:
-        first = process_days({name: df.filter("game_date <= date'2024-01-15'") for name, df in inputs.items()}, state)
+        first = process_days({name: df.filter("game_date <= date'2024-01-15'") for name, df in inputs.items()}, state, groups=("match", *groups))
         stored = {g: {name: cut_lineage(df) for name, df in tables.items()} for g, tables in first.items()}
         state = next_state(state, stored)
         inputs = {name: df.filter("game_date >= date'2024-01-15'") for name, df in inputs.items()}
-    return next_state(state, process_days(inputs, state))
+    return next_state(state, process_days(inputs, state, groups=groups))
 
 
 _GAMES = """games AS (SELECT game_date, game_no, row_number() OVER (ORDER BY game_date, game_no) AS id_match
@@ -133,7 +133,7 @@ _GAMES = """games AS (SELECT game_date, game_no, row_number() OVER (ORDER BY gam
            t || game_no AS id_equipe, p AS id_periode, CAST(CASE WHEN p = 'q1' THEN game_no + 1 ELSE game_no + i END AS INTEGER) AS score_periode
     FROM teams, (VALUES ('q1'), ('final')) AS periods(p)""")
 def day_import_games(spark, sf):
-    state = _import(spark, sf)
+    state = _import(spark, sf, ["match"])
     return state["match"].join(state["score_match"], "id_match").select(
         "id_match", "date_match", "equipe_exterieure", "equipe_domicile", "id_saison", "id_equipe", "id_periode", "score_periode")
 
@@ -146,7 +146,7 @@ def day_import_games(spark, sf):
     SELECT 'user' || user_id AS nom_simple, team AS id_equipe, day AS date_debut_contrat,
            lead(day) OVER (PARTITION BY user_id ORDER BY day) - 1 AS date_fin_contrat FROM marked WHERE before IS NULL OR before <> team""")
 def day_import_contracts(spark, sf):
-    state = _import(spark, sf, twice=True)
+    state = _import(spark, sf, ["joueur", "contrat"], twice=True)
     return state["contrat"].join(state["joueur"].select("id_joueur", "nom_simple"), "id_joueur").select(
         "nom_simple", "id_equipe", "date_debut_contrat", "date_fin_contrat")
 
@@ -158,7 +158,7 @@ def day_import_contracts(spark, sf):
     runs AS (SELECT *, lead(day) OVER (PARTITION BY user_id ORDER BY day) AS next_day FROM marked WHERE before IS NULL OR before <> hurt)
     SELECT 'user' || user_id AS nom_simple, 99 AS id_type_blessure, day AS date_blessure, next_day - 1 AS date_guerison FROM runs WHERE hurt""")
 def day_import_injuries(spark, sf):
-    state = _import(spark, sf, twice=True)
+    state = _import(spark, sf, ["joueur", "blesse"], twice=True)
     return state["blessure"].join(state["joueur"].select("id_joueur", "nom_simple"), "id_joueur").select(
         "nom_simple", "id_type_blessure", "date_blessure", "date_guerison")
 
@@ -170,4 +170,4 @@ def day_import_injuries(spark, sf):
     JOIN (SELECT user_id, row_number() OVER (ORDER BY 'user' || user_id) AS id_joueur FROM (SELECT DISTINCT user_id FROM events)) USING (user_id)
     WHERE event_type NOT IN ('error', 'signup')""")
 def day_import_facts(spark, sf):
-    return _import(spark, sf)["stats_joueur"].select("id_match", "id_joueur", "points", "minute")
+    return _import(spark, sf, ["stats"])["stats_joueur"].select("id_match", "id_joueur", "points", "minute")

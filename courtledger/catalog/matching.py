@@ -7,8 +7,9 @@ from courtledger.functions.text import contains_any, normalize_name
 from courtledger.operators.keys import add_members as add_members_op, allocate_ids as allocate_ids_op
 from courtledger.operators.matching import (active_or_injured as active_op, all_duplicates as all_duplicates_op,
                                             drop_members, exclude_marginal, invert, keep_members, latest_per_key,
-                                            lookup, resolve_key as resolve_key_op, unknown_members as unknown_op,
+                                            lookup, mark_members, resolve_key as resolve_key_op, unknown_members as unknown_op,
                                             update_from as update_from_op)
+from courtledger.operators.skew import own_shuffle
 from courtledger.plans.injuries import unseen_with_history as unseen_with_op, unseen_without_history as unseen_without_op
 from courtledger.sources.tables import max_of
 
@@ -41,8 +42,10 @@ def unseen_with_history(spark, sf):
     seen = keep_members(named, users, ["c_custkey"], hot=False).select("c_name")
     last = orders.groupBy("o_custkey").agg(F.max(date("o_orderdate")).alias("day"))
     facts = last.join(named, F.col("o_custkey") == F.col("c_custkey")).select("c_name", "o_custkey", "day")
-    shipped = orders.join(lineitem, F.col("o_orderkey") == F.col("l_orderkey")) \
-                    .select("o_custkey", date("l_shipdate").alias("start_day"))
+    def shipped(candidates):
+        """Shipping days of the candidates alone: orders are reduced before the line items are joined."""
+        own = orders.select("o_orderkey", "o_custkey").join(own_shuffle(candidates), "o_custkey", "left_semi")
+        return own.join(lineitem, F.col("o_orderkey") == F.col("l_orderkey")).select("o_custkey", date("l_shipdate").alias("start_day"))
     return unseen_with_op(listed, seen, facts, nation, shipped, name="c_name", key="o_custkey", day="day",
                           kind="kind", kind_name="n_name", kind_id="n_nationkey", start="start_day")
 
@@ -173,13 +176,14 @@ def update_from(spark, sf):
 
 
 @query("""
-    SELECT o.o_orderkey, o.o_custkey, e.event_id FROM orders o
-    LEFT JOIN (SELECT event_id, user_id FROM events WHERE event_type = 'signup') e ON o.o_custkey = e.user_id""")
+    SELECT o.o_orderkey, o.o_custkey, m.name FROM orders o
+    LEFT JOIN (SELECT c_custkey AS k, c_name AS name FROM customer WHERE c_acctbal > 0 UNION ALL SELECT s_suppkey, s_name FROM supplier) m ON o.o_custkey = m.k""")
 def resolve_key(spark, sf):
-    """Homonyms in the dimension (several sign-ups of a user) multiply rows; unknown keys give null."""
+    """Homonyms in the dimension (a customer and a supplier of one number) multiply rows; unknown keys give null."""
     orders = table(spark, sf, "orders").select("o_orderkey", "o_custkey")
-    dim = table(spark, sf, "events").filter("event_type = 'signup'").select(F.col("user_id").alias("o_custkey"), "event_id")
-    return resolve_key_op(orders, dim, ["o_custkey"], "event_id")
+    customers = table(spark, sf, "customer").filter("c_acctbal > 0").select(F.col("c_custkey").alias("o_custkey"), F.col("c_name").alias("name"))
+    suppliers = table(spark, sf, "supplier").select("s_suppkey", "s_name")
+    return resolve_key_op(orders, customers.union(suppliers), ["o_custkey"], "name")
 
 
 # Group -> members, for the look-up by inverted map.
@@ -237,9 +241,7 @@ def dim_joins(spark, sf):
 def semi_anti(spark, sf):
     customer = table(spark, sf, "customer").select("c_custkey", "c_name")
     partial = table(spark, sf, "orders").filter("o_orderstatus = 'P'").select(F.col("o_custkey").alias("c_custkey"))
-    on = ["c_custkey"]
-    return (keep_members(customer, partial, on).withColumn("has_orders", F.lit(True))
-            .unionByName(drop_members(customer, partial, on).withColumn("has_orders", F.lit(False))))
+    return mark_members(customer, partial, ["c_custkey"], "has_orders", hot=False)
 
 
 @query("""

@@ -34,9 +34,19 @@ def drop_members(df: DataFrame, known: DataFrame, on, unique=False, hot=True) ->
     return df.join(_keys_of(known, on, unique, hot), on, "left_anti")
 
 
-def unknown_members(df: DataFrame, dim: DataFrame, on, columns) -> DataFrame:
-    """The rows without a member in the dimension, not made unique."""
-    return drop_members(df, dim, on, unique=True).select(*columns)
+def mark_members(df: DataFrame, known: DataFrame, on, name, hot=True) -> DataFrame:
+    """Every row, with whether its key is known: both halves of a split in one join."""
+    marker = known.select(*on).distinct().withColumn("_known", F.lit(True))
+    joined = df.join(own_shuffle(marker) if hot else marker, list(on), "left")
+    return joined.select(*df.columns, F.coalesce("_known", F.lit(False)).alias(name))
+
+
+def unknown_members(df: DataFrame, dim: DataFrame, on, columns, unique=False) -> DataFrame:
+    """The rows without a member in the dimension, not made unique.
+
+    unique: the dimension has few rows per key already; else it is reduced to its keys first.
+    """
+    return drop_members(df, dim, on, unique=unique).select(*columns)
 
 
 def exclude_marginal(df: DataFrame, known: DataFrame, columns) -> DataFrame:
@@ -61,13 +71,22 @@ def exclude_marginal(df: DataFrame, known: DataFrame, columns) -> DataFrame:
 
 
 def all_duplicates(df: DataFrame, keys) -> DataFrame:
-    """Every row whose key occurs more than once; null keys count as equal."""
-    named = [F.col(k).alias(f"_k{i}") for i, k in enumerate(keys)]
-    repeated = (df.select(*named).groupBy(*[f"_k{i}" for i in range(len(keys))])
-                  .agg(F.count(F.lit(1)).alias("_n")).filter("_n > 1").drop("_n"))
-    # A null-safe join shuffles by other expressions than the aggregate: it needs no own_shuffle.
-    same = [df[k].eqNullSafe(repeated[f"_k{i}"]) for i, k in enumerate(keys)]
-    return df.join(repeated, reduce(Column.__and__, same), "left_semi")
+    """Every row whose key occurs more than once; null keys count as equal.
+
+    Keys are shuffled as 128 bits of hash, however long they are: rows are counted by hash, the repeated hashes are few, and
+    only rows that have one of them are counted by their keys. A hash shared by chance costs work, never a wrong row.
+    """
+    names = [f"_k{i}" for i in range(len(keys))]
+    digest = F.md5(F.concat(*[F.concat(F.when(F.col(k).isNull(), "0").otherwise(F.concat(F.lit("1"), F.length(F.col(k).cast("string")).cast("string"))),
+                                       F.lit(":"), F.coalesce(F.col(k).cast("string"), F.lit(""))) for k in keys]))
+    hashed = df.withColumn("_h", digest)
+    common = hashed.groupBy("_h").agg(F.count(F.lit(1)).alias("_n")).filter("_n > 1").select("_h")
+    suspects = hashed.join(own_shuffle(common), "_h", "left_semi")
+    repeated = (suspects.select("_h", *[F.col(k).alias(n) for k, n in zip(keys, names)]).groupBy("_h", *names)
+                .agg(F.count(F.lit(1)).alias("_n")).filter("_n > 1").drop("_n").withColumnRenamed("_h", "_g"))
+    same = [suspects[k].eqNullSafe(repeated[n]) for k, n in zip(keys, names)]
+    # The hash alone is what both sides are shuffled by; the keys are compared where it agrees.
+    return suspects.join(repeated, reduce(Column.__and__, same, suspects["_h"] == repeated["_g"]), "left_semi").select(*df.columns)
 
 
 def resolve_key(df: DataFrame, dim: DataFrame, on, id_col) -> DataFrame:

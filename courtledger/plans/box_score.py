@@ -1,5 +1,7 @@
 """From the tables of game pages to clean player, game and team rows."""
 
+from functools import reduce
+
 from pyspark.sql import DataFrame, functions as F
 
 from courtledger import fixed_values as fv
@@ -40,7 +42,20 @@ def normalize_box_score(tables: DataFrame, keys=GAME) -> DataFrame:
 
 
 def rejected_rows(players: DataFrame) -> DataFrame:
-    return players.filter((F.size("rejected") > 0) | F.col("nom").isNull())
+    """Rows with something unreadable, or of which nobody can tell whether they played."""
+    return players.filter((F.size("rejected") > 0) | F.col("nom").isNull() | F.col("dnp").isNull())
+
+
+def rejected_games(games: DataFrame, teams: DataFrame | None = None, keys=GAME) -> DataFrame:
+    """Games with a reason: a team is missing, periods are too few or unreadable, team figures are unreadable."""
+    counted = games.groupBy(*keys).agg(
+        F.count(fv.TEAM_COLUMN).alias("n"),
+        F.bool_or(F.col("periods").isNull() | F.exists(F.map_values("periods"), lambda v: v.isNull())).alias("bad"))
+    reasons = [counted.filter("n <> 2").select(*keys, F.concat(F.col("n").cast("string"), F.lit(" teams")).alias("reason")),
+               counted.filter("bad").select(*keys, F.lit("periods").alias("reason"))]
+    if teams is not None and "rejected" in teams.columns:
+        reasons.append(teams.filter(F.size("rejected") > 0).select(*keys, F.explode("rejected").alias("reason")).distinct())
+    return reduce(DataFrame.unionByName, reasons)
 
 
 def game_tables(tables: DataFrame, keys=GAME) -> DataFrame:
@@ -55,7 +70,7 @@ def game_tables(tables: DataFrame, keys=GAME) -> DataFrame:
 def team_tables(tables: DataFrame, keys=GAME) -> DataFrame:
     rows = body_rows(tables, 1, 1)
     named = cells_to_columns(rows, fv.TEAM_STAT_COLUMNS, keep=[*keys, "row_idx"])
-    return cast_measures(named, keep=[*keys, "row_idx", fv.TEAM_COLUMN], rejects=None)
+    return cast_measures(named, keep=[*keys, "row_idx", fv.TEAM_COLUMN])
 
 
 def player_facts(players: DataFrame, id_match="id_match") -> DataFrame:

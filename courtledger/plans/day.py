@@ -4,6 +4,8 @@ State is a dict of frames named as in `schemas.STORED`; a job returns what to ap
 to replace, and never changes what it reads.
 """
 
+from functools import cached_property
+
 from pyspark.sql import DataFrame, functions as F
 
 from courtledger import fixed_values as fv, schemas
@@ -11,12 +13,13 @@ from courtledger.operators.history import event_spells_apply, scd2_apply
 from courtledger.operators.keys import allocate_ids, new_members
 from courtledger.operators.matching import active_or_injured, resolve_key
 from courtledger.operators.reshape import melt_map, pivot_pair
+from courtledger.operators.skew import own_shuffle
 from courtledger.plans.box_score import (GAME, game_tables, normalize_box_score, player_facts,
-                                         rejected_rows, team_facts, team_tables)
+                                         rejected_games, rejected_rows, team_facts, team_tables)
 from courtledger.plans.injuries import apply_injury_list
 from courtledger.session import cut_lineage
-from courtledger.sources.html import extract_html_tables, pages_without_tables
-from courtledger.sources.tables import max_of
+from courtledger.sources.html import extract_html_tables
+from courtledger.sources.tables import max_of, max_of_all
 
 
 def read_day_pages(pages: DataFrame) -> dict:
@@ -29,7 +32,13 @@ def read_day_pages(pages: DataFrame) -> dict:
     players = normalize_box_score(box)
     return {"players": players, "games": game_tables(summary), "teams": team_tables(summary),
             "rejected_players": rejected_rows(players),
-            "rejected_pages": pages_without_tables(pages).select(*GAME, "kind")}
+            "rejected_pages": unread_pages(pages, tables)}
+
+
+def unread_pages(pages: DataFrame, tables: DataFrame) -> DataFrame:
+    """Pages of which no table row could be read, with or without a table in them."""
+    key = [*GAME, "kind"]
+    return pages.select(*key).distinct().join(own_shuffle(tables.select(*key).distinct()), key, "left_anti")
 
 
 def incomplete_games(games: DataFrame) -> DataFrame:
@@ -61,79 +70,118 @@ def _with_ids(changed: DataFrame, id_col, order, after) -> DataFrame:
     return changed.filter(F.col(id_col).isNotNull()).unionByName(fresh)
 
 
+ID_COLUMNS = {"match": "id_match", "joueur": "id_joueur", "contrat": "id_contrat", "blessure": "id_blessure"}
+GROUPS = ("joueur", "match", "contrat", "blesse", "stats", "rejects")
+
+
+class _Import:
+    """The steps of one import. Each is worked out when it is first asked for, and rows that several steps read are stored once."""
+
+    def __init__(self, inputs, state, season, game_type, injury_list, last_ids, past_injuries, last_seen):
+        self.inputs, self.state, self.season, self.game_type = inputs, state, season, game_type
+        self.injury_list, self.past_injuries, self.last_seen = injury_list, past_injuries, last_seen
+        self.given_ids = dict(last_ids or {})
+
+    @cached_property
+    def last_ids(self):
+        asked = {t: (self.state[t], c) for t, c in ID_COLUMNS.items() if t not in self.given_ids}
+        found = max_of_all(asked)
+        return {t: self.given_ids.get(t) or found.get(t) or 0 for t in ID_COLUMNS}
+
+    @cached_property
+    def games(self):
+        pairs = pivot_pair(self.inputs["games"], GAME, "team_idx", fv.TEAM_COLUMN, ["equipe_exterieure", "equipe_domicile"])
+        pairs = pairs.dropna(subset=["equipe_exterieure", "equipe_domicile"])
+        return allocate_ids(dedup_games(pairs, self.state["match"]), "id_match", GAME, self.last_ids["match"])
+
+    @cached_property
+    def ids(self):
+        return self.games.select("id_match", *GAME)
+
+    @cached_property
+    def rows(self):
+        return self.inputs["players"].join(self.ids, GAME)
+
+    @cached_property
+    def members(self):
+        return new_members(self.state["joueur"].select("id_joueur", "nom_simple"), self.rows, ["nom_simple"],
+                           ["nom", "nom_simple"], "id_joueur", self.last_ids["joueur"])
+
+    @cached_property
+    def known(self):
+        names = ["id_joueur", "nom_simple"]
+        return self.state["joueur"].select(*names).unionByName(self.members.select(*names))
+
+    @cached_property
+    def listed(self):
+        team_of = self.inputs["games"].select(*GAME, "team_idx", fv.TEAM_COLUMN)
+        return cut_lineage(resolve_key(self.rows.filter(active_or_injured()), self.known, ["nom_simple"], "id_joueur")
+                           .join(team_of, [*GAME, "team_idx"]))
+
+    def joueur(self):
+        return {"joueur": self.members}
+
+    def match(self):
+        match = self.games.select("id_match", F.lit(self.season).alias("id_saison"), F.col("game_date").alias("date_match"),
+                                  "equipe_domicile", "equipe_exterieure", F.lit(self.game_type).alias("id_type_match"))
+        periods = melt_map(self.inputs["games"].join(self.ids, GAME), [fv.TEAM_COLUMN, "id_match"], "periods", "id_periode", "score_periode")
+        return {"match": match, "score_match": periods, "stats_equipes": team_facts(self.inputs["teams"].join(self.ids, GAME))}
+
+    def contrat(self):
+        contracts = scd2_apply(self.state["contrat"], self.listed, "id_joueur", fv.TEAM_COLUMN, "game_date",
+                               "date_debut_contrat", "date_fin_contrat", order=["game_no", "team_idx"], store=cut_lineage)
+        return {"contrat": _with_ids(contracts.all(), "id_contrat", ["id_joueur", "date_debut_contrat"], self.last_ids["contrat"])}
+
+    def blesse(self):
+        spells = event_spells_apply(self.state["blessure"], self.listed, "id_joueur", "blesse", "game_date", "date_blessure",
+                                    "date_guerison", {"id_type_blessure": fv.UNKNOWN_INJURY_TYPE}, store=cut_lineage).all()
+        if self.injury_list is not None:
+            spells = apply_injury_list(spells, self.known, self.injury_list, self._facts(), self.state["enum_type_blessure"],
+                                       store=cut_lineage, past=self.past_injuries)
+        return {"blessure": _with_ids(spells, "id_blessure", ["id_joueur", "date_blessure", "id_type_blessure"], self.last_ids["blessure"])}
+
+    def _facts(self):
+        """Last game day per player; the list is read on the last day, before that day's player facts are stored."""
+        seen = self.last_seen
+        if seen is None:
+            seen = (self.state["stats_joueur"].select("id_joueur", "id_match").join(self.state["match"].select("id_match", "date_match"), "id_match")
+                    .groupBy("id_joueur").agg(F.max("date_match").alias("date_match")))
+        today = self.listed.filter(~F.col("dnp")).select("id_joueur", F.col("game_date").alias("date_match"))
+        last_day = max_of(self.games, "game_date")
+        if last_day is not None:
+            today = today.filter(F.col("date_match") < F.lit(last_day))
+        return seen.select("id_joueur", "date_match").unionByName(today).join(self.known, "id_joueur")
+
+    def stats(self):
+        return {"stats_joueur": player_facts(self.listed)}
+
+    def rejects(self):
+        place = [*GAME, "team_idx", "row_idx", "nom"]
+        players = self.inputs.get("rejected_players")
+        pages = self.inputs.get("rejected_pages")
+        empty = lambda name: self.inputs["games"].sparkSession.createDataFrame([], schemas.REJECTS[name])
+        return {"rejected_rows": empty("rejected_rows") if players is None else players.select(*place, F.array_join("rejected", ",").alias("rejected")),
+                "rejected_games": rejected_games(self.inputs["games"], self.inputs["teams"]),
+                "rejected_pages": empty("rejected_pages") if pages is None else pages}
+
+
 def process_days(inputs: dict, state: dict, season=fv.DEFAULT_SEASON, game_type=fv.REGULAR_SEASON,
                  injury_list: DataFrame | None = None, last_ids: dict | None = None,
-                 past_injuries: DataFrame | None = None) -> dict:
+                 past_injuries: DataFrame | None = None, groups=GROUPS, last_seen: DataFrame | None = None) -> dict:
     """Any number of game days at once.
 
-    inputs: frames "games", "players", "teams" as from `read_day_pages`; injury_list as from
-    `normalize_injury_list`, applied after the last day. Returns groups of frames: "match", "stats"
-    and new players to append; "contrat" and "blesse" as whole new tables. Games that are stored
-    already are skipped, so importing a day twice changes nothing.
+    inputs: frames as from `read_day_pages`; injury_list as from `normalize_injury_list`, applied after the last day.
+    Returns groups of frames: "match", "stats" and new players to append; "contrat" and "blesse" as whole new tables; and
+    "rejects", what was left out and why. Only the groups asked for are worked out. Games that are stored already are
+    skipped, so importing a day twice changes nothing.
 
     The state may hold the open contracts and injuries alone; then the greatest ids given so far have to
-    be named in last_ids, by table, and with an injury list the ended injuries in past_injuries. Games
-    without two teams are left out (`incomplete_games`).
+    be named in last_ids, by table, and with an injury list the ended injuries in past_injuries. last_seen (player, last
+    game day) stands for all stored facts. Games without two teams are left out and reported.
     """
-    def last_id(table, id_col):
-        known = (last_ids or {}).get(table)
-        return max_of(state[table], id_col, 0) if known is None else known
-
-    pairs = pivot_pair(inputs["games"], GAME, "team_idx", fv.TEAM_COLUMN,
-                       ["equipe_exterieure", "equipe_domicile"])
-    pairs = pairs.dropna(subset=["equipe_exterieure", "equipe_domicile"])
-    games = cut_lineage(allocate_ids(dedup_games(pairs, state["match"]), "id_match", GAME,
-                                     last_id("match", "id_match")))
-    ids = games.select("id_match", *GAME)
-    team_of = inputs["games"].select(*GAME, "team_idx", fv.TEAM_COLUMN)
-
-    match = games.select("id_match", F.lit(season).alias("id_saison"), F.col("game_date").alias("date_match"),
-                         "equipe_domicile", "equipe_exterieure", F.lit(game_type).alias("id_type_match"))
-    periods = melt_map(inputs["games"].join(ids, GAME), [fv.TEAM_COLUMN, "id_match"], "periods",
-                       "id_periode", "score_periode")
-    teams = team_facts(inputs["teams"].join(ids, GAME))
-
-    rows = inputs["players"].join(ids, GAME)
-    members = cut_lineage(new_members(
-        state["joueur"].select("id_joueur", "nom_simple"), rows, ["nom_simple"], ["nom", "nom_simple"],
-        "id_joueur", last_id("joueur", "id_joueur")))
-    names = ["id_joueur", "nom_simple"]
-    known = state["joueur"].select(*names).unionByName(members.select(*names))
-    listed = cut_lineage(resolve_key(rows.filter(active_or_injured()), known, ["nom_simple"], "id_joueur")
-                         .join(team_of, [*GAME, "team_idx"]))
-
-    contracts = scd2_apply(state["contrat"], listed, "id_joueur", fv.TEAM_COLUMN, "game_date",
-                           "date_debut_contrat", "date_fin_contrat", order=["game_no", "team_idx"], store=cut_lineage)
-    contrat = _with_ids(contracts.all(), "id_contrat", ["id_joueur", "date_debut_contrat"],
-                        last_id("contrat", "id_contrat"))
-
-    spells = event_spells_apply(state["blessure"], listed, "id_joueur", "blesse", "game_date",
-                                "date_blessure", "date_guerison",
-                                {"id_type_blessure": fv.UNKNOWN_INJURY_TYPE}, store=cut_lineage).all()
-    if injury_list is not None:
-        # The list is read on the last day, before that day's player facts are stored.
-        last_day = max_of(games, "game_date")
-        seen = (state["stats_joueur"].select("id_joueur", "id_match")
-                .join(state["match"].select("id_match", "date_match"), "id_match")
-                .groupBy("id_joueur").agg(F.max("date_match").alias("date_match")))
-        today = listed.filter(~F.col("dnp")).select("id_joueur", F.col("game_date").alias("date_match"))
-        if last_day is not None:
-            today = today.filter(F.col("date_match") < F.lit(last_day))
-        facts = seen.unionByName(today).join(known, "id_joueur")
-        spells = apply_injury_list(spells, known, injury_list, facts, state["enum_type_blessure"],
-                                   store=cut_lineage, past=past_injuries)
-    blessure = _with_ids(spells, "id_blessure", ["id_joueur", "date_blessure", "id_type_blessure"],
-                         last_id("blessure", "id_blessure"))
-
-    frames = {
-        "joueur": {"joueur": members},
-        "match": {"match": match, "score_match": periods, "stats_equipes": teams},
-        "contrat": {"contrat": contrat},
-        "blesse": {"blessure": blessure},
-        "stats": {"stats_joueur": player_facts(listed)},
-    }
-    return {group: {name: conform(df, schemas.STORED[name]) for name, df in tables.items()}
-            for group, tables in frames.items()}
+    work = _Import(inputs, state, season, game_type, injury_list, last_ids, past_injuries, last_seen)
+    declared = {**schemas.STORED, **schemas.REJECTS}
+    return {group: {name: conform(df, declared[name]) for name, df in getattr(work, group)().items()} for group in groups}
 
 
 REPLACED = ("contrat", "blessure")
@@ -142,7 +190,6 @@ REPLACED = ("contrat", "blessure")
 def next_state(state: dict, outputs: dict) -> dict:
     """State after the outputs of `process_days`."""
     new = dict(state)
-    for tables in outputs.values():
-        for name, df in tables.items():
-            new[name] = df if name in REPLACED else state[name].unionByName(df)
+    for name, df in ((n, df) for group, tables in outputs.items() if group != "rejects" for n, df in tables.items()):
+        new[name] = df if name in REPLACED else state[name].unionByName(df)
     return new

@@ -6,6 +6,7 @@ from courtledger import fixed_values as fv
 from courtledger.functions.temporal import day_after, infer_year
 from courtledger.functions.text import name_tail, normalize_name
 from courtledger.operators.matching import drop_members, latest_per_key, update_from
+from courtledger.operators.skew import own_shuffle
 
 
 def normalize_injury_list(rows: DataFrame, kinds: DataFrame, ref, max_date,
@@ -19,6 +20,15 @@ def normalize_injury_list(rows: DataFrame, kinds: DataFrame, ref, max_date,
     return named.join(known, injury).filter(F.col("date_blessure") <= F.to_date(F.lit(max_date)))
 
 
+def rejected_injuries(rows: DataFrame, kinds: DataFrame, ref, name="Player", updated="Updated", injury="Injury",
+                      kind_name="nom_blessure_anglais") -> DataFrame:
+    """Rows of a scraped list that `normalize_injury_list` leaves out whatever the last day is, with the reason."""
+    known = kinds.select(F.lower(kind_name).alias("_kind")).distinct()
+    marked = rows.join(own_shuffle(known.withColumn("_known", F.lit(True))), F.lower(injury) == F.col("_kind"), "left")
+    reason = F.when(infer_year(updated, ref).isNull(), "date").when(F.col("_known").isNull(), "injury").when(F.col(name).isNull(), "name")
+    return marked.select(*rows.columns, reason.alias("reason")).filter(F.col("reason").isNotNull())
+
+
 def open_names(spells: DataFrame, members: DataFrame, kind=None, key="id_joueur", name="nom_simple",
                kind_id="id_type_blessure", end="date_guerison") -> DataFrame:
     """Names of members with an open spell (of a kind that satisfies the condition)."""
@@ -44,8 +54,9 @@ def unseen_with_history(listed: DataFrame, excluded: DataFrame, facts: DataFrame
     """New spells for listed names without an open one that do appear in the facts.
 
     listed (name, kind), excluded (name), facts (name, key, day), kinds (kind_name, kind_id),
-    existing (key, start). A spell starts the day after the last fact, and is left out if it exists.
-    The facts are reduced to one row per member before anything is joined to them.
+    existing (key, start), or a function that gives it for a frame of keys, so that only the candidates' rows are
+    looked up. A spell starts the day after the last fact, and is left out if it exists. The facts are reduced
+    to one row per member before anything is joined to them.
     """
     unseen = drop_members(listed, excluded, [name])
     last = facts.groupBy(key, name).agg(F.max(F.col(day).cast("date")).alias(day))
@@ -53,7 +64,10 @@ def unseen_with_history(listed: DataFrame, excluded: DataFrame, facts: DataFrame
     latest = latest_per_key(met, [key], [day, kind]).withColumn(start, day_after(day))
     typed = latest.join(kinds.select(F.lower(kind_name).alias("_kind"), kind_id),
                         F.lower(kind) == F.col("_kind"))
-    return drop_members(typed.select(key, start, kind_id), existing, [key, start], hot=False)
+    candidates = typed.select(key, start, kind_id)
+    if callable(existing):
+        existing = existing(candidates.select(key).distinct())
+    return drop_members(candidates, existing, [key, start], hot=False)
 
 
 def unseen_without_history(listed: DataFrame, excluded: DataFrame, members: DataFrame, *,

@@ -33,3 +33,14 @@ STORED = {
     "enum_type_blessure": table(("id_type_blessure", I), ("nom_blessure", S), ("nom_blessure_anglais", S)),
     "enum_position_terrain": table(("id_position_terrain", S), ("nom_position_terrain", S)),
 }
+
+# What an import leaves out, and why.
+REJECTS = {
+    "rejected_rows": table(("game_date", DT), ("game_no", L), ("team_idx", I), ("row_idx", I), ("nom", S), ("rejected", S)),
+    "rejected_games": table(("game_date", DT), ("game_no", L), ("reason", S)),
+    "rejected_pages": table(("game_date", DT), ("game_no", L), ("kind", S)),
+}
+
+# Small state of a streamed import: greatest ids given, and the last game day of each player.
+LAST_IDS = table(("name", S), ("last_id", L))
+LAST_SEEN = table(("id_joueur", L), ("date_match", DT))

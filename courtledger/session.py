@@ -1,11 +1,16 @@
 """Session settings, and where intermediate results may be written."""
 
+import atexit
 import tempfile
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
 
+#: Intermediate tables of this driver.
+_scratch = []
+
+
 def build_session(master=None, **conf) -> SparkSession:
     builder = SparkSession.builder.appName("courtledger")
     if master:
@@ -38,8 +43,22 @@ def shared_dir(spark: SparkSession) -> str:
 
 
 def scratch_path(spark: SparkSession, name: str) -> str:
-    """A fresh path for a written intermediate table."""
-    return f"{shared_dir(spark)}/{name}-{uuid.uuid4().hex}"
+    """A fresh path for a written intermediate table, which is removed when the driver ends."""
+    path = f"{shared_dir(spark)}/{name}-{uuid.uuid4().hex}"
+    if not _scratch:
+        atexit.register(_remove_scratch, spark, _scratch)
+    _scratch.append(path)
+    return path
+
+
+def _remove_scratch(spark: SparkSession, paths) -> None:
+    """Drop the intermediate tables of a session that ends; one that has ended already leaves them to its checkpoint folder."""
+    try:
+        for path in paths:
+            hadoop_path = spark._jvm.org.apache.hadoop.fs.Path(path)
+            hadoop_path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(hadoop_path, True)
+    except Exception:  # the JVM is gone
+        return
 
 
 def cut_lineage(df: DataFrame) -> DataFrame:

@@ -15,7 +15,7 @@ SHEET_PATH = r"(\d{4}-\d{2}-\d{2})/m(\d+)_(?:equipe(\d+)_)?\1\.csv$"
 def parse_sheets(sheets: DataFrame, path_col="path", text_col="value") -> DataFrame:
     """(game_date, game_no, team_idx, row_idx, fields map) from whole-file texts.
 
-    fields is null for a line whose width differs from the header.
+    fields is null for a line whose width differs from the header; see `rejected_lines`.
     """
     part = lambda i: F.regexp_extract(F.col(path_col), SHEET_PATH, i)
     lines = F.filter(F.split(F.col(text_col), r"\r?\n"), lambda line: line != "")
@@ -28,7 +28,7 @@ def parse_sheets(sheets: DataFrame, path_col="path", text_col="value") -> DataFr
     ).filter(F.col("game_date").isNotNull())
     values = F.split("_line", ",", -1)
     return located.select(
-        "game_date", "game_no", "team_idx", "row_idx",
+        "game_date", "game_no", "team_idx", "row_idx", F.col("_line").alias("line"),
         F.when(F.size(values) == F.size("_header"), F.map_from_arrays("_header", values)).alias("fields"))
 
 
@@ -39,6 +39,11 @@ def read_day_folders(spark: SparkSession, path: str) -> DataFrame:
     return parse_sheets(sheets)
 
 
+def rejected_lines(sheets: DataFrame) -> DataFrame:
+    """Lines that neither `game_rows` nor `player_rows` takes: their width is not the header's."""
+    return sheets.filter(F.col("fields").isNull()).select("game_date", "game_no", "team_idx", "row_idx", "line")
+
+
 def _field(name):
     return F.nullif(F.try_element_at("fields", F.lit(name)), F.lit(""))
 

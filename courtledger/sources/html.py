@@ -3,6 +3,7 @@
 import html as entities
 import re
 import sys
+from functools import reduce
 
 import pyarrow as pa
 from pyspark.cloudpickle import register_pickle_by_value
@@ -31,6 +32,20 @@ _UNCLEAN = re.compile(r"&|[\r\n]|\s\s|>\s|\s<")
 _SPAN = re.compile(r"\b(colspan|rowspan)\s*=\s*[\"']?\s*(\d+)", re.I)
 _HIDDEN = re.compile(r"\bstyle\s*=\s*(?:\"[^\"]*|'[^']*)display\s*:\s*none", re.I)
 _VOID = {"br", "hr", "img", "input", "link", "meta", "wbr", "col", "area", "base", "embed", "source"}
+# Elements whose end tag may be left out. Per element: where its like may be nested, and the start and end
+# tags that close it. `_IN_TABLE` closes whatever a cell holds.
+_IN_TABLE = {"td", "th", "tr", "tbody", "thead", "tfoot"}
+_SECTIONS = {"tbody", "thead", "tfoot"}
+_BLOCKS = {"address", "article", "aside", "blockquote", "div", "dl", "fieldset", "figure", "footer", "form", "h1", "h2", "h3", "h4", "h5", "h6",
+           "header", "hr", "main", "nav", "ol", "p", "pre", "section", "table", "ul"}
+_OPTIONAL_END = {
+    "td": ({"table"}, _IN_TABLE, {"tr", "table", *_SECTIONS}), "th": ({"table"}, _IN_TABLE, {"tr", "table", *_SECTIONS}),
+    "tr": ({"table"}, {"tr", *_SECTIONS}, {"table", *_SECTIONS}),
+    **{tag: ({"table"}, _SECTIONS, {"table"}) for tag in _SECTIONS},
+    "li": ({"ul", "ol"}, {"li"}, {"ul", "ol"}), "dt": ({"dl"}, {"dt", "dd"}, {"dl"}), "dd": ({"dl"}, {"dt", "dd"}, {"dl"}),
+    "option": ({"select"}, {"option", "optgroup"}, {"select"}),
+    "p": (set(), _BLOCKS | {"li", "dt", "dd"}, _BLOCKS | {"li", "dt", "dd", "body"}),
+}
 # A single space, of whatever kind, stays as it is; longer white space and line ends become one space.
 _LONG_SPACE = re.compile(r"[\r\n]+|\s{2,}")
 
@@ -41,6 +56,36 @@ def _clean(text):
     return _LONG_SPACE.sub(" ", text.strip()) or None
 
 
+class _Hidden:
+    """An element that is not shown, up to its end tag or to the tag that implies its end."""
+
+    def __init__(self, tag, in_table):
+        self.tag, self.in_table, self.inside = tag, in_table, {}
+        self.nests_in, self.starts, self.ends = _OPTIONAL_END.get(tag, ({tag}, set(), set()))
+
+    def _nested(self):
+        return any(self.inside.get(t) for t in self.nests_in)
+
+    def meets(self, tag, ends):
+        """What a tag does: "in" the element, the "end" of it, or "after" it (closes it and counts itself)."""
+        # The parts of a table close what its cells hold, unless they belong to a table inside.
+        cell_ends = self.in_table and self.tag not in _IN_TABLE and not self.inside.get("table") and (tag in _IN_TABLE or ends and tag == "table")
+        if cell_ends:
+            return "after"
+        if not ends:
+            if tag in self.starts and not self._nested():
+                return "after"
+            if tag not in _VOID:
+                self.inside[tag] = self.inside.get(tag, 0) + 1
+            return "in"
+        if tag == self.tag and (tag in _OPTIONAL_END and not self._nested() or not self.inside.get(tag)):
+            return "end"
+        if self.inside.get(tag):
+            self.inside[tag] -= 1
+            return "in"
+        return "after" if tag in self.ends else "in"
+
+
 class _Table:
     """Rows of one table by section; a cell is [text pieces, tag, colspan, rowspan]."""
 
@@ -74,11 +119,11 @@ class _Table:
 
     def rows(self):
         """(header rows, body rows), spans filled in, all of one width; the footer ends the body."""
-        head, body = self.sections["thead"], self.sections["tbody"] + self.sections["tfoot"]
+        head, body, foot = (self.sections[s] for s in ("thead", "tbody", "tfoot"))
         if not head:
             n = next((i for i, row in enumerate(body) if any(c[1].lower() != "th" for c in row)), len(body))
             head, body = body[:n], body[n:]
-        head, body = _fill_spans(head), _fill_spans(body)
+        head, body = _fill_spans(head), _fill_spans(body) + _fill_spans(foot)
         width = max(map(len, head + body), default=0)
         for row in head + body:
             row.extend([None] * (width - len(row)))
@@ -109,6 +154,10 @@ def _fill_spans(rows):
                     hanging[len(out)] = (cell[0], cell[3] - 1)
                 out.append(cell[0])
         filled.append(out)
+    # Cells that reach past the last row make rows of their own, of these cells alone.
+    while hanging:
+        filled.append([hanging[column][0] for column in sorted(hanging)])
+        hanging = {column: (text, left - 1) for column, (text, left) in hanging.items() if left > 1}
     return filled
 
 
@@ -121,13 +170,15 @@ def _add_text(tables, text):
 def read_tables(page):
     """[(header rows, body rows)] of a page in page order, nested tables included, empty ones not."""
     found, open_tables = [], []
-    hidden, depth, at = None, 0, 0
+    hidden, at = None, 0
     for token in _TOKEN.finditer(page):
         if open_tables and hidden is None and token.start() > at:
             _add_text(open_tables, page[at:token.start()])
         at = token.end()
         row = token["row"]
         if row is not None:
+            if hidden is not None and hidden.meets("tr", "") == "after":
+                hidden = None
             if open_tables and hidden is None:
                 cells = _PLAIN_CELL.findall(row)
                 _add_text(open_tables[:-1], "".join(text for _, text in cells))
@@ -138,14 +189,16 @@ def read_tables(page):
             continue
         tag, ends = tag.lower(), token["end"]
         if hidden is not None:
-            if tag == hidden:
-                depth += -1 if ends else 1
-                if depth == 0:
-                    hidden = None
-            continue
+            met = hidden.meets(tag, ends)
+            if met != "in":
+                hidden = None
+            if met != "after":
+                continue
         attrs = token["attrs"]
         if attrs and not ends and tag not in _VOID and _HIDDEN.search(attrs):
-            hidden, depth = tag, 1
+            hidden = _Hidden(tag, bool(open_tables))
+            if open_tables and tag in _IN_TABLE:
+                open_tables[-1].end_cell() if tag in ("td", "th") else open_tables[-1].end_row()
             continue
         if tag == "table" and not ends:
             open_tables.append(_Table())
@@ -234,10 +287,24 @@ def pages_without_tables(pages: DataFrame, html_col="html") -> DataFrame:
     return pages.filter(~F.coalesce(_has_table(html_col), F.lit(False)))
 
 
+#: The target of an anchor: quoted either way or bare, in any case.
+_ANCHOR = r"""(?is)<a\s(?:[^>]*?\s)?href\s*=\s*("[^"]*"|'[^']*'|[^\s"'>]+)"""
+# The entities that occur in addresses; the ampersand comes last, so that nothing is decoded twice.
+_ENTITIES = [("&lt;", "<"), ("&gt;", ">"), ("&quot;", '"'), ("&#34;", '"'), ("&#39;", "'"), ("&apos;", "'"), ("&#38;", "&"), ("&amp;", "&")]
+
+
+def _targets(html_col):
+    def plain(link):
+        link = F.regexp_replace(link, r"""^["']|["']$""", "")
+        decoded = reduce(lambda text, entity: F.replace(text, F.lit(entity[0]), F.lit(entity[1])), _ENTITIES, link)
+        return F.when(link.contains("&"), decoded).otherwise(link)
+    return F.transform(F.regexp_extract_all(F.col(html_col), F.lit(_ANCHOR), F.lit(1)), plain)
+
+
 def extract_links(pages: DataFrame, id_cols, html_col="html", containing=None) -> DataFrame:
     """One row per anchor target: id columns, link_idx, link."""
     id_cols = [id_cols] if isinstance(id_cols, str) else list(id_cols)
-    links = F.regexp_extract_all(F.col(html_col), F.lit(r'href="([^"]*)"'), F.lit(1))
+    links = _targets(html_col)
     if containing is not None:
         links = F.filter(links, lambda link: link.contains(containing))
     return pages.select(*id_cols, F.posexplode(links).alias("link_idx", "link"))
@@ -245,4 +312,4 @@ def extract_links(pages: DataFrame, id_cols, html_col="html", containing=None) -
 
 def count_links(pages: DataFrame, id_cols, html_col="html") -> DataFrame:
     id_cols = [id_cols] if isinstance(id_cols, str) else list(id_cols)
-    return pages.select(*id_cols, F.regexp_count(F.col(html_col), F.lit(r'href="([^"]*)"')).alias("n_links"))
+    return pages.select(*id_cols, F.regexp_count(F.col(html_col), F.lit(_ANCHOR)).alias("n_links"))

@@ -1,11 +1,15 @@
 """Stored tables and flat files."""
 
 import re
+from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from courtledger.functions.text import as_column
 
+#: Folder of the finished batches of streamed tables; readers of tables skip names that begin so.
+COMMITS = "_commits"
+
 
 def read_table(spark: SparkSession, path, columns=None, where=None) -> DataFrame:
     """Parquet table; columns and filter reach the scan."""
@@ -81,6 +85,29 @@ def latest_version(spark: SparkSession, root) -> int:
     return max(numbers)
 
 
+def commit_batch(spark: SparkSession, root, batch_id) -> None:
+    """Mark a batch as finished: the last thing that is written of it."""
+    fs, p = _filesystem(spark, f"{root}/{COMMITS}/{batch_id}")
+    fs.create(p, True).close()
+
+
+def last_commit(spark: SparkSession, root) -> int:
+    """The newest finished batch; -1 if there is none. One listing, of the batches kept."""
+    fs, p = _filesystem(spark, f"{root}/{COMMITS}")
+    if not fs.exists(p):
+        return -1
+    return max((int(s.getPath().getName()) for s in fs.listStatus(p) if s.getPath().getName().isdigit()), default=-1)
+
+
+def prune(spark: SparkSession, folder, prefix, before) -> None:
+    """Remove the entries prefix<number> of a folder with a number below `before`."""
+    fs, p = _filesystem(spark, folder)
+    for status in fs.listStatus(p) if fs.exists(p) else []:
+        match = re.fullmatch(re.escape(prefix) + r"(\d+)", status.getPath().getName())
+        if match and int(match.group(1)) < before:
+            fs.delete(status.getPath(), True)
+
+
 def version_path(root, version) -> str:
     return f"{root}/v={version}"
 
@@ -121,6 +148,14 @@ def publish(outputs, root, groups="all", writer=None):
     return written
 
 
+def max_of_all(columns: dict) -> dict:
+    """Largest values of columns of several frames in one job: {name: (frame, column)} to {name: value or None}."""
+    rows = [df.agg(F.max(as_column(column)).cast("long").alias("m")).select(F.lit(name).alias("name"), "m") for name, (df, column) in columns.items()]
+    if not rows:
+        return {}
+    return {r["name"]: r["m"] for r in reduce(DataFrame.unionByName, rows).collect()}
+
+
 def max_of(df: DataFrame, column, default=None):
     """Largest value of a column on the driver: one row, one number."""
     value = df.agg(F.max(as_column(column)).alias("m")).first()["m"]

@@ -3,16 +3,20 @@
 Two kinds of tables: state, of which only the newest version counts and which should stay small (open
 spells, for one, not the closed ones), and logs, which only grow. Version n of the state is a function
 of version n-1 and of batch n alone and is written next to it; batch n has its own folder in every
-log. A batch repeated after a failure writes the same folders again, so nothing is doubled.
+log. A batch repeated after a failure writes the same folders again, so nothing is doubled. The last
+thing written of a batch is its mark; readers take the state and the logs of the newest marked batch,
+so they never see half of one. Versions of the state before the last two are removed after the mark.
 """
 
+from functools import reduce
+
 from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 
 from courtledger import fixed_values as fv
 from courtledger.operators.history import scd2_apply
-from courtledger.plans.day import process_days, read_day_pages
-from courtledger.schemas import STORED
-from courtledger.sources.tables import latest_version, max_of, path_exists, read_version, version_path
+from courtledger.plans.day import ID_COLUMNS, conform, process_days, read_day_pages
+from courtledger.schemas import LAST_IDS, LAST_SEEN, REJECTS, STORED
+from courtledger.sources.tables import COMMITS, commit_batch, last_commit, path_exists, prune, read_version, version_path
 
 
 def log_path(root, name, batch_id):
@@ -20,14 +24,12 @@ def log_path(root, name, batch_id):
 
 
 def read_log(spark: SparkSession, root, name, schema, before=None) -> DataFrame:
-    """All rows of a log, or those of the batches before one."""
+    """Rows of the finished batches of a log, or of the batches before one."""
     if not path_exists(spark, f"{root}/{name}"):
         return spark.createDataFrame([], schema)
     fields = T.StructType([*schema.fields, T.StructField("batch", T.LongType())])
-    rows = spark.read.schema(fields).parquet(f"{root}/{name}")
-    if before is not None:
-        rows = rows.filter(F.col("batch") < before)
-    return rows.drop("batch")
+    end = last_commit(spark, root) + 1 if before is None else before
+    return spark.read.schema(fields).parquet(f"{root}/{name}").filter(F.col("batch") < end).drop("batch")
 
 
 def run_batch(batch: DataFrame, batch_id: int, root, states: dict, step) -> None:
@@ -51,6 +53,10 @@ def run_batch(batch: DataFrame, batch_id: int, root, states: dict, step) -> None
             df.write.mode("overwrite").parquet(version_path(f"{root}/{name}", batch_id))
     finally:
         batch.unpersist()
+    commit_batch(spark, root, batch_id)
+    for name in states:
+        prune(spark, f"{root}/{name}", "v=", batch_id - 1)
+    prune(spark, f"{root}/{COMMITS}", "", batch_id - 1)
 
 
 def ingest_stream(stream: DataFrame, root, states: dict, step, checkpoint, once=True):
@@ -64,9 +70,9 @@ def ingest_stream(stream: DataFrame, root, states: dict, step, checkpoint, once=
 
 
 def read_state(spark: SparkSession, root, states: dict) -> dict:
-    """The newest finished version of every state table."""
-    return {name: read_version(spark, f"{root}/{name}", latest_version(spark, f"{root}/{name}"), schema)
-            for name, schema in states.items()}
+    """Every state table as of the newest finished batch."""
+    version = last_commit(spark, root)
+    return {name: read_version(spark, f"{root}/{name}", version, schema) for name, schema in states.items()}
 
 
 def spell_step(key, attr, day, start, end, order=None, name="spells"):
@@ -81,12 +87,14 @@ def spell_step(key, attr, day, start, end, order=None, name="spells"):
 
 # Spell tables of the day import: id column and end column.
 _SPELL_TABLES = {"contrat": ("id_contrat", "date_fin_contrat"), "blessure": ("id_blessure", "date_guerison")}
-DAY_STATES = {"joueur": STORED["joueur"], **{f"open_{name}": STORED[name] for name in _SPELL_TABLES}}
+DAY_STATES = {"joueur": STORED["joueur"], **{f"open_{name}": STORED[name] for name in _SPELL_TABLES},
+              "last_ids": LAST_IDS, "last_seen": LAST_SEEN}
 DAY_LOGS = ["match", "score_match", "stats_equipes", "stats_joueur"]
 
 
 def day_step(root, season=fv.DEFAULT_SEASON, game_type=fv.REGULAR_SEASON, injury_list=None, kinds=None):
-    """A step that imports game pages. State: players and open spells. Logs: games, facts, closed spells.
+    """A step that imports game pages. State: players, open spells, greatest ids and last game days. Logs: games, facts,
+    closed spells and rejects.
 
     injury_list(batch_id), if given, is the normalised list to apply after the batch, or None; kinds
     are the injury types.
@@ -94,23 +102,26 @@ def day_step(root, season=fv.DEFAULT_SEASON, game_type=fv.REGULAR_SEASON, injury
     def step(pages, state, batch_id):
         spark = pages.sparkSession
         log = lambda name, schema: read_log(spark, root, name, schema, before=batch_id)
-        known, last_ids = {"joueur": state["joueur"], "enum_type_blessure": kinds}, {}
-        for name in ("match", "stats_joueur"):
-            known[name] = log(name, STORED[name])
-        for name, (id_col, _) in _SPELL_TABLES.items():
-            known[name] = state[f"open_{name}"]
-            closed = log(f"closed_{name}", STORED[name])
-            last_ids[name] = max_of(known[name].select(id_col).unionByName(closed.select(id_col)), id_col, 0)
+        known = {"joueur": state["joueur"], "enum_type_blessure": kinds, "match": log("match", STORED["match"]),
+                 **{name: state[f"open_{name}"] for name in _SPELL_TABLES}}
+        # At most one row per table.
+        last_ids = {r["name"]: r["last_id"] for r in state["last_ids"].collect()}
         outputs = process_days(
-            read_day_pages(pages), known, season, game_type, last_ids=last_ids,
+            read_day_pages(pages), known, season, game_type, last_ids={name: last_ids.get(name, 0) for name in ID_COLUMNS},
             injury_list=injury_list(batch_id) if injury_list else None,
-            past_injuries=log("closed_blessure", STORED["blessure"]))
+            past_injuries=log("closed_blessure", STORED["blessure"]), last_seen=state["last_seen"])
         frames = {name: df for tables in outputs.values() for name, df in tables.items()}
         new_state = {"joueur": state["joueur"].unionByName(frames["joueur"])}
-        logs = {name: frames[name] for name in DAY_LOGS}
+        logs = {name: frames[name] for name in [*DAY_LOGS, *REJECTS]}
         for name, (_, end) in _SPELL_TABLES.items():
             new_state[f"open_{name}"] = frames[name].filter(F.col(end).isNull())
             logs[f"closed_{name}"] = frames[name].filter(F.col(end).isNotNull())
+        given = [frames[name].select(F.lit(name).alias("name"), F.col(c).alias("last_id")) for name, c in ID_COLUMNS.items()]
+        new_state["last_ids"] = conform(reduce(DataFrame.unionByName, given, state["last_ids"]).groupBy("name")
+                                        .agg(F.max("last_id").alias("last_id")), LAST_IDS)
+        played = frames["stats_joueur"].select("id_joueur", "id_match").join(frames["match"].select("id_match", "date_match"), "id_match")
+        new_state["last_seen"] = (state["last_seen"].unionByName(played.select("id_joueur", "date_match")).groupBy("id_joueur")
+                                  .agg(F.max("date_match").alias("date_match")))
         return new_state, logs
     return step
 
@@ -119,6 +130,7 @@ def read_days(spark: SparkSession, root) -> dict:
     """The stored tables that `day_step` has built up."""
     state = read_state(spark, root, DAY_STATES)
     tables = {name: read_log(spark, root, name, STORED[name]) for name in DAY_LOGS}
+    tables.update({name: read_log(spark, root, name, REJECTS[name]) for name in REJECTS})
     for name in _SPELL_TABLES:
         tables[name] = state[f"open_{name}"].unionByName(read_log(spark, root, f"closed_{name}", STORED[name]))
     return {"joueur": state["joueur"], **tables}

@@ -1,6 +1,7 @@
 import pytest
 from pyspark.sql import functions as F
 
+from courtledger.sources import day_folders, html
 from courtledger import schemas
 from courtledger.plans.schedule import build_schedule
 from courtledger.sources import day_folders, tables
@@ -115,3 +116,31 @@ def test_flat_files_and_schemas(spark, rows, tmp_path):
     assert [r[1] for r in tables.date_series(spark, "2020-02-28", 3).collect()] == ["2020-02-28", "2020-02-29", "2020-03-01"]
     assert tables.max_of(df, "i") == 2 and tables.max_of(df.limit(0), "i", 0) == 0
     assert tables.inline_table(spark, [(1, "x")], "i int, s string").count() == 1
+
+
+@pytest.mark.parametrize("page, expected", [
+    ("<table><tr style='display:none'><td>h<tr><td>a</table><table><tr><td>2</table>", [[["a"]], [["2"]]]),
+    ("<ul><li style='display:none'>x</ul><table><tr><td>2</table>", [[["2"]]]),
+    ("<p style='display:none'>x<table><tr><td>2</table>", [[["2"]]]),
+    ("<table><tr><td>a<td style='display:none'>h<td>b<tr><td>c<td>d</table>", [[["a", "b"], ["c", "d"]]]),
+    ("<table><tr><td>a<div style='display:none'>h<td>b</table>", [[["a", "b"]]]),
+    ("<div style='display:none'><table><tr><td>x</table></div><table><tr><td>1</table>", [[["1"]]]),
+    ("<table><tr style='display:none'><td><table><tr><td>in</table><tr><td>a</table>", [[["a"]]]),
+    ("<table><tr><td rowspan=3>a</td><td>b</td></tr></table>", [[["a", "b"], ["a", None], ["a", None]]]),
+])
+def test_implied_ends_and_hanging_cells(page, expected):
+    assert [body for _, body in html.read_tables(page)] == expected
+
+
+def test_links_of_any_form(spark, rows):
+    page = """<a href='x'>1</a><A class=k HREF="y?a=1&amp;b=2">2</A><link href="css"><a data-href="no" href=z>3</a><a name="n">4</a>"""
+    pages = spark.createDataFrame([(1, page), (2, None), (3, "")], "i int, html string")
+    assert rows(html.extract_links(pages, "i")) == [(1, 0, "x"), (1, 1, "y?a=1&b=2"), (1, 2, "z")]
+    assert rows(html.count_links(pages, "i")) == [(1, 3), (2, None), (3, 0)]
+
+
+def test_lines_of_another_width_are_reported(spark, rows):
+    sheet = "id_equipe,q1,q2,q3,q4,final\nBOS,1,2,3,4,10\nPHI,1,2,3,4"
+    sheets = day_folders.parse_sheets(spark.createDataFrame([("a/2021-01-05/m0_2021-01-05.csv", sheet)], "path string, value string"))
+    assert day_folders.game_rows(sheets).count() == 1
+    assert rows(day_folders.rejected_lines(sheets), "row_idx", "line") == [(1, "PHI,1,2,3,4")]

@@ -1,6 +1,7 @@
 import datetime
 import random
 
+import pytest
 from pyspark.sql import functions as F, types as T
 
 from courtledger.operators.history import scd2_build
@@ -8,6 +9,7 @@ from courtledger.sources.tables import version_path
 from courtledger.streaming.ingest import (DAY_STATES, day_step, dedup_stream, ingest_stream, log_path, read_days, read_log,
                                           read_state, spell_step)
 from courtledger.schemas import STORED
+from courtledger.streaming import ingest
 from courtledger.streaming.ingest import run_batch
 from tests.test_plans import KINDS, check_final, check_injuries, first_day, injuries_of_day, second_day
 
@@ -77,3 +79,41 @@ def test_repeated_games_in_a_stream(spark, tmp_path):
              .option("checkpointLocation", str(tmp_path / "checkpoint")).trigger(availableNow=True).start())
     query.awaitTermination()
     assert spark.table("games").count() == 2
+
+
+def test_readers_never_see_half_a_batch(spark, rows, tmp_path, monkeypatch):
+    """A batch that stops between its logs and its state leaves both as they were; run again, it counts once."""
+    root, args = str(tmp_path), ("k", "team", "day", "start", "end")
+    step = spell_step(*args)
+    days = lambda rows: spark.createDataFrame(rows, "k int, day date, team string")
+    read = lambda: rows(read_state(spark, root, {"open_spells": SPELLS})["open_spells"].unionByName(read_log(spark, root, "closed_spells", SPELLS)),
+                        "k", "team", "start", "end")
+    first, second = [(1, D(2021, 1, 1), "A")], [(1, D(2021, 1, 5), "B")]
+    run_batch(days(first), 0, root, {"open_spells": SPELLS}, step)
+    before = read()
+    written = ingest.version_path
+
+    def stop(path, version):
+        raise RuntimeError("stopped before the state was written")
+    monkeypatch.setattr(ingest, "version_path", stop)
+    with pytest.raises(RuntimeError):
+        run_batch(days(second), 1, root, {"open_spells": SPELLS}, step)
+    assert read() == before == [(1, "A", D(2021, 1, 1), None)]
+    monkeypatch.setattr(ingest, "version_path", written)
+    for _ in range(2):
+        run_batch(days(second), 1, root, {"open_spells": SPELLS}, step)
+        assert read() == [(1, "A", D(2021, 1, 1), D(2021, 1, 4)), (1, "B", D(2021, 1, 5), None)]
+    run_batch(days([(1, D(2021, 1, 6), "B")]), 2, root, {"open_spells": SPELLS}, step)
+    assert sorted(p.name for p in (tmp_path / "open_spells").iterdir()) == ["v=1", "v=2"]
+
+
+def test_rejects_are_stored(spark, rows, tmp_path):
+    """A page without rows, a game of one team and a row that cannot be read are in the stored tables."""
+    root = str(tmp_path)
+    pages = first_day(spark).unionByName(spark.createDataFrame(
+        [(D(2021, 1, 5), 8, "summary", "<table><tr><td>BOS<td>1<td>2<td>3<td>4<td>10</table>"), (D(2021, 1, 5), 9, "box", "<table><tr></table>")],
+        first_day(spark).schema))
+    run_batch(pages, 0, root, DAY_STATES, day_step(root))
+    tables = read_days(spark, root)
+    assert rows(tables["rejected_pages"], "game_no", "kind") == [(9, "box")]
+    assert (8, "1 teams") in rows(tables["rejected_games"], "game_no", "reason")
