@@ -9,7 +9,8 @@ from courtledger.plans.box_score import game_tables as game_tables_op, normalize
 from courtledger.plans.profiles import player_dimension
 from courtledger.plans.schedule import build_schedule
 from courtledger.sources.day_folders import game_rows, parse_sheets, player_rows
-from courtledger.sources.html import count_links, extract_html_tables, extract_links, pages_without_tables as without_op
+from courtledger.sources.html import (count_links, element_texts, extract_html_tables, extract_links,
+                                      pages_without_tables as without_op, rows_by_header)
 
 QUERIES, SQL, query = registry()
 
@@ -92,6 +93,40 @@ def html_tables(spark, sf):
     return tables.select("p_partkey", "table_idx", "row_idx", F.array_join("cells", "|", "~").alias("cells"))
 
 
+@query("""
+    SELECT p_partkey, t AS table_idx, r AS row_idx, CASE WHEN t = 1 THEN p_brand WHEN r = 0 THEN p_name || '|' || p_size ELSE p_type || '|~' END AS cells
+    FROM part, (VALUES (0, 0), (0, 1), (1, 0)) AS places(t, r)""")
+def hidden_cells(spark, sf):
+    """Hidden rows, cells and list items without end tags, and a cell that hangs over the end: what is shown comes out whole."""
+    tags = ("<ul><li style='display:none'>no</ul><p style='display: none'>no<table><tr style='display:none'><td>no<tr><td>%s<td style='display:none'>no"
+            "<td>%d<tr><td>%s<div style='display:none'>no<td></table><table><tr><td>%s</table>")
+    pages = table(spark, sf, "part").select("p_partkey", F.format_string(tags, "p_name", "p_size", "p_type", "p_brand").alias("html"))
+    return extract_html_tables(pages, "p_partkey").select("p_partkey", "table_idx", "row_idx", F.array_join("cells", "|", "~").alias("cells"))
+
+
+@query("""
+    SELECT c_custkey, CAST(t AS INTEGER) AS table_idx, CASE WHEN t = 0 THEN c_name ELSE c_mktsegment END AS "Player",
+           CASE WHEN t = 0 THEN 'Sat, Mar 4' END AS "Updated", CASE WHEN t = 0 THEN c_mktsegment ELSE c_name END AS "Injury" FROM customer, range(2) AS x(t)""")
+def injury_pages(spark, sf):
+    """All tables of a page under their header's names, whatever their order; a name that a table lacks is null."""
+    tags = ("<table><thead><tr><th>Player<th>Updated<th>Injury</thead><tr><td>%s<td>Sat, Mar 4<td>%s</table>"
+            "<table><tr><th>Injury</th><th>Player</th></tr><tr><td>%s</td><td>%s</td></tr></table>")
+    pages = table(spark, sf, "customer").select("c_custkey", F.format_string(tags, "c_name", "c_mktsegment", "c_name", "c_mktsegment").alias("html"))
+    return rows_by_header(extract_html_tables(pages, "c_custkey"), "c_custkey", ["Player", "Updated", "Injury"]).drop("row_idx")
+
+
+@query(r"""
+    SELECT page_id, replace(regexp_replace(trim(regexp_extract(html, '<title>([^<]*)</title>', 1)), '\s+', ' ', 'g'), '&amp;', '&')
+           || '|' || page_id AS value_texts FROM pages""")
+def profile_pages(spark, sf):
+    """Ordered texts of the elements of a tag and class, tags inside dropped; read from whole pages."""
+    title = F.regexp_extract("html", "<title>([^<]*)</title>", 1)
+    extra = F.concat(F.lit('<div class="row value big"><b>'), title, F.lit("</b></div><div class='values'>no</div><DIV data-x=1 class='value'>\n"),
+                     F.col("page_id").cast("string"), F.lit("  </DIV>"))
+    pages = table(spark, sf, "pages").select("page_id", F.concat("html", extra).alias("html"))
+    return pages.select("page_id", F.array_join(element_texts("html", "div", "value"), "|").alias("value_texts"))
+
+
 # A box-score page per part: two tables of seven players and a totals row; all numbers follow from the
 # part's key k and size s, the table t and the row r.
 _NUMBERS = {

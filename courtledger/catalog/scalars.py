@@ -47,13 +47,13 @@ def _names(spark, sf):
                                                                   F.col("text").alias("name")))
 
 
+# White space of any kind.
+_WHITE = r"[\s\x1c-\x1f\x0b\x{85}\x{a0}\x{1680}\x{2000}-\x{200a}\x{2028}\x{2029}\x{202f}\x{205f}\x{3000}]"
 _WORDS = rf"""
     names AS ({_NAMES}),
-    split AS (SELECT *, string_split(trim(regexp_replace(name, '[\s\x1c-\x1f\x0b\x85\xa0  -     　]+', ' ', 'g')), ' ') AS w,
+    split AS (SELECT *, string_split(trim(regexp_replace(name, '{_WHITE}+', ' ', 'g')), ' ') AS w,
                      length(name) - length(replace(name, ' ', '')) AS spaces FROM names),
-    flagged AS (SELECT *, lower(w[-1]) IN ('jr.', 'sr.', 'ii', 'iii', 'iv', 'v') AS suffix FROM split)""".replace(
-        r"  -     　", r"\x{1680}\x{2000}-\x{200a}\x{2028}\x{2029}\x{202f}\x{205f}\x{3000}").replace(
-        r"\x85\xa0", r"\x{85}\x{a0}")
+    flagged AS (SELECT *, lower(w[-1]) IN ('jr.', 'sr.', 'ii', 'iii', 'iv', 'v') AS suffix FROM split)"""
 
 
 @query(f"""

@@ -7,7 +7,7 @@ from functools import reduce
 
 import pyarrow as pa
 from pyspark.cloudpickle import register_pickle_by_value
-from pyspark.sql import DataFrame, functions as F, types as T
+from pyspark.sql import Column, DataFrame, functions as F, types as T
 
 CELLS = T.ArrayType(T.StringType())
 TABLE_FIELDS = [
@@ -282,6 +282,33 @@ def extract_html_tables(pages: DataFrame, id_cols, html_col="html", batch_rows=1
     return kept.mapInArrow(parse, schema)
 
 
+# The entities that occur in addresses and names; the ampersand comes last, so that nothing is decoded twice.
+_ENTITIES = [("&lt;", "<"), ("&gt;", ">"), ("&quot;", '"'), ("&#34;", '"'), ("&#39;", "'"), ("&apos;", "'"), ("&#38;", "&"), ("&amp;", "&")]
+
+
+def rows_by_header(tables: DataFrame, id_cols, names) -> DataFrame:
+    """Body rows of all tables of a page under their header's names: id columns, table_idx, row_idx and the names.
+
+    Names a table does not have are null; of equal names in a header the first counts. Tables without a header give nulls.
+    """
+    id_cols = [id_cols] if isinstance(id_cols, str) else list(id_cols)
+    place = [*id_cols, "table_idx"]
+    headers = tables.filter("is_header AND row_idx = 0").select(*place, F.col("cells").alias("_header"))
+    named = tables.filter("NOT is_header").join(headers, place, "left")
+    at = lambda name: F.array_position("_header", F.lit(name)).cast("int")
+    return named.select(*place, "row_idx", *[F.when(at(n) > 0, F.get("cells", at(n) - 1)).alias(n) for n in names])
+
+
+def element_texts(html_col, tag, css_class) -> Column:
+    """Texts of the elements of a tag and class, in page order; tags inside are dropped, white space becomes one space."""
+    pattern = rf"""(?is)<{tag}\s(?:[^>]*?\s)?class\s*=\s*["'](?:[^"']*\s)?{css_class}(?:\s[^"']*)?["'][^>]*>(.*?)</{tag}\s*>"""
+
+    def text(inner):
+        plain = F.trim(F.regexp_replace(F.regexp_replace(inner, "<[^>]*>", ""), r"\s+", " "))
+        return reduce(lambda t, entity: F.replace(t, F.lit(entity[0]), F.lit(entity[1])), _ENTITIES, plain)
+    return F.transform(F.regexp_extract_all(F.col(html_col), F.lit(pattern), F.lit(1)), text)
+
+
 def pages_without_tables(pages: DataFrame, html_col="html") -> DataFrame:
     """Pages to reject: nothing to read in them."""
     return pages.filter(~F.coalesce(_has_table(html_col), F.lit(False)))
@@ -289,8 +316,6 @@ def pages_without_tables(pages: DataFrame, html_col="html") -> DataFrame:
 
 #: The target of an anchor: quoted either way or bare, in any case.
 _ANCHOR = r"""(?is)<a\s(?:[^>]*?\s)?href\s*=\s*("[^"]*"|'[^']*'|[^\s"'>]+)"""
-# The entities that occur in addresses; the ampersand comes last, so that nothing is decoded twice.
-_ENTITIES = [("&lt;", "<"), ("&gt;", ">"), ("&quot;", '"'), ("&#34;", '"'), ("&#39;", "'"), ("&apos;", "'"), ("&#38;", "&"), ("&amp;", "&")]
 
 
 def _targets(html_col):
