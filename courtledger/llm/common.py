@@ -37,6 +37,28 @@ def map_batches(df, step, schema) -> DataFrame:
     return df.mapInArrow(run, schema)
 
 
+#: Bits of one bitmap of Spark's `bitmap_construct_agg`, and bitmaps at most: 16 MB in all, whatever the data.
+BITMAP, BITMAPS = 32_768, 4096
+
+
+def likely_rows(df: DataFrame, ids: DataFrame, id_col="doc_id") -> DataFrame:
+    """The rows whose id is among `ids` (one column, stored), and a few others: for fetching texts by a join afterwards.
+
+    The ids are folded into a bitmap by a hash; it has a fixed greatest size and goes to every task, so that only texts that
+    are wanted are shuffled. With more ids than it is made for it lets more rows through, never fewer.
+    """
+    name = ids.columns[0]
+    n_bitmaps = 1 << min(BITMAPS.bit_length() - 1, max(0, (16 * ids.count() // BITMAP).bit_length()))
+    place = lambda c: F.pmod(F.xxhash64(c), F.lit(n_bitmaps * BITMAP)) + 1
+    bitmaps = (ids.select(place(F.col(name)).alias("_at")).groupBy(F.bitmap_bucket_number("_at").alias("_bitmap"))
+               .agg(F.bitmap_construct_agg(F.bitmap_bit_position("_at")).alias("_bits")))
+    columns = df.columns
+    at = F.bitmap_bit_position("_at").cast("int")
+    byte = F.conv(F.hex(F.substring("_bits", F.floor(at / 8).cast("int") + 1, F.lit(1))), 16, 10).cast("int")
+    return (df.withColumn("_at", place(F.col(id_col))).withColumn("_bitmap", F.bitmap_bucket_number("_at"))
+            .join(F.broadcast(bitmaps), "_bitmap").where(F.floor(byte / F.pow(F.lit(2), F.pmod(at, F.lit(8)))) % 2 == 1).select(*columns))
+
+
 def texts_of(batch, name="text"):
     return batch.column(name).to_pylist()
 

@@ -22,7 +22,7 @@ from pyspark.sql import DataFrame, functions as F
 from ..operators.skew import own_shuffle
 from ..session import cut_lineage
 from . import fuse
-from .common import id_and_text, map_batches, registry, table
+from .common import id_and_text, likely_rows, map_batches, registry, table
 
 QUERIES, SQL, query = registry()
 
@@ -100,8 +100,8 @@ def confirm(screened: DataFrame, snapshot: Snapshot, texts: DataFrame) -> DataFr
     new = texts.select(F.col("doc_id").alias("keep_id"), F.col("text").alias("new_text"))
     old = snapshot.texts.select(F.col("doc_id").alias("seen_id"), F.col("text").alias("old_text"))
     # A repeated id may carry several texts: the one that has the digest is meant.
-    new = new.join(own_shuffle(pairs.select("keep_id", *KEY)), "keep_id").where(_is_text("new_text"))
-    old = old.join(own_shuffle(pairs.select("seen_id", "seen_size", *KEY)), "seen_id").where(_is_text("old_text"))
+    new = likely_rows(new, pairs.select("keep_id"), "keep_id").join(own_shuffle(pairs.select("keep_id", *KEY)), "keep_id").where(_is_text("new_text"))
+    old = likely_rows(old, pairs.select("seen_id"), "seen_id").join(own_shuffle(pairs.select("seen_id", "seen_size", *KEY)), "seen_id").where(_is_text("old_text"))
     same = new.join(old, KEY).where(normalised(F.col("new_text")) == normalised(F.col("old_text")))
     return same.groupBy(*KEY).agg(F.max("seen_id").alias("seen_id"), F.max("seen_size").alias("seen_size"))
 
