@@ -5,6 +5,8 @@ from pyspark.sql import DataFrame, functions as F
 from pyspark.sql.pandas.types import to_arrow_schema
 from pyspark.sql.types import StructType
 
+from ..operators.skew import own_shuffle
+
 #: Rows handed to a Python worker at once; texts may be long, so few rows and a bound in bytes where Spark has one.
 BATCH = {"spark.sql.execution.arrow.maxRecordsPerBatch": "512", "spark.sql.execution.arrow.maxBytesPerBatch": "16m"}
 
@@ -41,22 +43,35 @@ def map_batches(df, step, schema) -> DataFrame:
 BITMAP, BITMAPS = 32_768, 4096
 
 
-def likely_rows(df: DataFrame, ids: DataFrame, id_col="doc_id") -> DataFrame:
-    """The rows whose id is among `ids` (one column, stored), and a few others: for fetching texts by a join afterwards.
+def _marked(df: DataFrame, ids: DataFrame, id_col) -> DataFrame:
+    """The rows with `__likely`: false means that the id is certainly not among `ids` (one column, stored).
 
-    The ids are folded into a bitmap by a hash; it has a fixed greatest size and goes to every task, so that only texts that
-    are wanted are shuffled. With more ids than it is made for it lets more rows through, never fewer.
+    The ids are folded into a bitmap by a hash; it has a fixed greatest size and goes to every task. With more ids than it is
+    made for, more rows are marked, never fewer.
     """
-    name = ids.columns[0]
     n_bitmaps = 1 << min(BITMAPS.bit_length() - 1, max(0, (16 * ids.count() // BITMAP).bit_length()))
-    place = lambda c: F.pmod(F.xxhash64(c), F.lit(n_bitmaps * BITMAP)) + 1
-    bitmaps = (ids.select(place(F.col(name)).alias("_at")).groupBy(F.bitmap_bucket_number("_at").alias("_bitmap"))
-               .agg(F.bitmap_construct_agg(F.bitmap_bit_position("_at")).alias("_bits")))
-    columns = df.columns
-    at = F.bitmap_bit_position("_at").cast("int")
-    byte = F.conv(F.hex(F.substring("_bits", F.floor(at / 8).cast("int") + 1, F.lit(1))), 16, 10).cast("int")
-    return (df.withColumn("_at", place(F.col(id_col))).withColumn("_bitmap", F.bitmap_bucket_number("_at"))
-            .join(F.broadcast(bitmaps), "_bitmap").where(F.floor(byte / F.pow(F.lit(2), F.pmod(at, F.lit(8)))) % 2 == 1).select(*columns))
+    place = lambda c: F.pmod(F.xxhash64(c.cast("long")), F.lit(n_bitmaps * BITMAP)) + 1
+    bitmaps = (ids.select(place(ids[ids.columns[0]]).alias("__at")).groupBy(F.bitmap_bucket_number("__at").alias("__bitmap"))
+               .agg(F.bitmap_construct_agg(F.bitmap_bit_position("__at")).alias("__bits")))
+    at = F.bitmap_bit_position("__at").cast("int")
+    byte = F.conv(F.hex(F.substring("__bits", F.floor(at / 8).cast("int") + 1, F.lit(1))), 16, 10).cast("int")
+    there = F.floor(byte / F.pow(F.lit(2), F.pmod(at, F.lit(8)))) % 2 == 1
+    rows = df.withColumn("__at", place(df[id_col])).withColumn("__bitmap", F.bitmap_bucket_number("__at"))
+    return rows.join(F.broadcast(bitmaps), "__bitmap", "left").withColumn("__likely", F.coalesce(there, F.lit(False))).drop("__at", "__bitmap", "__bits")
+
+
+def likely_rows(df: DataFrame, ids: DataFrame, id_col="doc_id") -> DataFrame:
+    """The rows whose id is among `ids`, and a few others: for fetching texts by a join, so that only wanted ones are shuffled."""
+    return _marked(df, ids, id_col).where("__likely").drop("__likely")
+
+
+def rows_without(df: DataFrame, ids: DataFrame, id_col="doc_id") -> DataFrame:
+    """The rows whose id is not among `ids`; a null id never is. Only rows that may be among them are shuffled."""
+    marked = _marked(df, ids, id_col)
+    unsure = marked.where("__likely").drop("__likely")
+    name = ids.columns[0]
+    left = unsure.join(own_shuffle(ids.select(F.col(name).alias("__id"))), unsure[id_col].cast("long") == F.col("__id"), "left_anti")
+    return marked.where("NOT __likely").drop("__likely").unionByName(left)
 
 
 def texts_of(batch, name="text"):

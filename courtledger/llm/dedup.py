@@ -22,7 +22,7 @@ from pyspark.sql import DataFrame, functions as F
 from ..operators.skew import own_shuffle
 from ..session import cut_lineage
 from . import fuse
-from .common import id_and_text, likely_rows, map_batches, registry, table
+from .common import id_and_text, likely_rows, map_batches, registry, rows_without, table
 
 QUERIES, SQL, query = registry()
 
@@ -123,7 +123,7 @@ def dedup(incoming: DataFrame, snapshot_rows: DataFrame | None = None, id_col="d
     n_buckets = max(1, ceil(max(old_rows.count(), new_rows.count()) / BUCKET))
     snapshot = take_snapshot(old_rows, id_and_text(snapshot_rows, id_col, text_col), n_buckets)
     screened = cut_lineage(screen(groups, snapshot))
-    seen = confirm(screened, snapshot, id_and_text(incoming, id_col, text_col))
+    seen = cut_lineage(confirm(screened, snapshot, id_and_text(incoming, id_col, text_col)))
     both = (snapshot.groups.select(*KEY, "keep_id", "group_size")
             .unionByName(screened.select(*KEY, "keep_id", "group_size").join(own_shuffle(seen.select(*KEY)), KEY, "left_semi"))
             .groupBy(*KEY).agg(F.max("keep_id").alias("keep_id"), F.sum("group_size").alias("group_size")))
@@ -147,10 +147,21 @@ def in_two_batches(docs: DataFrame, id_col="doc_id", text_col="text") -> DataFra
 
 
 def drop_copies(docs: DataFrame, id_col="doc_id", text_col="text") -> DataFrame:
-    """The rows that stay, with all their columns: of equal texts the largest id, of rows that repeat id and text one."""
-    keep = in_two_batches(docs, id_col, text_col).where("kept").select("doc_id").distinct()
-    kept = docs.join(own_shuffle(keep), docs[id_col].cast("long").eqNullSafe(keep["doc_id"]), "left_semi")
-    return kept.dropDuplicates([id_col, text_col])
+    """The rows that stay, with all their columns: of equal texts the largest id, of rows that repeat id and text one.
+
+    Rows without an id stay, since nothing names them; an id stays with all its texts if one of them does. Texts are not
+    shuffled, but for rows that go.
+    """
+    found = cut_lineage(in_two_batches(docs, id_col, text_col).where("doc_id IS NOT NULL").groupBy("doc_id", "text_sha256")
+                        .agg(F.bool_or("kept").alias("kept"), F.count(F.lit(1)).alias("n")))
+    gone = cut_lineage(found.groupBy("doc_id").agg(F.bool_or("kept").alias("kept")).where("NOT kept").select("doc_id"))
+    repeated = cut_lineage(found.where("n > 1").select("doc_id").distinct())
+    left = rows_without(docs, gone, id_col)
+    if repeated.isEmpty():
+        return left
+    again = likely_rows(left, repeated, id_col)
+    again = again.join(own_shuffle(repeated.withColumnRenamed("doc_id", "__id")), again[id_col].cast("long") == F.col("__id"), "left_semi")
+    return rows_without(left, repeated, id_col).unionByName(again.dropDuplicates([id_col, text_col]))
 
 
 @query("""
