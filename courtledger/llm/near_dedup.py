@@ -3,8 +3,10 @@
 A text's set is its distinct word shingles. Texts with equal sets form a class and are linked by that; from then on a class
 is one vertex. Each vertex has `BANDS` x `ROWS` MinHash samples: the bands propose pairs, and all samples, folded into a
 bitmap by parity (an odd sketch, Mitzenmacher, Pagh and Pham 2014), estimate the similarity of a proposed pair from the
-population count of an XOR. The estimate only drops pairs far below the threshold; the others are confirmed on full sets,
-made anew from the texts, so that no link rests on a sketch.
+population count of an XOR. A second bitmap of the same kind holds the parities of the whole set: its XOR estimates how many
+shingles two sets differ in, which is sharp for all but very long texts. Estimates only drop pairs that are below the
+threshold by more than six standard deviations; the others are confirmed on full sets, made anew from the texts, so that no
+link rests on a sketch.
 
 A band bucket of k vertices is never expanded into k*k pairs. First each vertex is compared with one leader of its bucket.
 Whoever is linked by then needs no further pair: only vertices of the same bucket that are still in different components
@@ -25,11 +27,13 @@ from pyspark.sql import DataFrame, functions as F
 
 from ..operators.skew import own_shuffle
 from ..session import cut_lineage
-from .common import id_and_text, map_batches, registry, table
+from .common import id_and_text, likely_rows, map_batches, registry, table
 
 QUERIES, SQL, query = registry()
 
 BANDS, ROWS, BITS = 30, 5, 512
+#: Bits of the bitmap of a whole set.
+SET_BITS = 2048
 SAMPLES = BANDS * ROWS
 #: Pairs whose sketches estimate less than this are dropped; six standard deviations of the estimate below 0.8.
 LEAST_ESTIMATE = 0.55
@@ -101,6 +105,12 @@ def odd_sketch(low):
     return np.packbits(bits).view(np.int64)
 
 
+def set_parities(found):
+    """Each shingle toggles a bit; what is left of the XOR of two sets comes from the shingles they do not share."""
+    at = ((found >> np.uint64(9)) % np.uint64(SET_BITS)).astype(np.int64)
+    return np.packbits((np.bincount(at, minlength=SET_BITS) & 1).astype(np.uint8)).view(np.int64)
+
+
 def most_different_bits(least=LEAST_ESTIMATE) -> int:
     """The population count at which two sketches estimate a similarity of `least`."""
     return int((1 - np.exp(-4 * SAMPLES * (1 - least) / BITS)) * BITS / 2)
@@ -112,11 +122,11 @@ def _lists(arrays):
 
 
 def sketches(df: DataFrame, n_words: int, id_col="doc_id", text_col="text") -> DataFrame:
-    """One row per row: the size of the set, two hashes of the whole set, its band keys and odd sketch."""
+    """One row per row: the size of the set, two hashes of the whole set, its band keys, odd sketch and parities."""
     none = np.zeros(0, np.int64)
 
     def step(batch):
-        sizes, wholes, bands, odd = [], ([], []), [], []
+        sizes, wholes, bands, odd, parities = [], ([], []), [], [], []
         for text in batch.column("text").to_pylist():
             found = shingles(text, n_words)
             low = samples(found) if len(found) else None
@@ -125,22 +135,37 @@ def sketches(df: DataFrame, n_words: int, id_col="doc_id", text_col="text") -> D
                 whole.append(int(mix(found ^ kind).sum(dtype=np.uint64).astype(np.int64)) if len(found) else 0)
             bands.append(band_keys(low) if low is not None else none)
             odd.append(odd_sketch(low) if low is not None else none)
-        return {"doc_id": batch.column("doc_id"), "n_shingles": sizes, "set_a": wholes[0], "set_b": wholes[1], "bands": _lists(bands), "sketch": _lists(odd)}
+            parities.append(set_parities(found) if low is not None else none)
+        return {"doc_id": batch.column("doc_id"), "n_shingles": sizes, "set_a": wholes[0], "set_b": wholes[1], "bands": _lists(bands), "sketch": _lists(odd),
+                "parities": _lists(parities)}
     return map_batches(id_and_text(df, id_col, text_col), step,
-                       "doc_id long, n_shingles long, set_a long, set_b long, bands array<long>, sketch array<long>")
+                       "doc_id long, n_shingles long, set_a long, set_b long, bands array<long>, sketch array<long>, parities array<long>")
+
 
+def different_bits(a, b, n_bits):
+    total = F.bit_count(a[0].bitwiseXOR(b[0]))
+    for i in range(1, n_bits // 64):
+        total = total + F.bit_count(a[i].bitwiseXOR(b[i]))
+    return total
 
-def close_sketches(a, b, least=LEAST_ESTIMATE):
-    different = F.bit_count(a[0].bitwiseXOR(b[0]))
-    for i in range(1, BITS // 64):
-        different = different + F.bit_count(a[i].bitwiseXOR(b[i]))
-    return different <= most_different_bits(least)
+
+def may_be_linked(a, b, percent):
+    """Whether two vertices (functions from a column's name to the column) can have `percent` of their union in common."""
+    sizes = (a("n_shingles"), b("n_shingles"))
+    # The most shingles that sets of these sizes may differ in, and the bits that so many toggle: mean and deviation.
+    most = F.floor((sizes[0] + sizes[1]) * ((100 - percent) / (100 + percent)))
+    mean = SET_BITS / 2 * (1 - F.exp(-2 * most / SET_BITS))
+    variance = SET_BITS / 4 * (1 - F.exp(-4 * most / SET_BITS)) - most * F.exp(-4 * most / SET_BITS)
+    bits = F.least(most.cast("double"), mean + 6 * F.sqrt(F.greatest(variance, F.lit(0.0))) + 4)
+    return ((F.least(*sizes) * 100 >= F.greatest(*sizes) * percent)
+            & (different_bits(a("sketch"), b("sketch"), BITS) <= most_different_bits(LEAST_ESTIMATE * percent / 80))
+            & (different_bits(a("parities"), b("parities"), SET_BITS) <= bits))
 
 
 def confirmed(pairs: DataFrame, texts: DataFrame, n_words: int, percent: int) -> DataFrame:
     """Pairs (a, b) whose full sets have at least `percent` of their union in common. `texts` has doc_id and text."""
-    wanted = pairs.select(F.explode(F.array("a", "b")).alias("doc_id")).distinct()
-    rows = texts.join(own_shuffle(wanted), "doc_id", "left_semi")
+    wanted = cut_lineage(pairs.select(F.explode(F.array("a", "b")).alias("doc_id")).distinct())
+    rows = likely_rows(texts, wanted).join(own_shuffle(wanted), "doc_id", "left_semi")
 
     def step(batch):
         return {"doc_id": batch.column("doc_id"), "found": _lists([shingles(t, n_words).view(np.int64) for t in batch.column("text").to_pylist()])}
@@ -183,30 +208,33 @@ def bucketed(vertices: DataFrame) -> DataFrame:
     return rows.join(own_shuffle(leaders), "band")
 
 
-def with_sketches(pairs: DataFrame, vertices: DataFrame) -> DataFrame:
-    """Pairs (a, b) whose sketches are close."""
-    side = lambda name: vertices.select(F.col("doc_id").alias(name), F.col("sketch").alias(f"sketch_{name}"))
-    return (pairs.join(side("a"), "a").join(side("b"), "b")
-            .where(close_sketches(F.col("sketch_a"), F.col("sketch_b"))).select("a", "b"))
+SKETCHES = ("n_shingles", "sketch", "parities")
+
+
+def with_sketches(pairs: DataFrame, vertices: DataFrame, percent: int) -> DataFrame:
+    """Pairs (a, b) whose sketches do not rule a link out."""
+    side = lambda name: vertices.select(F.col("doc_id").alias(name), F.struct(*SKETCHES).alias(f"of_{name}"))
+    of = lambda name: lambda column: F.col(f"of_{name}.{column}")
+    return pairs.join(side("a"), "a").join(side("b"), "b").where(may_be_linked(of("a"), of("b"), percent)).select("a", "b")
 
 
-def open_pairs(buckets: DataFrame, linked: DataFrame, vertices: DataFrame) -> DataFrame:
-    """Pairs of a bucket that are in different components and were not compared yet, if their sketches are close."""
+def open_pairs(buckets: DataFrame, linked: DataFrame, vertices: DataFrame, percent: int) -> DataFrame:
+    """Pairs of a bucket that are in different components and were not compared yet, if their sketches do not rule a link out."""
     # In a bucket of two, the one pair has been compared with its leader.
     rows = buckets.where("n > 2").join(own_shuffle(linked), "node", "left").withColumn("component", F.coalesce("component", "node"))
     rows = cut_lineage(rows)
     still_open = rows.groupBy("band").agg(F.min("component").alias("low"), F.max("component").alias("high"), F.count(F.lit(1)).alias("n")).where("low <> high")
     rows = rows.drop("n").join(own_shuffle(still_open.select("band", "n")), "band").where("node <> leader")
-    rows = rows.join(vertices.select(F.col("doc_id").alias("node"), "sketch"), "node")
+    rows = rows.join(vertices.select(F.col("doc_id").alias("node"), F.struct(*SKETCHES).alias("of")), "node")
     blocks = F.ceil(F.col("n") / BLOCK).cast("int")
     own = F.pmod(F.xxhash64("node"), blocks).cast("int")
     # A block meets each block once: as the first of the pair with later ones, as the second with earlier ones and itself.
-    first = rows.select("band", "node", "component", "sketch", own.alias("x"), F.explode(F.sequence(own, blocks - 1)).alias("y"))
-    second = rows.select("band", "node", "component", "sketch", F.explode(F.sequence(F.lit(0), own)).alias("x"), own.alias("y"))
+    first = rows.select("band", "node", "component", "of", own.alias("x"), F.explode(F.sequence(own, blocks - 1)).alias("y"))
+    second = rows.select("band", "node", "component", "of", F.explode(F.sequence(F.lit(0), own)).alias("x"), own.alias("y"))
     a, b = first.alias("l"), second.alias("r")
     keys = (F.col("l.band") == F.col("r.band")) & (F.col("l.x") == F.col("r.x")) & (F.col("l.y") == F.col("r.y"))
     differ = (F.col("l.component") != F.col("r.component")) & ((F.col("l.x") != F.col("l.y")) | (F.col("l.node") < F.col("r.node")))
-    met = a.join(b, keys & differ & close_sketches(F.col("l.sketch"), F.col("r.sketch")))
+    met = a.join(b, keys & differ & may_be_linked(lambda c: F.col(f"l.of.{c}"), lambda c: F.col(f"r.of.{c}"), percent))
     return met.select(F.least("l.node", "r.node").alias("a"), F.greatest("l.node", "r.node").alias("b")).distinct()
 
 
@@ -220,12 +248,12 @@ def near_groups(df: DataFrame, n_words=5, percent=80, id_col="doc_id", text_col=
     members = cut_lineage(sets.select("doc_id", *key).join(own_shuffle(classes), key).select("doc_id", "class_id").distinct())
     # An id that stands for its class; with equal ids of different texts, the smallest class of an id counts.
     heads = members.groupBy("class_id").agg(F.count(F.lit(1)).alias("size")).select(F.col("class_id").alias("doc_id"))
-    vertices = cut_lineage(sets.select("doc_id", "bands", "sketch").join(own_shuffle(heads), "doc_id", "left_semi").dropDuplicates(["doc_id", "bands"]))
+    vertices = cut_lineage(sets.select("doc_id", "bands", *SKETCHES).join(own_shuffle(heads), "doc_id", "left_semi").dropDuplicates(["doc_id", "bands"]))
     buckets = cut_lineage(bucketed(vertices))
     to_leader = buckets.where("node <> leader").select(F.col("leader").alias("a"), F.col("node").alias("b")).distinct()
-    links = cut_lineage(confirmed(cut_lineage(with_sketches(to_leader, vertices)), texts, n_words, percent))
+    links = cut_lineage(confirmed(cut_lineage(with_sketches(to_leader, vertices, percent)), texts, n_words, percent))
     linked = components(links)
-    others = cut_lineage(open_pairs(buckets, linked, vertices))
+    others = cut_lineage(open_pairs(buckets, linked, vertices, percent))
     more = links
     if not others.isEmpty():
         more = cut_lineage(links.unionByName(confirmed(others, texts, n_words, percent)))

@@ -124,11 +124,11 @@ def test_near_query_and_odd_rows(spark, written, docs_of):
 def test_open_pairs_of_a_large_bucket(spark, monkeypatch):
     """Vertices of one bucket that their leader does not link are compared in blocks, each pair once."""
     monkeypatch.setattr(near_dedup, "BLOCK", 4)
-    sketch = [0] * (near_dedup.BITS // 64)
-    vertices = spark.createDataFrame([(i, sketch) for i in range(20)], "doc_id long, sketch array<long>")
+    sketch, parities = [0] * (near_dedup.BITS // 64), [0] * (near_dedup.SET_BITS // 64)
+    vertices = spark.createDataFrame([(i, 9, sketch, parities) for i in range(20)], "doc_id long, n_shingles long, sketch array<long>, parities array<long>")
     buckets = spark.createDataFrame([(i, 7, 0, 20) for i in range(20)], "node long, band long, leader long, n long")
     linked = spark.createDataFrame([(i, i // 10 * 10) for i in range(20)], "node long, component long")
-    got = [(r.a, r.b) for r in near_dedup.open_pairs(buckets, linked, vertices).collect()]
+    got = [(r.a, r.b) for r in near_dedup.open_pairs(buckets, linked, vertices, 80).collect()]
     assert sorted(got) == [(a, b) for a in range(1, 10) for b in range(10, 20)]
 
 
