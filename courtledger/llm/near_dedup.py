@@ -27,7 +27,7 @@ from pyspark.sql import DataFrame, functions as F
 
 from ..operators.skew import own_shuffle
 from ..session import cut_lineage
-from .common import id_and_text, likely_rows, map_batches, registry, table
+from .common import id_and_text, likely_rows, map_batches, registry, rows_without, table
 
 QUERIES, SQL, query = registry()
 
@@ -270,9 +270,12 @@ def near_groups(df: DataFrame, n_words=5, percent=80, id_col="doc_id", text_col=
 
 
 def keep_one(docs: DataFrame, n_words=5, percent=80, id_col="doc_id", text_col="text") -> DataFrame:
-    """The rows of documents that are their component's smallest id, with all their columns; rows with a null id stay."""
-    drop = near_groups(docs, n_words, percent, id_col, text_col).where("NOT kept").select("doc_id").distinct()
-    return docs.join(own_shuffle(drop), docs[id_col].cast("long") == drop["doc_id"], "left_anti")
+    """The rows of documents that are their component's smallest id, with all their columns; rows with a null id stay.
+
+    Texts are not shuffled, but for rows that go.
+    """
+    gone = cut_lineage(near_groups(docs, n_words, percent, id_col, text_col).where("NOT kept").select("doc_id").distinct())
+    return rows_without(docs, gone, id_col)
 
 
 @query()
