@@ -94,10 +94,12 @@ def with_next(rows: DataFrame) -> DataFrame:
     n_ranges = min(RANGES, max(1, ceil(rows.count() / ROWS)))
     ranged = rows.select("doc_id", "text", _range_of(rows, n_ranges).alias("range"))
     order = Window.partitionBy("range").orderBy(F.desc_nulls_last("doc_id"), F.desc("text"))
-    placed = ranged.select("doc_id", "text", "range", F.lead("text").over(order).alias("next_text"), F.row_number().over(order).alias("place"))
+    placed = ranged.select("doc_id", "text", "range", F.lead("text").over(order).alias("next_text"), F.lag(F.lit(1)).over(order).alias("before"))
     inner = placed.where("next_text IS NOT NULL").select("doc_id", "text", "next_text")
     # One row per range from here on: at most RANGES rows.
-    first = placed.where("place = 1").select(F.col("range").alias("from_range"), F.col("text").alias("next_text"))
+    # (The first of a range is told by having none before it: a row number would be turned into a limit of its own below the
+    # shuffle, and the texts would be shuffled once more.)
+    first = placed.where("before IS NULL").select(F.col("range").alias("from_range"), F.col("text").alias("next_text"))
     all_ranges = Window.orderBy(F.desc("range"))
     whole = all_ranges.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
     chain = ranged.groupBy("range").agg(F.count(F.lit(1)).alias("n")).select(
