@@ -8,7 +8,7 @@ from courtledger.catalog.base import date, registry, table
 from courtledger.functions.text import normalize_name
 from courtledger.plans.available import available
 from courtledger.plans.day import dedup_games as dedup_op, empty_state, next_state, process_days
-from courtledger.plans.injuries import normalize_injury_list
+from courtledger.plans.injuries import apply_injury_list, fill_placeholder_kind, normalize_injury_list
 from courtledger.plans.picks import new_picks, pick_rows
 from courtledger.session import cut_lineage
 
@@ -171,3 +171,43 @@ def day_import_injuries(spark, sf):
     WHERE event_type NOT IN ('error', 'signup')""")
 def day_import_facts(spark, sf):
     return _import(spark, sf, ["stats"])["stats_joueur"].select("id_match", "id_joueur", "points", "minute")
+
+
+@query("""
+    WITH latest AS (SELECT DISTINCT ON (o_custkey) o_custkey, CAST(left(o_orderpriority, 1) AS INTEGER) AS kind FROM orders
+                    ORDER BY o_custkey, CAST(o_orderdate AS DATE) DESC, kind DESC)
+    SELECT c_custkey AS id_joueur, CASE WHEN c_acctbal > 0 AND c_custkey % 3 <> 0 AND kind IS NOT NULL THEN kind WHEN c_custkey % 3 <> 0 THEN 99 ELSE 5 END AS id_type_blessure,
+           CASE WHEN c_acctbal <= 0 THEN DATE '2024-02-01' END AS date_guerison FROM customer LEFT JOIN latest ON o_custkey = c_custkey""")
+def fill_placeholder(spark, sf):
+    """Open spells of the placeholder kind take the kind that was listed last for the name."""
+    customer, orders = table(spark, sf, "customer"), table(spark, sf, "orders")
+    members = customer.select(F.col("c_custkey").alias("id_joueur"), F.col("c_name").alias("nom_simple"))
+    spells = customer.select(F.col("c_custkey").alias("id_joueur"), F.when(F.col("c_custkey") % 3 != 0, 99).otherwise(5).alias("id_type_blessure"),
+                             F.to_date(F.lit("2024-01-01")).alias("date_blessure"), F.when(F.col("c_acctbal") <= 0, F.to_date(F.lit("2024-02-01"))).alias("date_guerison"))
+    named = members.withColumnRenamed("id_joueur", "o_custkey")
+    listed = orders.join(named, "o_custkey").select("nom_simple", F.substring("o_orderpriority", 1, 1).cast("int").alias("id_type_blessure"), date("o_orderdate").alias("date_blessure"))
+    return fill_placeholder_kind(spells, members, listed).select("id_joueur", "id_type_blessure", "date_guerison")
+
+
+@query("""
+    WITH listed AS (SELECT c_custkey AS id, n_nationkey AS kind, c_custkey % 4 AS g FROM customer JOIN nation ON c_nationkey = n_nationkey WHERE c_acctbal > 0),
+    last AS (SELECT o_custkey AS id, max(CAST(o_orderdate AS DATE)) AS day FROM orders GROUP BY 1)
+    SELECT c_custkey AS id_joueur, CASE WHEN c_custkey % 4 = 0 THEN coalesce(kind, 99) ELSE 7 END AS id_type_blessure, DATE '2023-06-01' AS date_blessure,
+           CASE WHEN c_custkey % 4 = 2 THEN DATE '2023-07-01' END AS date_guerison
+    FROM customer LEFT JOIN listed ON id = c_custkey WHERE c_custkey % 4 < 3
+    UNION ALL SELECT id, kind, day + 1, NULL FROM listed JOIN last USING (id) WHERE g > 1
+    UNION ALL SELECT id, kind, DATE '2024-01-10', NULL FROM listed WHERE g > 1 AND id NOT IN (SELECT id FROM last)""")
+def injury_chain(spark, sf):
+    """An injury list in its three steps: kinds of open spells, spells after the last fact, spells of those never seen."""
+    customer, orders, nation = (table(spark, sf, t) for t in ("customer", "orders", "nation"))
+    day, group = lambda text: F.to_date(F.lit(text)), F.col("c_custkey") % 4
+    members = customer.select(F.col("c_custkey").alias("id_joueur"), F.col("c_name").alias("nom_simple"))
+    spells = customer.filter(group < 3).select(
+        F.col("c_custkey").alias("id_joueur"), F.when(group == 0, 99).otherwise(7).alias("id_type_blessure"), day("2023-06-01").alias("date_blessure"),
+        F.when(group == 2, day("2023-07-01")).alias("date_guerison"))
+    listed = customer.filter("c_acctbal > 0").join(nation, F.col("c_nationkey") == F.col("n_nationkey")).select(
+        F.col("c_name").alias("nom_simple"), F.lower("n_name").alias("Injury"), F.col("n_nationkey").alias("id_type_blessure"), day("2024-01-10").alias("date_blessure"))
+    last = orders.groupBy("o_custkey").agg(F.max(date("o_orderdate")).alias("date_match"))
+    facts = last.join(members, F.col("o_custkey") == F.col("id_joueur")).select("nom_simple", "id_joueur", "date_match")
+    kinds = nation.select(F.col("n_nationkey").alias("id_type_blessure"), F.col("n_name").alias("nom_blessure_anglais"))
+    return apply_injury_list(spells, members, listed, facts, kinds, store=cut_lineage).select("id_joueur", "id_type_blessure", "date_blessure", "date_guerison")

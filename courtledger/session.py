@@ -22,6 +22,8 @@ def build_session(master=None, **conf) -> SparkSession:
         # Split a hot key even where that costs one more shuffle of the joined rows.
         "spark.sql.adaptive.forceOptimizeSkewedJoin": "true",
         "spark.sql.execution.arrow.pyspark.enabled": "true",
+        # Python workers take whole pages and texts: bound a batch by its bytes, not by its rows alone.
+        "spark.sql.execution.arrow.maxBytesPerBatch": "64m",
         **conf,
     }
     for key, value in settings.items():

@@ -254,7 +254,7 @@ def extract_html_tables(pages: DataFrame, id_cols, html_col="html", batch_rows=1
     last row is known without a shuffle. Cells are texts, null where empty; rows of a table all have
     its width. The only operator that needs Python workers: pages without a table are not sent to
     them, a page is parsed alone, and rows are handed on every batch_rows rows, so memory follows the
-    largest page.
+    largest batch of pages: spark.sql.execution.arrow.maxBytesPerBatch, which `build_session` sets, or one page.
     """
     id_cols = [id_cols] if isinstance(id_cols, str) else list(id_cols)
     kept = pages.filter(_has_table(html_col)).select(*id_cols, F.col(html_col).alias("_html"))
