@@ -60,7 +60,8 @@ def counted(text: str, cache: dict):
             cache.clear()
     ids = np.fromiter(found, np.uint32, len(found))
     order = np.argsort(ids)
-    return ids[order], np.fromiter(found.values(), np.float32, len(found))[order], total
+    counts = np.fromiter(found.values(), np.int64, len(found))[order]
+    return ids[order], np.minimum(counts, 65_535).astype(np.uint16), total
 
 
 def held_out(id_column):
@@ -72,12 +73,15 @@ def _sigmoid(z):
 
 
 class Rows:
-    """Sparse rows: columns and values of each, one after the other."""
+    """Sparse rows of the used features, one after the other in two flat arrays."""
 
-    def __init__(self, rows):
-        self.ends = np.concatenate([[0], np.cumsum([len(ids) for ids, _ in rows])]).astype(np.int64)
-        self.ids = np.concatenate([ids for ids, _ in rows] or [np.zeros(0)]).astype(np.int64)
-        self.values = np.concatenate([values for _, values in rows] or [np.zeros(0)]).astype(np.float64)
+    def __init__(self, rows, used):
+        self.ends = np.concatenate([[0], np.cumsum([int(used[ids].sum()) for ids, _, _ in rows])]).astype(np.int64)
+        self.ids, self.values = np.empty(self.ends[-1], np.int32), np.empty(self.ends[-1], np.float32)
+        for i, (ids, counts, n) in enumerate(rows):
+            kept, place = used[ids], slice(self.ends[i], self.ends[i + 1])
+            self.ids[place] = ids[kept]
+            self.values[place] = counts[kept] * (SCALE / np.sqrt(max(1, n)))
 
     def part(self, which):
         lengths = self.ends[which + 1] - self.ends[which]
@@ -105,7 +109,7 @@ def train(rows, positive, seed=0):
     least = int(np.clip(0.006 * n_positive, 2, 8))
     support = np.bincount(np.concatenate([ids for (ids, _, _), p in zip(rows, positive) if p]).astype(np.int64), minlength=width)
     used = support >= least
-    data = Rows([(ids[used[ids]], counts[used[ids]] * SCALE / np.sqrt(max(1, n))) for ids, counts, n in rows])
+    data = Rows(rows, used)
     rng, bias = np.random.default_rng(seed), float(np.log(prior / (1 - prior)))
     state = [np.zeros(width + 1), np.zeros(width + 1)]
     mean, n_mean = np.zeros(width + 1), 0
@@ -167,10 +171,14 @@ def fit(docs: DataFrame, labels: DataFrame, id_col="doc_id", text_col="text", la
             for k, v in (("doc_id", doc_id), ("label", label), ("ids", ids.tobytes()), ("counts", counts.tobytes()), ("n", n)):
                 out[k].append(v)
         return out
-    found = map_batches(rows, step, "doc_id long, label int, ids binary, counts binary, n long").toArrow().to_pydict()
-    order = sorted(range(len(found["n"])), key=lambda i: (found["doc_id"][i], found["ids"][i], found["counts"][i]))
-    data = [(np.frombuffer(found["ids"][i], np.uint32), np.frombuffer(found["counts"][i], np.float32), found["n"][i]) for i in order]
-    return train(data, [found["label"][i] == 1 for i in order])
+    found = map_batches(rows, step, "doc_id long, label int, ids binary, counts binary, n long").toArrow()
+    doc_ids, labelled, totals = (found.column(c).to_pylist() for c in ("doc_id", "label", "n"))
+    # Views of the collected bytes: a sample is held once here, and once more as the rows that are trained on.
+    view = lambda name, kind: [np.frombuffer(v.as_buffer(), kind) for chunk in found.column(name).chunks for v in chunk]
+    ids, counts = view("ids", np.uint32), view("counts", np.uint16)
+    order = sorted(range(len(totals)), key=lambda i: (doc_ids[i], totals[i], ids[i].tobytes()[:64]))
+    data, labels_of = [(ids[i], counts[i], totals[i]) for i in order], [labelled[i] for i in order]
+    return train(data, [label == 1 for label in labels_of])
 
 
 def score(docs: DataFrame, model, id_col="doc_id", text_col="text") -> DataFrame:
