@@ -1,10 +1,12 @@
 """Fingerprints as Merkle trees over paragraphs and sections, in DataFrame functions only.
 
-Lines are paragraphs. A paragraph's node is the SHA-256 of its text; a section is a run of paragraphs, ended where a
-paragraph's own hash says so (one in four) or by a blank line, so that an insertion changes the sections around it only;
-a section's node hashes its paragraphs' nodes, and the root hashes the sections' nodes. Equal roots mean equal texts, and
-sections that differ tell where an edit is. Below a paragraph, runs of four words carry short hashes, by which two
-fingerprints are compared: their likeness is the share of runs that both have (Dice), and 1 for equal roots.
+Lines are paragraphs. The leaves are runs of words, cut by content: a run ends behind a word whose own hash says so (one
+in four), so that a word put in or taken out changes the runs around it only. A paragraph's node is the SHA-256 of its
+leaves' SHA-256; a section is a run of paragraphs, ended where a paragraph's own hash says so (one in four) or by a blank
+line, so that an insertion changes the sections around it only; a section's node hashes its paragraphs' nodes, and the
+root hashes the sections' nodes. Equal roots mean equal texts, and sections that differ tell where an edit is. Two
+fingerprints are compared by the first 24 bits of their leaves: their likeness is the share of different leaves that both
+have (Dice), and 1 for equal roots.
 
 The next document in descending order of the id is found without a global sort: ids are cut into ranges of about `ROWS`
 documents by their percentiles, a window finds the neighbour within a range, and the last document of each range takes the
@@ -25,18 +27,27 @@ from .common import id_and_text, registry, table
 QUERIES, SQL, query = registry()
 
 ROWS, RANGES = 1024, 65_536
-#: Four words with the space after them; words of over 40 characters count as several.
-RUN = r"\s*(?:\S{1,40}\s*){1,4}"
-SECTION = 4
+#: A word with the space after it, or space at the start of a line. Of a word of over 40 characters (a line without spaces, too)
+#: each character counts as a word, but for its last 40: so runs find their way again within such words as well.
+WORD = r"\S{1,40}+(?!\S)\s*+|\S|\s++"
+#: One paragraph in so many ends a section, one word a run; one character of a long word in so many.
+SECTION, RUN, RUN_CHARS = 4, 4, 8
 
 
-def tree(text):
-    """The struct of a text's fingerprint: root, nodes of sections and paragraphs, and hashes of runs."""
-    paragraphs = F.split(text, "\n", -1)
-    return F.struct(F.transform(paragraphs, lambda p: F.sha2(p, 256)).alias("paragraphs"),
-                    F.array_distinct(F.flatten(F.transform(paragraphs, lambda p: F.transform(
-                        F.regexp_extract_all(p, F.lit(RUN), F.lit(0)), lambda r: F.xxhash64(r).bitwiseAND(0xFFFFFF))))).alias("runs"),
-                    F.transform(paragraphs, lambda p: F.length(F.trim(p)) == 0).alias("blank"))
+def leaves(paragraph):
+    """The hashes of a paragraph's runs; the runs in their order are the whole paragraph. It holds no line end: that marks the cuts."""
+    ends = lambda w: F.pmod(F.xxhash64(w), F.when(F.length(w) == 1, RUN_CHARS).otherwise(RUN)) == 0
+    words = F.regexp_extract_all(paragraph, F.lit(WORD), F.lit(0))
+    marked = F.array_join(F.transform(words, lambda w: F.when(ends(w), F.concat(w, F.lit("\n"))).otherwise(w)), "")
+    return F.transform(F.array_remove(F.split(marked, "\n"), ""), lambda run: F.sha2(run, 256))
+
+
+def tree(text, leaf_name):
+    """The struct of a text's fingerprint, from the leaves of its paragraphs: nodes of paragraphs, and short hashes of runs."""
+    short = lambda leaf: F.conv(F.substring(leaf, 1, 6), 16, 10).cast("long")
+    return F.struct(F.transform(leaf_name, lambda nodes: F.sha2(F.array_join(nodes, ""), 256)).alias("paragraphs"),
+                    F.array_distinct(F.transform(F.flatten(leaf_name), short)).alias("runs"),
+                    F.transform(F.split(text, "\n", -1), lambda p: F.length(F.trim(p)) == 0).alias("blank"))
 
 
 def with_fingerprint(df: DataFrame, text_name: str, name: str) -> DataFrame:
@@ -47,15 +58,16 @@ def with_fingerprint(df: DataFrame, text_name: str, name: str) -> DataFrame:
     sections = F.transform(f"{name}_ends", lambda end, k: F.sha2(F.array_join(F.slice(
         f"{t}.paragraphs", F.when(k == 0, 1).otherwise(F.element_at(f"{name}_ends", F.greatest(k, F.lit(1)))
                                                        + 1), end - F.when(k == 0, 0).otherwise(F.element_at(f"{name}_ends", F.greatest(k, F.lit(1))))), ""), 256))
-    df = df.withColumn(t, tree(F.col(text_name))).withColumn(f"{name}_ends", ends).withColumn(f"{name}_sections", sections)
+    df = df.withColumn(f"{name}_leaves", F.transform(F.split(text_name, "\n", -1), leaves)).withColumn(t, tree(F.col(text_name), f"{name}_leaves"))
+    df = df.withColumn(f"{name}_ends", ends).withColumn(f"{name}_sections", sections)
     df = df.withColumn(f"{name}_root", F.sha2(F.array_join(f"{name}_sections", ""), 256)).withColumn(f"{name}_runs", F.col(f"{t}.runs"))
     short = F.array_join(F.transform(f"{name}_sections", lambda s: F.substring(s, 1, 8)), ",")
     runs = F.array_join(F.transform(f"{name}_runs", lambda r: F.lpad(F.lower(F.hex(r)), 6, "0")), "")
-    return df.withColumn(name, F.concat_ws(":", f"{name}_root", short, runs)).drop(t, f"{name}_ends")
+    return df.withColumn(name, F.concat_ws(":", f"{name}_root", short, runs)).drop(t, f"{name}_leaves", f"{name}_ends")
 
 
 def likeness(a: str, b: str):
-    """0 to 1: twice the runs that both fingerprints have over the runs of either; 1 for equal roots."""
+    """0 to 1: twice the runs that both fingerprints have over the runs of either, each run of a text once; 1 for equal roots."""
     runs_a, runs_b = F.col(f"{a}_runs"), F.col(f"{b}_runs")
     total = F.size(runs_a) + F.size(runs_b)
     shared = F.size(F.array_intersect(runs_a, runs_b))

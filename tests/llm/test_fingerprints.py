@@ -58,6 +58,22 @@ def test_tree_locates_edits(docs_of):
     assert 1 <= len(row.d) <= 2 and row.n > 8 and 0.9 < row.l < 1
 
 
+def test_likeness_after_a_shift(spark):
+    """Words put in or taken out at the start of a line cost the runs around them, not all that follow on the line."""
+    rnd = random.Random(2)
+    words = [f"w{rnd.randrange(10_000)}" for _ in range(400)]
+    line, unspaced = " ".join(words), "".join(chr(0x4E00 + rnd.randrange(3000)) for _ in range(2000))
+    near = [(line, "new " + line), (line, " ".join(words[1:])), (line, " ".join([*words[:5], "some", "more", *words[6:]])),
+            (unspaced, "新" + unspaced), (unspaced, unspaced[:700] + unspaced[701:])]
+    far = [(line, " ".join(rnd.sample(words, 400))), ("", "a"), (" a", "a"), ("a  ", "a"), (" ", "")]
+    df = spark.createDataFrame([(k, a, b) for k, (a, b) in enumerate(near + far)], "doc_id long, text string, new string")
+    for text, name in (("text", "a"), ("new", "b")):
+        df = fingerprints.with_fingerprint(df, text, name)
+    got = {r.doc_id: r for r in df.select("doc_id", fingerprints.likeness("a", "b").alias("l"), "a_root", "b_root").collect()}
+    assert all(0.9 < got[k].l < 1 for k in range(len(near)))
+    assert got[len(near)].l < 0.5 and all(r.a_root != r.b_root for r in got.values())
+
+
 def toxic_texts(n=1200, seed=0):
     rnd = random.Random(seed)
     words, bad = [f"{a}{b}{c}" for a in "bdfgk" for b in "aeiou" for c in "lmnrst"], ["vilest", "scumbag", "rotten"]
