@@ -2,6 +2,7 @@
 
 import hashlib
 import re
+import time
 
 import pytest
 from hypothesis import given, settings, strategies as st
@@ -64,6 +65,24 @@ def test_pairs_and_constants():
     assert added('password = "changeme"') == [] and added("password: none") == [] and added("a == b: c") == []
 
 
+def test_whole_values():
+    assert added("password: S3cr3t!Passw0rd # mine") == [("literal", "S3cr3t!Passw0rd")]
+    assert added("db_pwd=ab!9Kd#x(7:Q,z%\n") == [("literal", "ab!9Kd#x(7:Q,z%")]
+    assert added("f(user=x, pwd=ab!9Kd#x7Qz), <td>pwd: ab!9Kd#y7Qz</td> Pwd=ab!9Kd#z7Qz;User=x") == [("literal", f"ab!9Kd#{c}7Qz") for c in "xyz"]
+    for name in ("passphrase" + " " * 24, "a." * 60 + "password", "password: " + "T" * 70 + " "):
+        assert added(f'{name}={" " * 30}"Zk3Lm9Qx7Tv1Bw5R"') == [("literal", "Zk3Lm9Qx7Tv1Bw5R")]
+    parts = ["Zk3Lm9Qx7Tv1Bw5R" * 100 + str(k) for k in range(9)]
+    assert added("secret = " + "\n    + ".join(f'"{p}"' for p in parts)) == [("literal", p) for p in parts]
+    assert added("secret = " + " + \\\n".join(f'"{p}"' for p in parts)) == [("literal", p) for p in parts]
+
+
+@pytest.mark.parametrize("text", ["a" + " " * 200_000, "a:" * 20_000, ",;)" * 50_000, "x: a" + "," * 200_000, "x = " + '"a" +\n' * 20_000, "a.b-" * 50_000])
+def test_lexing_of_long_texts(text):
+    started = time.process_time()
+    secret_scan.lexed_spans(text)
+    assert time.process_time() - started < 20
+
+
 def test_checksums_and_context():
     text = "Please transfer to IBAN DE89 3704 0044 0532 0130 00 today; DE89 3704 0044 0532 0130 01 is wrong. My ssn: 123-45-6789; order 123-45-6780"
     found = [(k, text[a:b]) for k, a, b, _ in pii.find_in(text)[1]]
