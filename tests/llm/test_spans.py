@@ -65,6 +65,22 @@ def test_pairs_and_constants():
     assert added('password = "changeme"') == [] and added("password: none") == [] and added("a == b: c") == []
 
 
+def test_constants_bound_later():
+    assert added('password = DB_PASS\nDB_PASS = "Zk3Lm9Qx7Tv1Bw5R"') == [("constant", "Zk3Lm9Qx7Tv1Bw5R")]
+    assert added('api_secret = y\ny = x\nx = "Zk3Lm9Qx7Tv1Bw5R"') == [("constant", "Zk3Lm9Qx7Tv1Bw5R")]
+    assert added("password = DB_PASS\nDB_PASS = password\nsecret = secret") == []
+    assert added('password = DB_PASS\ntoken = db_password2\nsecret = os.getenv("APP_SETTING")\ntoken = load(x)') == []
+    assert added("f(password=g7(load(x)), pwd: Zk3L#[m9Qx](7Tv))") == [("literal", "Zk3L#[m9Qx](7Tv)")]
+    assert added("password: S3cr3tPassw0rd") == [("literal", "S3cr3tPassw0rd")]
+
+
+@pytest.mark.parametrize("name", sorted(secret_scan.NAME_WEIGHT))
+def test_every_name_can_be_reported(name):
+    value = "482913" if name == "pin" else "9f86d081884c7d659a2feaa0c55ad015"
+    assert added(f'{name} = "{value}"') == [("literal", value)]
+    assert name != "pin" or added("pin: 4829") == [("literal", "4829")] and added("pin: 0000") == []
+
+
 def test_whole_values():
     assert added("password: S3cr3t!Passw0rd # mine") == [("literal", "S3cr3t!Passw0rd")]
     assert added("db_pwd=ab!9Kd#x(7:Q,z%\n") == [("literal", "ab!9Kd#x(7:Q,z%")]
@@ -76,7 +92,7 @@ def test_whole_values():
     assert added("secret = " + " + \\\n".join(f'"{p}"' for p in parts)) == [("literal", p) for p in parts]
 
 
-@pytest.mark.parametrize("text", ["a" + " " * 200_000, "a:" * 20_000, ",;)" * 50_000, "x: a" + "," * 200_000, "x = " + '"a" +\n' * 20_000, "a.b-" * 50_000])
+@pytest.mark.parametrize("text", ["a" + " " * 200_000, "a:" * 20_000, ",;)" * 50_000, "x: a" + "," * 200_000, "x = " + '"a" +\n' * 20_000, "a.b-" * 50_000, "x: a" + "(" * 50_000 + ")" * 50_000])
 def test_lexing_of_long_texts(text):
     started = time.process_time()
     secret_scan.lexed_spans(text)
