@@ -107,6 +107,25 @@ def test_checksums_and_context():
     assert pii.redact("xxxxx", [("card", 0, 3, 1.0), ("phone", 2, 4, 1.0)]) == "[CARD]x"
 
 
+IBANS = ["DE89 3704 0044 0532 0130 00", "FR14 2004 1010 0505 0001 3M02 606", "TR33 0006 1005 1978 6457 8413 26", "SA03 8000 0000 6080 1016 7519",
+         "AE07 0331 2345 6789 0123 456", "BR15 0000 0000 0000 1093 2840 814P 2", "NO93 8601 1117 947", "DZ58 0002 1000 0111 3000 0005 70"]
+
+
+def test_ibans_side_by_side():
+    found = lambda text: [text[a:b] for a, b in pii.ibans(text)]
+    for between in (" ", " AB12 ", " 1234 ", ", "):
+        assert found(between.join(IBANS)) == IBANS
+    assert found(" ".join(i.replace(" ", "") for i in IBANS)) == [i.replace(" ", "") for i in IBANS]
+    for iban in IBANS:
+        assert found(f"{iban} TOTAL 2024 EUR 100") == [iban] and found(f"XX12 {iban}") == [iban] and found(iban + "7") == []
+    other = next(i for k in range(2, 99) if pii.mod97((i := f"QQ{k:02} 1234 5678 9012").replace(" ", "")))
+    assert found(f"{other}, {IBANS[0]}") == [other, IBANS[0]]
+    text = " ".join(IBANS[:2])
+    assert pii.redact(text, sum(pii.find_in(text), [])) == "[IBAN] [IBAN]"
+    started = time.process_time()
+    assert found("AB12 " * 20_000 + "A" * 100_000) == [] and time.process_time() - started < 20
+
+
 @pytest.mark.parametrize("query, plain, kinds", [
     (secret_scan.op1_secret_scan, plain_secrets, ("assign", "access", "hex")), (pii.op3_pii, plain_pii, ("email", "ip", "card", "phone"))])
 def test_queries(spark, written, real, query, plain, kinds):
