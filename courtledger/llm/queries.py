@@ -2,7 +2,7 @@
 
 from importlib import import_module
 
-MODULES = ("secret_scan", "dedup", "pii", "packing", "near_dedup", "warc", "token_counts", "piece_codec", "fingerprints", "toxicity", "quality_rules", "token_alignment")
+MODULES = ("secret_scan", "dedup", "pii", "packing", "near_dedup", "warc", "token_counts", "piece_codec", "fingerprints", "toxicity", "quality_rules", "token_alignment", "phrases")
 
 
 def _registered(kind):
