@@ -3,12 +3,13 @@
 from pyspark.sql import functions as F, types as T
 
 from courtledger.catalog.base import date, registry, table
-from courtledger.operators.history import (event_spells_apply as event_apply, event_spells_build, scd2_apply, scd2_build)
+from courtledger.operators.history import (event_spells_apply as event_apply, event_spells_build, event_spells_correct, observed_days,
+                                           scd2_apply, scd2_build, scd2_correct)
 from courtledger.operators.matching import drop_members
 from courtledger.plans.schedule import high_water_marks as marks_op, sync_window as sync_op
-from courtledger.session import scratch_path
+from courtledger.session import cut_lineage, scratch_path
 from courtledger.sources.tables import date_series as series_op
-from courtledger.streaming.ingest import ingest_stream, read_log, read_state, spell_step
+from courtledger.streaming.ingest import any_order_step, ingest_stream, read_state, spell_state
 
 QUERIES, SQL, query = registry()
 
@@ -63,20 +64,53 @@ def event_spells_carried(spark, sf):
     return event_apply(event_spells_build(stored, *args), batch, *args).all()
 
 
+#: Batches into which rows are dealt, whatever their days: every batch but the first brings days before stored ones, and more rows of stored days.
+_BATCHES = 3
+
+
+def _shuffled(events):
+    return [events.filter(F.pmod(F.xxhash64("event_id"), F.lit(_BATCHES)) == k) for k in range(_BATCHES)]
+
+
+@query(_TYPE_SPELLS)
+def spells_late(spark, sf):
+    """Batches that arrive in no order give the spells of all days."""
+    args, order = ("user_id", "event_type", "day", "start_day", "end_day"), ["ts", "event_id"]
+    first, *later = _shuffled(_events(spark, sf))
+    spells, seen = cut_lineage(scd2_build(first, *args, order)), cut_lineage(observed_days(first, *args[:3], order))
+    for batch in later:
+        days = cut_lineage(observed_days(batch, *args[:3], order))
+        spells = cut_lineage(scd2_correct(spells, seen, days, *args, order, store=cut_lineage).all())
+        seen = seen.unionByName(days)
+    return spells
+
+
+@query(_ERROR_SPELLS)
+def event_spells_late(spark, sf):
+    args = ("user_id", "hurt", "day", "start_day", "end_day")
+    first, *later = _shuffled(_events(spark, sf))
+    spells, seen = cut_lineage(event_spells_build(first, *args)), cut_lineage(observed_days(first, *args[:3]))
+    for batch in later:
+        days = cut_lineage(observed_days(batch, *args[:3]))
+        spells = cut_lineage(event_spells_correct(spells, seen, days, *args, store=cut_lineage).all())
+        seen = seen.unionByName(days)
+    return spells
+
+
 @query(_TYPE_SPELLS)
 def stream_ingest(spark, sf):
-    """The spells again, from a file stream: open ones as versioned state, closed ones as a log."""
+    """The spells again, from a file stream of several batches, whose days come in no order: a batch writes the spells that it changes."""
     names = ["event_id", "ts", "user_id", "event_type"]
-    schema = T.StructType([f for f in table(spark, sf, "events").schema if f.name in names])
-    stream = (spark.readStream.schema(schema).option("pathGlobFilter", "events.parquet").parquet(sf)
-              .withColumn("day", date("ts")))
-    spells = T.StructType([schema["user_id"], schema["event_type"], T.StructField("start_day", T.DateType()),
-                           T.StructField("end_day", T.DateType())])
+    events = table(spark, sf, "events").select(*names)
     root = scratch_path(spark, "stream")
-    step = spell_step("user_id", "event_type", "day", "start_day", "end_day", ["ts", "event_id"])
-    ingest_stream(stream, f"{root}/tables", {"open_spells": spells}, step, f"{root}/checkpoint").awaitTermination()
-    return (read_state(spark, f"{root}/tables", {"open_spells": spells})["open_spells"]
-            .unionByName(read_log(spark, f"{root}/tables", "closed_spells", spells)))
+    for part in _shuffled(events):
+        part.coalesce(1).write.mode("append").parquet(f"{root}/incoming")
+    stream = (spark.readStream.schema(events.schema).option("maxFilesPerTrigger", 1).parquet(f"{root}/incoming").withColumn("day", date("ts")))
+    spells = T.StructType([events.schema["user_id"], events.schema["event_type"], T.StructField("start_day", T.DateType()), T.StructField("end_day", T.DateType())])
+    state = spell_state(spells, "user_id", "start_day", "end_day")
+    step = any_order_step(f"{root}/tables", "user_id", "event_type", "day", "start_day", "end_day", ["ts", "event_id"])
+    ingest_stream(stream, f"{root}/tables", state, step, f"{root}/checkpoint").awaitTermination()
+    return read_state(spark, f"{root}/tables", state)["spells"]
 
 
 @query("""

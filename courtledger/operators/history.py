@@ -4,6 +4,11 @@ A batch may hold any number of days. It is first reduced to one row per member a
 everything ordered by day works on groups no longer than the calendar, whatever the row counts.
 State goes in and out as whole frames: old spells and a batch give new spells. The reduced batch is
 used several times; `store`, if given, keeps it from being computed anew each time.
+
+`scd2_apply` and `event_spells_apply` need batches in the order of their days. `scd2_correct` and
+`event_spells_correct` take days in any order: spells alone do not say which days between their ends
+were seen, so they also read the stored days (`observed_days` of earlier batches) from each member's
+first day of the batch on. Whatever the order of arrival, the outcome is that of building from all days.
 """
 
 from typing import NamedTuple
@@ -28,6 +33,25 @@ class SpellChange(NamedTuple):
     def closed(self) -> DataFrame:
         return self.carried.filter(F.col(self.end).isNotNull())
 
+    def parts(self):
+        """(kept, changed, gone), as of a Correction: the open ones that go on are kept."""
+        kept = self.past.unionByName(self.carried.filter(F.col(self.end).isNull()))
+        return kept, self.closed().unionByName(self.opened, allowMissingColumns=True), self.past.limit(0)
+
+
+class Correction(NamedTuple):
+    """Spells after a batch whose days may lie anywhere."""
+    kept: DataFrame     # as they were
+    changed: DataFrame  # new ones, and those with another start or end; these keep their other columns
+    gone: DataFrame     # stored spells that are no spell any more, or part of another one
+    moved: DataFrame    # stored spells that live on in a changed one with another start, as they were
+
+    def all(self) -> DataFrame:
+        return self.kept.unionByName(self.changed)
+
+    def parts(self):
+        return self.kept, self.changed, self.gone
+
 
 def day_state(rows: DataFrame, key, value, day, order=None) -> DataFrame:
     """One row per (key, day) with the value of the row greatest in `order` (or the greatest value)."""
@@ -105,3 +129,75 @@ def _apply(spells, found, key, start, end, goes_on, opens, columns):
                    .select(key, *[c.alias(n) for n, c in columns.items()],
                            F.col("_from").alias(start), day_before("_next").alias(end)))
     return SpellChange(past, carried, opened, end)
+
+
+def observed_days(rows: DataFrame, key, value, day, order=None) -> DataFrame:
+    """What has to be stored of a batch: one row per (key, day), the greatest in `order`, with its value and order."""
+    order = list(order or [])
+    greatest = F.max(F.struct(*order, value)) if order else F.max(F.struct(value))
+    days = (rows.filter(F.col(key).isNotNull()).groupBy(key, F.col(day).cast("date").alias("_day")).agg(greatest.alias("_row")))
+    return days.select(key, F.col("_day").alias(day), *[F.col(f"_row.{c}").alias(c) for c in [value, *(c for c in order if c != day)]])
+
+
+def scd2_correct(spells: DataFrame, observed: DataFrame, batch: DataFrame, key, attr, day, start, end, order=None,
+                 store=lambda df: df) -> Correction:
+    """Carry days of any time into existing spells.
+
+    observed: the days that led to the spells, as `observed_days` gives them, with or without those before the
+    members' first days of the batch, and with or without doubles. A spell goes on as the earliest
+    stored one of its value that begins within it, and keeps that one's other columns.
+    """
+    return _correct(spells, observed, store(observed_days(batch, key, attr, day, order)), key, attr, day, start, end, order,
+                    value_of=F.col(attr), same=F.col(f"n.{attr}").eqNullSafe(F.col(f"o.{attr}")),
+                    holds=F.lit(True), columns={attr: F.col(attr)}, store=store)
+
+
+def event_spells_correct(spells: DataFrame, observed: DataFrame, batch: DataFrame, key, flag, day, start, end,
+                         constants=None, store=lambda df: df) -> Correction:
+    """The same for events. A stored spell counts as seen on its first day, if no row says otherwise: so spells
+    from other sources than the rows stay until a day without the flag.
+    """
+    return _correct(spells, observed, store(observed_days(batch, key, flag, day)), key, flag, day, start, end, None,
+                    value_of=F.lit(True), same=F.lit(True),
+                    holds=F.col(flag), columns={c: F.lit(v) for c, v in (constants or {}).items()}, store=store)
+
+
+def _correct(spells, observed, days, key, value, day, start, end, order, value_of, same, holds, columns, store):
+    order = [c for c in order or [] if c != day]
+    first = own_shuffle(days.groupBy(key).agg(F.min(day).alias("_first")))
+    marked = spells.join(first, key, "left")
+    # A spell that ended before the day before a member's first day cannot change any more.
+    reached = F.col("_first").isNotNull() & (F.col(end).isNull() | (F.col(end) >= F.date_sub("_first", 1)))
+    reached = F.coalesce(reached, F.lit(False))
+    untouched = marked.filter(~reached).select(*spells.columns)
+    touched = store(marked.filter(reached).select(*spells.columns))
+    # The days of the members from their first day of the batch on, and the first days of their spells: within a spell,
+    # what was seen before that day does not matter.
+    row = lambda df, weight: df.select(F.col(key), F.col(day), F.struct(F.lit(weight).alias("_weight"), *order, value).alias("_row"))
+    seen = observed.join(first, key).filter(F.col(day) >= F.col("_first"))
+    began = touched.select(F.col(key), F.col(start).alias(day), *[F.lit(None).cast(days.schema[c].dataType).alias(c) for c in order], value_of.alias(value))
+    states = (row(days, 1).unionByName(row(seen, 1)).unionByName(row(began, 0)).groupBy(key, day).agg(F.max("_row").alias("_row"))
+              .select(key, day, F.col(f"_row.{value}").alias(value)))
+    found = runs(states, key, value, day).filter(holds)
+    found = store(found.select(key, value, F.col("_from").alias("_start"), day_before("_next").alias("_end"), *[c.alias(f"_new_{n}") for n, c in columns.items()]))
+    # The earliest stored spell of the same value that begins within a new one lives on in it.
+    old, new = touched.alias("o"), found.alias("n")
+    begins_within = (F.col(f"o.{start}") >= F.col("n._start")) & (F.col("n._end").isNull() | (F.col(f"o.{start}") <= F.col("n._end")))
+    within = new.join(old, (F.col(f"o.{key}") == F.col(f"n.{key}")) & begins_within & same, "left")
+    rest = [c for c in spells.columns if c not in (key, start, end)]
+    heirs = within.groupBy(F.col(f"n.{key}").alias(key), F.col("n._start").alias("_start"), F.col("n._end").alias("_end"),
+                           *[F.col(f"n._new_{c}").alias(f"_new_{c}") for c in columns]).agg(
+        F.min(F.when(F.col(f"o.{start}").isNotNull(), F.struct(f"o.{start}", f"o.{end}", *[f"o.{c}" for c in rest]))).alias("_old"))
+    heirs = store(heirs)
+    has_old = F.col("_old").isNotNull()
+    fresh = lambda c: F.col(f"_new_{c}") if c in columns else F.lit(None)
+    out = [F.col(key) if c == key else F.col("_start").alias(c) if c == start else F.col("_end").alias(c) if c == end
+           else F.when(has_old, F.col(f"_old.{c}")).otherwise(fresh(c)).cast(spells.schema[c].dataType).alias(c) for c in spells.columns]
+    as_it_was = has_old & (F.col("_start") == F.col(f"_old.{start}")) & F.col("_end").eqNullSafe(F.col(f"_old.{end}"))
+    as_it_was = F.coalesce(as_it_was, F.lit(False))
+    live = heirs.filter(has_old).select(F.col(key), F.struct(f"_old.{start}", f"_old.{end}", *[f"_old.{c}" for c in rest]).alias("_it"))
+    every = touched.withColumn("_it", F.struct(start, end, *rest))
+    gone = every.join(own_shuffle(live.withColumnsRenamed({key: "_k", "_it": "_live"})), (F.col(key) == F.col("_k")) & F.col("_it").eqNullSafe(F.col("_live")), "left_anti")
+    before = [F.col(key) if c == key else F.col(f"_old.{c}").alias(c) for c in spells.columns]
+    return Correction(untouched.unionByName(heirs.filter(as_it_was).select(*out)), heirs.filter(~as_it_was).select(*out), gone.select(*spells.columns),
+                      heirs.filter(has_old & (F.col("_start") != F.col(f"_old.{start}"))).select(*before))

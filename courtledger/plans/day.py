@@ -9,7 +9,8 @@ from functools import cached_property
 from pyspark.sql import DataFrame, functions as F
 
 from courtledger import fixed_values as fv, schemas
-from courtledger.operators.history import event_spells_apply, scd2_apply
+from courtledger.operators.history import (event_spells_apply, event_spells_correct, observed_days, scd2_apply,
+                                           scd2_correct)
 from courtledger.operators.keys import allocate_ids, new_members
 from courtledger.operators.matching import active_or_injured, resolve_key
 from courtledger.operators.reshape import melt_map, pivot_pair
@@ -71,7 +72,7 @@ def _with_ids(changed: DataFrame, id_col, order, after) -> DataFrame:
 
 
 ID_COLUMNS = {"match": "id_match", "joueur": "id_joueur", "contrat": "id_contrat", "blessure": "id_blessure"}
-GROUPS = ("joueur", "match", "contrat", "blesse", "stats", "rejects")
+GROUPS = ("joueur", "match", "contrat", "blesse", "stats", "rejects", "presence")
 
 
 class _Import:
@@ -127,18 +128,68 @@ class _Import:
         periods = melt_map(self.inputs["games"].join(self.ids, GAME), [fv.TEAM_COLUMN, "id_match"], "periods", "id_periode", "score_periode")
         return {"match": match, "score_match": periods, "stats_equipes": team_facts(self.inputs["teams"].join(self.ids, GAME))}
 
+    @cached_property
+    def observed(self):
+        """Stored days from the first day of this import on; if there are any, spells have to be corrected, not only carried on."""
+        stored = self.state.get("presence")
+        first = max_of(self.listed.agg(F.min("game_date").alias("d")), "d") if stored is not None else None
+        if first is None:
+            return None
+        later = cut_lineage(stored.filter(F.col("date_match") >= F.lit(first)).withColumnRenamed("date_match", "game_date"))
+        return None if later.isEmpty() else later
+
+    @cached_property
+    def contracts(self):
+        """The change of the contracts, ids and all: (kept, changed, gone)."""
+        args = ("id_joueur", fv.TEAM_COLUMN, "game_date", "date_debut_contrat", "date_fin_contrat", ["game_no", "team_idx"])
+        if self.observed is None:
+            change = scd2_apply(self.state["contrat"], self.listed, *args, store=cut_lineage)
+        else:
+            change = scd2_correct(self.state["contrat"], self.observed, self.listed, *args, store=cut_lineage)
+        return self._numbered(change, "contrat", ["id_joueur", "date_debut_contrat"])
+
+    def _numbered(self, change, name, order):
+        kept, changed, gone = change.parts()
+        id_col = ID_COLUMNS[name]
+        return kept, _with_ids(conform(changed, schemas.STORED[name]), id_col, order, self.last_ids[name]), gone
+
     def contrat(self):
-        contracts = scd2_apply(self.state["contrat"], self.listed, "id_joueur", fv.TEAM_COLUMN, "game_date",
-                               "date_debut_contrat", "date_fin_contrat", order=["game_no", "team_idx"], store=cut_lineage)
-        return {"contrat": _with_ids(contracts.all(), "id_contrat", ["id_joueur", "date_debut_contrat"], self.last_ids["contrat"])}
+        kept, changed, _ = self.contracts
+        return {"contrat": conform(kept, schemas.STORED["contrat"]).unionByName(changed)}
+
+    @cached_property
+    def injuries(self):
+        args = ("id_joueur", "blesse", "game_date", "date_blessure", "date_guerison", {"id_type_blessure": fv.UNKNOWN_INJURY_TYPE})
+        if self.observed is None:
+            change = event_spells_apply(self.state["blessure"], self.listed, *args, store=cut_lineage)
+        else:
+            change = event_spells_correct(self.state["blessure"], self.observed, self.listed, *args, store=cut_lineage)
+        order = ["id_joueur", "date_blessure", "id_type_blessure"]
+        if self.injury_list is None:
+            return self._numbered(change, "blessure", order)
+        old, schema = self.state["blessure"], schemas.STORED["blessure"]
+        spells = apply_injury_list(change.all(), self.known, self.injury_list, self._facts(), self.state["enum_type_blessure"],
+                                   store=cut_lineage, past=self.past_injuries)
+        spells = cut_lineage(conform(spells, schema))
+        was = [F.col(f"n.{c}").eqNullSafe(F.col(f"o.{c}")) for c in schema.fieldNames()]
+        # Rows that are stored just so have not changed; those without an id are new.
+        stored = conform(old, schema).filter("id_blessure IS NOT NULL").alias("o")
+        kept, changed = (spells.alias("n").join(own_shuffle(stored), was, how) for how in ("left_semi", "left_anti"))
+        return kept, _with_ids(changed, "id_blessure", order, self.last_ids["blessure"]), change.parts()[2]
 
     def blesse(self):
-        spells = event_spells_apply(self.state["blessure"], self.listed, "id_joueur", "blesse", "game_date", "date_blessure",
-                                    "date_guerison", {"id_type_blessure": fv.UNKNOWN_INJURY_TYPE}, store=cut_lineage).all()
-        if self.injury_list is not None:
-            spells = apply_injury_list(spells, self.known, self.injury_list, self._facts(), self.state["enum_type_blessure"],
-                                       store=cut_lineage, past=self.past_injuries)
-        return {"blessure": _with_ids(spells, "id_blessure", ["id_joueur", "date_blessure", "id_type_blessure"], self.last_ids["blessure"])}
+        kept, changed, _ = self.injuries
+        return {"blessure": conform(kept, schemas.STORED["blessure"]).unionByName(changed)}
+
+    def changes(self):
+        """The rows of contracts and injuries that are new or different, and those that are no more."""
+        return {f"{name}_{what}": rows for name, found in (("contrat", self.contracts), ("blessure", self.injuries))
+                for what, rows in (("changed", found[1]), ("gone", found[2]))}
+
+    def presence(self):
+        teams = observed_days(self.listed, "id_joueur", fv.TEAM_COLUMN, "game_date", ["game_no", "team_idx"])
+        hurt = observed_days(self.listed, "id_joueur", "blesse", "game_date")
+        return {"presence": teams.join(hurt, ["id_joueur", "game_date"]).withColumnRenamed("game_date", "date_match")}
 
     def _facts(self):
         """Last game day per player; the list is read on the last day, before that day's player facts are stored."""
@@ -171,9 +222,10 @@ def process_days(inputs: dict, state: dict, season=fv.DEFAULT_SEASON, game_type=
     """Any number of game days at once.
 
     inputs: frames as from `read_day_pages`; injury_list as from `normalize_injury_list`, applied after the last day.
-    Returns groups of frames: "match", "stats" and new players to append; "contrat" and "blesse" as whole new tables; and
-    "rejects", what was left out and why. Only the groups asked for are worked out. Games that are stored already are
-    skipped, so importing a day twice changes nothing.
+    Returns groups of frames: "match", "stats", "presence" (what was seen of players by day) and new players to append; "contrat"
+    and "blesse" as whole new tables, or "changes", their changed rows alone; and "rejects", what was left out and why. Only the
+    groups asked for are worked out. Games that are stored already are skipped, so importing a day twice changes
+    nothing. Days may come in any order if the state has the "presence" of those before.
 
     The state may hold the open contracts and injuries alone; then the greatest ids given so far have to
     be named in last_ids, by table, and with an injury list the ended injuries in past_injuries. last_seen (player, last
@@ -181,7 +233,8 @@ def process_days(inputs: dict, state: dict, season=fv.DEFAULT_SEASON, game_type=
     """
     work = _Import(inputs, state, season, game_type, injury_list, last_ids, past_injuries, last_seen)
     declared = {**schemas.STORED, **schemas.REJECTS}
-    return {group: {name: conform(df, declared[name]) for name, df in getattr(work, group)().items()} for group in groups}
+    schema = lambda name: declared[name.removesuffix("_changed").removesuffix("_gone")]
+    return {group: {name: conform(df, schema(name)) for name, df in getattr(work, group)().items()} for group in groups}
 
 
 REPLACED = ("contrat", "blessure")
@@ -190,6 +243,6 @@ REPLACED = ("contrat", "blessure")
 def next_state(state: dict, outputs: dict) -> dict:
     """State after the outputs of `process_days`."""
     new = dict(state)
-    for name, df in ((n, df) for group, tables in outputs.items() if group != "rejects" for n, df in tables.items()):
+    for name, df in ((n, df) for group, tables in outputs.items() if group not in ("rejects", "changes") for n, df in tables.items()):
         new[name] = df if name in REPLACED else state[name].unionByName(df)
     return new

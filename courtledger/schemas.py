@@ -28,6 +28,8 @@ STORED = {
     "score_match": table(("id_equipe", S), ("id_periode", S), ("score_periode", I), ("id_match", L)),
     "stats_equipes": table(("id_equipe", S), *[(c, D) for c in fv.TEAM_STAT_COLUMNS[1:]], ("id_match", L)),
     "stats_joueur": table(("minute", S), *[(c, D) for c in _numbers], ("id_joueur", L), ("id_match", L)),
+    # What was seen of a player on a day: the team of the last game, and whether a game named an injury.
+    "presence": table(("id_joueur", L), ("date_match", DT), ("id_equipe", S), ("game_no", L), ("team_idx", I), ("blesse", B)),
     "calendrier": table(("equipe_exterieure", S), ("equipe_domicile", S), ("date_match", DT), ("id_saison", I)),
     "joueurs_choisis": table(("date_choix", DT), ("id_joueur", L), ("saison", I)),
     "enum_type_blessure": table(("id_type_blessure", I), ("nom_blessure", S), ("nom_blessure_anglais", S)),

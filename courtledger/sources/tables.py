@@ -72,17 +72,16 @@ def create_tables(spark: SparkSession, schemas, root, names=None) -> None:
             spark.createDataFrame([], schemas[name]).write.parquet(path)
 
 
+def finished_versions(spark: SparkSession, root) -> list:
+    """Numbers of the versions under root that were written to their end."""
+    fs, p = _filesystem(spark, root)
+    found = [re.fullmatch(r"v=(\d+)", s.getPath().getName()) for s in fs.listStatus(p)] if fs.exists(p) else []
+    return [int(m.group(1)) for m in found if m and path_exists(spark, f"{root}/{m.group()}/_SUCCESS")]
+
+
 def latest_version(spark: SparkSession, root) -> int:
     """Highest finished version under root; -1 if there is none."""
-    fs, p = _filesystem(spark, root)
-    if not fs.exists(p):
-        return -1
-    numbers = [-1]
-    for status in fs.listStatus(p):
-        match = re.fullmatch(r"v=(\d+)", status.getPath().getName())
-        if match and path_exists(spark, f"{status.getPath().toString()}/_SUCCESS"):
-            numbers.append(int(match.group(1)))
-    return max(numbers)
+    return max(finished_versions(spark, root), default=-1)
 
 
 def commit_batch(spark: SparkSession, root, batch_id) -> None:
@@ -108,6 +107,11 @@ def prune(spark: SparkSession, folder, prefix, before) -> None:
             fs.delete(status.getPath(), True)
 
 
+def remove(spark: SparkSession, path) -> None:
+    fs, p = _filesystem(spark, path)
+    fs.delete(p, True)
+
+
 def version_path(root, version) -> str:
     return f"{root}/v={version}"
 
