@@ -6,8 +6,9 @@ from courtledger.catalog.base import date, registry, table
 from courtledger.operators.history import (event_spells_apply as event_apply, event_spells_build, event_spells_correct, observed_days,
                                            scd2_apply, scd2_build, scd2_correct)
 from courtledger.operators.matching import drop_members
-from courtledger.plans.schedule import high_water_marks as marks_op, sync_window as sync_op
+from courtledger.plans.schedule import high_water_marks as marks_op, sync_stored_window, sync_window as sync_op
 from courtledger.session import cut_lineage, scratch_path
+from courtledger.sources.manifest import publish_once, read_published
 from courtledger.sources.tables import date_series as series_op
 from courtledger.streaming.ingest import any_order_step, ingest_stream, read_state, spell_state
 
@@ -151,3 +152,22 @@ def sync_window(spark, sf):
     fresh = table(spark, sf, "lineitem").select(F.col("l_orderkey").alias("o_orderkey"), F.col("l_linestatus").alias("o_orderstatus"),
                                                 date("l_shipdate").alias("day"))
     return sync_op(stored, fresh, "day", "1997-01-01", "1997-12-31")
+
+
+@query("""
+    SELECT o_orderkey, o_orderstatus, CAST(o_orderdate AS DATE) AS day FROM orders
+    WHERE CAST(o_orderdate AS DATE) NOT BETWEEN DATE '1997-03-01' AND DATE '1997-03-31'
+    UNION ALL
+    SELECT DISTINCT l_orderkey, l_linestatus, CAST(l_shipdate AS DATE) FROM lineitem
+    WHERE CAST(l_shipdate AS DATE) BETWEEN DATE '1997-03-01' AND DATE '1997-03-31'""")
+def sync_stored(spark, sf):
+    """A month of a stored table, in parts by month, replaced by another source; twice, as after a failure. Other parts' files stay."""
+    stored = table(spark, sf, "orders").select("o_orderkey", "o_orderstatus", date("o_orderdate").alias("day"))
+    fresh = table(spark, sf, "lineitem").select(F.col("l_orderkey").alias("o_orderkey"), F.col("l_linestatus").alias("o_orderstatus"),
+                                                date("l_shipdate").alias("day"))
+    month = F.date_format("day", "yyyy-MM").alias("month")
+    root = scratch_path(spark, "synced")
+    publish_once({"all": {"calendar": stored.select("*", month)}}, root, "first", parted={"calendar": "month"})
+    for _ in range(2):
+        sync_stored_window(root, "calendar", fresh.select("*", month), "month", "1997-03", "1997-03", "sync")
+    return read_published(spark, root, "calendar", stored.schema)

@@ -117,12 +117,15 @@ def injury_pages(spark, sf):
 
 @query(r"""
     SELECT page_id, replace(regexp_replace(trim(regexp_extract(html, '<title>([^<]*)</title>', 1)), '\s+', ' ', 'g'), '&amp;', '&')
-           || '|' || page_id AS value_texts FROM pages""")
+           || '|' || page_id || '|' || page_id || 'abc|b|bare' || CASE WHEN page_id % 2 = 0 THEN '|open to the end' ELSE '' END AS value_texts FROM pages""")
 def profile_pages(spark, sf):
-    """Ordered texts of the elements of a tag and class, tags inside dropped; read from whole pages."""
+    """Ordered texts of the elements of a tag and class, tags inside dropped; read from whole pages. Some elements lie within others, or
+    within elements of their tag, one has no quotes, some have no end."""
     title = F.regexp_extract("html", "<title>([^<]*)</title>", 1)
     extra = F.concat(F.lit('<div class="row value big"><b>'), title, F.lit("</b></div><div class='values'>no</div><DIV data-x=1 class='value'>\n"),
-                     F.col("page_id").cast("string"), F.lit("  </DIV>"))
+                     F.col("page_id").cast("string"), F.lit("  </DIV></div></div><div title='a>b' class=\"value\">"), F.col("page_id").cast("string"),
+                     F.lit("a<div class=other><div></div></div><div class='value x'>b</div>c</div><div id=x class=value>bare</div>"),
+                     F.when(F.col("page_id") % 2 == 0, "<div class=value>open <div>to</div> the end").otherwise(""))
     pages = table(spark, sf, "pages").select("page_id", F.concat("html", extra).alias("html"))
     return pages.select("page_id", F.array_join(element_texts("html", "div", "value"), "|").alias("value_texts"))
 

@@ -6,7 +6,7 @@ from courtledger.catalog.base import date, registry, table
 from courtledger.operators import reshape
 from courtledger.plans.box_score import player_facts
 from courtledger.session import scratch_path
-from courtledger.sources import tables as stored
+from courtledger.sources import manifest, tables as stored
 
 QUERIES, SQL, query = registry()
 
@@ -199,6 +199,25 @@ def append_publish(spark, sf):
     return stored.read_table(spark, f"{root}/orders", columns)
 
 
+@query("""
+    SELECT o_orderkey, o_custkey, o_orderstatus, l_linenumber, l_returnflag FROM orders JOIN lineitem ON l_orderkey = o_orderkey WHERE o_orderstatus <> 'P'""")
+def publish_once(spark, sf):
+    """Two tables published together, in two publications; one of them is repeated, and a third does not get as far as its manifest."""
+    orders, lines = table(spark, sf, "orders"), table(spark, sf, "lineitem").select("l_orderkey", "l_linenumber", "l_returnflag")
+    root = scratch_path(spark, "published")
+
+    def of(status):
+        some = orders.filter(F.col("o_orderstatus") == status).select("o_orderkey", "o_custkey", "o_orderstatus")
+        return {"games": {"orders": some, "lines": lines.join(some.select(F.col("o_orderkey").alias("l_orderkey")), "l_orderkey", "left_semi")}}
+    manifest.publish_once(of("O"), root, "open")
+    for _ in range(2):
+        manifest.publish_once(of("F"), root, "filled")
+    of("P")["games"]["orders"].write.parquet(f"{root}/orders/partial")
+    read = lambda name, like: manifest.read_published(spark, root, name, like.schema)
+    found = read("orders", orders.select("o_orderkey", "o_custkey", "o_orderstatus")).join(read("lines", lines), F.col("o_orderkey") == F.col("l_orderkey"))
+    return found.select("o_orderkey", "o_custkey", "o_orderstatus", "l_linenumber", "l_returnflag")
+
+
 @query("""
     SELECT n_nationkey, n_name, n_regionkey FROM nation UNION ALL SELECT r_regionkey + 100, r_name, r_regionkey FROM region""")
 def versioned_state(spark, sf):

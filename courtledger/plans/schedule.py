@@ -5,6 +5,7 @@ from pyspark.sql import DataFrame, functions as F
 from courtledger import fixed_values as fv
 from courtledger.functions.temporal import day_after, days_to_import
 from courtledger.functions.text import slug_team
+from courtledger.sources.manifest import replace_parts
 
 
 def build_schedule(links: DataFrame, day, link, season) -> DataFrame:
@@ -40,3 +41,8 @@ def sync_window(stored: DataFrame, fresh: DataFrame, day, first, last) -> DataFr
     inside = F.col(day).between(F.to_date(F.lit(first)), F.to_date(F.lit(last)))
     return (stored.filter(~F.coalesce(inside, F.lit(False)))
                   .unionByName(fresh.filter(inside).dropDuplicates()))
+
+
+def sync_stored_window(root, name, fresh: DataFrame, day, first, last, token) -> bool:
+    """`sync_window` on a stored table in parts by day (see `sources.manifest`): only the parts of the range are written."""
+    return replace_parts(fresh, root, name, day, str(first), str(last), token)

@@ -299,14 +299,69 @@ def rows_by_header(tables: DataFrame, id_cols, names) -> DataFrame:
     return named.select(*place, "row_idx", *[F.when(at(n) > 0, F.get("cells", at(n) - 1)).alias(n) for n in names])
 
 
+def _let(value, use):
+    """`use(value)`, with the value worked out once."""
+    return F.element_at(F.transform(F.array(value), lambda x: use(x)), 1)
+
+
+def _running(values, combine) -> Column:
+    """What `combine` makes of the values up to each place, in steps that double their reach; arrays of up to 2**30 values."""
+    def step(x, k):
+        reach = F.pow(F.lit(2), k).cast("int")
+        return F.when(F.size(x) <= reach, x).otherwise(F.transform(x, lambda v, i: F.when(i >= reach, combine(v, F.get(x, i - reach))).otherwise(v)))
+    return F.aggregate(F.sequence(F.lit(0), F.lit(29)), values, step)
+
+
+def _elements(marks, matches) -> Column:
+    """(at, to) of each opening mark that matches: its place among the marks and that of its end mark, or of the end of the page.
+
+    Depths are running sums; marks that would end more than was begun are left out. Marks of one depth stand in turn for a beginning
+    and an end, so an element's end is the next mark of its depth.
+    """
+    opens = F.transform(marks, lambda m: F.when(F.substring(m, 2, 1) == "/", -1).otherwise(1))
+    add, low = (lambda a, b: a + b), (lambda a, b: F.least(a, b))
+
+    def placed(signs):
+        def with_sums(sums):
+            def with_lows(lows):
+                # How often something was ended that had not begun, up to here.
+                stray = F.transform(lows, lambda x: F.least(x, F.lit(0)))
+                return _let(stray, lambda s: F.filter(F.transform(signs, lambda sign, i: F.struct(
+                    (F.get(sums, i) - F.get(s, i) + F.when(sign < 0, 1).otherwise(0)).alias("depth"), i.alias("at"), sign.alias("sign"),
+                    ((sign < 0) & (F.get(s, i) < F.coalesce(F.get(s, i - 1), F.lit(0)))).alias("stray"))), lambda m: ~m["stray"]))
+            return _let(_running(sums, low), with_lows)
+        return _let(_running(signs, add), with_sums)
+
+    def found(ordered):
+        ends = F.transform(ordered, lambda m, i: F.struct(m["at"].alias("at"), m["sign"].alias("sign"), F.when(
+            F.get(ordered, i + 1)["depth"] == m["depth"], F.get(ordered, i + 1)["at"]).otherwise(F.size(marks)).alias("to")))
+        return F.array_sort(F.filter(ends, lambda m: (m["sign"] > 0) & matches(F.get(marks, m["at"]))))
+    return _let(F.sort_array(_let(opens, placed)), found)
+
+
 def element_texts(html_col, tag, css_class) -> Column:
-    """Texts of the elements of a tag and class, in page order; tags inside are dropped, white space becomes one space."""
-    pattern = rf"""(?is)<{tag}\s(?:[^>]*?\s)?class\s*=\s*["'](?:[^"']*\s)?{css_class}(?:\s[^"']*)?["'][^>]*>(.*?)</{tag}\s*>"""
+    """Texts of the elements of a tag and class, in the order in which they begin; white space becomes one space.
+
+    An element goes to its own end mark, over elements of its tag within it; those that match are given as well, after it. Tags inside are dropped. An
+    element without an end mark goes to the end of the page, an end mark without an element is left out. Attribute values may be quoted
+    or bare. A page without the class is not looked at any further.
+    """
+    mark = rf"""(?is)</?{tag}(?=[\s/>])(?:(?:[^"'>]++|"[^"<]*+"|'[^'<]*+')*+>|[^>]*+>)"""
+    value = rf"""(?:"(?:[^"]*\s)?{css_class}(?:\s[^"]*)?"|'(?:[^']*\s)?{css_class}(?:\s[^']*)?'|{css_class}(?=[\s/>]))"""
+    attribute = rf"""(?is)^<{tag}\s(?:(?:[^"'>]|"[^"<]*+"|'[^'<]*+')*?\s)?class\s*=\s*{value}"""
+    page = F.col(html_col) if isinstance(html_col, str) else html_col
 
     def text(inner):
         plain = F.trim(F.regexp_replace(F.regexp_replace(inner, "<[^>]*>", ""), r"\s+", " "))
         return reduce(lambda t, entity: F.replace(t, F.lit(entity[0]), F.lit(entity[1])), _ENTITIES, plain)
-    return F.transform(F.regexp_extract_all(F.col(html_col), F.lit(pattern), F.lit(1)), text)
+
+    def of_marks(marks):
+        between = F.split(page, mark, -1)  # what stands behind mark i is number i + 1
+        found = _elements(marks, lambda m: m.rlike(attribute))
+        return _let(between, lambda parts: F.transform(found, lambda e: text(F.array_join(F.slice(parts, e["at"] + 2, e["to"] - e["at"]), ""))))
+    nothing = F.array().cast("array<string>")
+    some = _let(F.regexp_extract_all(page, F.lit(mark), F.lit(0)), of_marks)
+    return F.when(page.isNull(), None).when(~F.contains(F.lower(page), F.lit(css_class.lower())), nothing).otherwise(some)
 
 
 def pages_without_tables(pages: DataFrame, html_col="html") -> DataFrame:

@@ -31,13 +31,13 @@ def date_series(spark: SparkSession, start, n) -> DataFrame:
     return days.select("day", F.date_format("day", "yyyy-MM-dd").alias("day_text"))
 
 
-def _filesystem(spark, path):
+def filesystem(spark, path):
     hadoop_path = spark._jvm.org.apache.hadoop.fs.Path(path)
     return hadoop_path.getFileSystem(spark._jsc.hadoopConfiguration()), hadoop_path
 
 
 def path_exists(spark: SparkSession, path) -> bool:
-    fs, p = _filesystem(spark, path)
+    fs, p = filesystem(spark, path)
     return fs.exists(p)
 
 
@@ -74,7 +74,7 @@ def create_tables(spark: SparkSession, schemas, root, names=None) -> None:
 
 def finished_versions(spark: SparkSession, root) -> list:
     """Numbers of the versions under root that were written to their end."""
-    fs, p = _filesystem(spark, root)
+    fs, p = filesystem(spark, root)
     found = [re.fullmatch(r"v=(\d+)", s.getPath().getName()) for s in fs.listStatus(p)] if fs.exists(p) else []
     return [int(m.group(1)) for m in found if m and path_exists(spark, f"{root}/{m.group()}/_SUCCESS")]
 
@@ -86,13 +86,13 @@ def latest_version(spark: SparkSession, root) -> int:
 
 def commit_batch(spark: SparkSession, root, batch_id) -> None:
     """Mark a batch as finished: the last thing that is written of it."""
-    fs, p = _filesystem(spark, f"{root}/{COMMITS}/{batch_id}")
+    fs, p = filesystem(spark, f"{root}/{COMMITS}/{batch_id}")
     fs.create(p, True).close()
 
 
 def last_commit(spark: SparkSession, root) -> int:
     """The newest finished batch; -1 if there is none. One listing, of the batches kept."""
-    fs, p = _filesystem(spark, f"{root}/{COMMITS}")
+    fs, p = filesystem(spark, f"{root}/{COMMITS}")
     if not fs.exists(p):
         return -1
     return max((int(s.getPath().getName()) for s in fs.listStatus(p) if s.getPath().getName().isdigit()), default=-1)
@@ -100,7 +100,7 @@ def last_commit(spark: SparkSession, root) -> int:
 
 def prune(spark: SparkSession, folder, prefix, before) -> None:
     """Remove the entries prefix<number> of a folder with a number below `before`."""
-    fs, p = _filesystem(spark, folder)
+    fs, p = filesystem(spark, folder)
     for status in fs.listStatus(p) if fs.exists(p) else []:
         match = re.fullmatch(re.escape(prefix) + r"(\d+)", status.getPath().getName())
         if match and int(match.group(1)) < before:
@@ -108,7 +108,7 @@ def prune(spark: SparkSession, folder, prefix, before) -> None:
 
 
 def remove(spark: SparkSession, path) -> None:
-    fs, p = _filesystem(spark, path)
+    fs, p = filesystem(spark, path)
     fs.delete(p, True)
 
 
@@ -131,11 +131,8 @@ def write_version(df: DataFrame, root, version=None) -> int:
     return version
 
 
-def publish(outputs, root, groups="all", writer=None):
-    """Write the chosen groups of named frames: {"match": {"match": df, ...}, "stats": {...}}.
-
-    groups is a list of group names or "all". Returns the names written.
-    """
+def chosen_groups(outputs, groups="all") -> list:
+    """The names of the groups to publish: those listed, or all of them."""
     if isinstance(groups, str):
         if groups != "all":
             raise ValueError('groups must be a list of group names or "all"')
@@ -143,9 +140,18 @@ def publish(outputs, root, groups="all", writer=None):
     unknown = [g for g in groups if g not in outputs]
     if unknown:
         raise ValueError(f"unknown groups: {unknown}")
+    return groups
+
+
+def publish(outputs, root, groups="all", writer=None):
+    """Write the chosen groups of named frames: {"match": {"match": df, ...}, "stats": {...}}.
+
+    groups is a list of group names or "all". Returns the names written. Tables are written one by one and a second call
+    appends again: `manifest.publish_once` publishes all or nothing, and once.
+    """
     writer = writer or append_rows
     written = []
-    for group in groups:
+    for group in chosen_groups(outputs, groups):
         for name, df in outputs[group].items():
             writer(df, f"{root}/{name}")
             written.append(name)
