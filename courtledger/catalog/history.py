@@ -3,14 +3,15 @@
 from pyspark.sql import functions as F, types as T
 
 from courtledger.catalog.base import date, registry, table
-from courtledger.operators.history import (event_spells_apply as event_apply, event_spells_build, event_spells_correct, observed_days,
+from courtledger.operators.history import (event_spells_apply as event_apply, event_spells_build, event_spells_correct, decide, observed_days,
                                            scd2_apply, scd2_build, scd2_correct)
 from courtledger.operators.matching import drop_members
+from courtledger.operators.rollup import finished, fold_parts, grouping_sets, partial_stats, read_parts, store_parts
 from courtledger.plans.schedule import high_water_marks as marks_op, sync_stored_window, sync_window as sync_op
 from courtledger.session import cut_lineage, scratch_path
 from courtledger.sources.manifest import publish_once, read_published
 from courtledger.sources.tables import date_series as series_op
-from courtledger.streaming.ingest import any_order_step, ingest_stream, read_state, spell_state
+from courtledger.streaming.ingest import any_order_step, dedup_stream as dedup_op, ingest_stream, read_state, spell_state
 
 QUERIES, SQL, query = registry()
 
@@ -171,3 +172,56 @@ def sync_stored(spark, sf):
     for _ in range(2):
         sync_stored_window(root, "calendar", fresh.select("*", month), "month", "1997-03", "1997-03", "sync")
     return read_published(spark, root, "calendar", stored.schema)
+
+
+@query("""
+    WITH days AS (SELECT c_custkey, DATE '1997-06-15' + CAST(c_custkey % 30 AS INTEGER) AS day, CAST(c_custkey % 5 + 1 AS VARCHAR) AS team FROM customer),
+    spells AS (SELECT o_custkey, left(o_orderpriority, 1) AS team, CAST(o_orderdate AS DATE) AS first_day,
+                      CASE WHEN o_orderkey % 3 <> 0 THEN CAST(o_orderdate AS DATE) + CAST(o_orderkey % 400 AS INTEGER) END AS last_day FROM orders),
+    last AS (SELECT c_custkey, max({'f': first_day, 't': spells.team, 'e': last_day}) AS s FROM days JOIN spells ON o_custkey = c_custkey AND first_day <= day GROUP BY c_custkey),
+    found AS (SELECT days.*, s.t AS before, CASE WHEN s IS NULL THEN 'new' WHEN s.e < day THEN 'return' WHEN s.t = team THEN 'same' ELSE 'change' END AS decision
+              FROM days LEFT JOIN last USING (c_custkey))
+    SELECT c_custkey, day, team, decision, before, CASE WHEN decision = 'change' THEN day - 1 END AS close_on,
+           CASE WHEN decision IN ('change', 'return') THEN 'guaranteed' END AS kind FROM found""")
+def contract_decisions(spark, sf):
+    """Orders as contracts of customers, some ended; a day per customer says new, same, change or return."""
+    orders, customer = table(spark, sf, "orders"), table(spark, sf, "customer")
+    first_day = date("o_orderdate")
+    spells = orders.select(F.col("o_custkey").alias("c_custkey"), first_day.alias("first_day"), F.substring("o_orderpriority", 1, 1).alias("team"),
+                           F.when(F.col("o_orderkey") % 3 != 0, F.date_add(first_day, (F.col("o_orderkey") % 400).cast("int"))).alias("last_day"))
+    days = customer.select("c_custkey", F.date_add(F.to_date(F.lit("1997-06-15")), (F.col("c_custkey") % 30).cast("int")).alias("day"),
+                           (F.col("c_custkey") % 5 + 1).cast("string").alias("team"))
+    return decide(spells, days, "c_custkey", "team", "day", "first_day", "last_day")
+
+
+@query("""
+    SELECT event_type, CAST(ts AS DATE) AS day, concat_ws(',', CASE WHEN grouping(event_type) = 0 THEN 'event_type' END, CASE WHEN grouping(CAST(ts AS DATE)) = 0 THEN 'day' END) AS sets,
+           count(*) AS n, count(value) AS n_cents, CAST(sum(CAST(round(value * 100) AS BIGINT)) AS BIGINT) AS sum_cents, min(CAST(round(value * 100) AS BIGINT)) AS min_cents,
+           max(CAST(round(value * 100) AS BIGINT)) AS max_cents FROM events
+    GROUP BY GROUPING SETS ((event_type, CAST(ts AS DATE)), (event_type), (CAST(ts AS DATE)), ())""")
+def rollup_batches(spark, sf):
+    """Statistics stored batch by batch, some folded, one batch stored twice, and read at four groupings."""
+    events = table(spark, sf, "events").select("event_id", "event_type", date("ts").alias("day"), "user_id", F.round(F.col("value") * 100).cast("long").alias("cents"))
+    root = scratch_path(spark, "rollup")
+    for k, batch in enumerate(_shuffled(events)):
+        parts = partial_stats(batch, ["event_type", "day"], ["cents"], ["user_id"])
+        for _ in range(2 if k == 1 else 1):
+            store_parts(parts, root, k)
+        fold_parts(spark, root, parts.schema, k, every=2)
+    read = grouping_sets(read_parts(spark, root, parts.schema), [["event_type", "day"], ["event_type"], ["day"], []])
+    return finished(read, ["cents"], ["user_id"]).select("event_type", "day", "sets", "n", "n_cents", "sum_cents", "min_cents", "max_cents")
+
+
+@query("""
+    SELECT user_id, event_type, CAST(ts AS DATE) AS day, count(*) > 0 AS seen FROM events GROUP BY ALL""")
+def dedup_stream(spark, sf):
+    """Repeated games of a stream, in several batches: each counts once while the watermark lasts."""
+    events = table(spark, sf, "events").select("event_id", "ts", "user_id", "event_type")
+    root = scratch_path(spark, "dedup")
+    for part in _shuffled(events):
+        part.coalesce(1).write.mode("append").parquet(f"{root}/incoming")
+    stream = spark.readStream.schema(events.schema).option("maxFilesPerTrigger", 1).parquet(f"{root}/incoming")
+    games = stream.select("user_id", "event_type", date("ts").alias("day"), date("ts").cast("timestamp").alias("at"))
+    once = dedup_op(games, ["user_id", "event_type", "day"], "at", "366 days")
+    once.writeStream.option("checkpointLocation", f"{root}/checkpoint").option("path", f"{root}/games").format("parquet").trigger(availableNow=True).start().awaitTermination()
+    return spark.read.schema(once.schema).parquet(f"{root}/games").select("user_id", "event_type", "day", F.lit(True).alias("seen"))

@@ -1,14 +1,19 @@
 """Links, tables and sheets, from the pages table and from pages Spark writes out of other tables."""
 
+import datetime
+
 from pyspark.sql import functions as F
 
 from courtledger.catalog.base import date, registry, spread, table
-from courtledger.functions.text import url_basename, url_parent, url_path
+from courtledger.functions.text import normalize_name, url_basename, url_parent, url_path
 from courtledger.operators.reshape import melt_map
 from courtledger.plans.box_score import game_tables as game_tables_op, normalize_box_score, team_facts, team_tables
+from courtledger.plans.injuries import accepted, rejected, tag_injuries
+from courtledger.plans.picks import new_picks, pick_rows
 from courtledger.plans.profiles import player_dimension
 from courtledger.plans.schedule import build_schedule
-from courtledger.sources.day_folders import game_rows, parse_sheets, player_rows
+from courtledger.session import cut_lineage
+from courtledger.sources.day_folders import game_rows, parse_sheets, player_rows, rejected_lines, rejected_sheets
 from courtledger.sources.html import (count_links, element_texts, extract_html_tables, extract_links,
                                       pages_without_tables as without_op, rows_by_header)
 
@@ -259,3 +264,80 @@ def player_profiles(spark, sf):
         F.col("c_custkey").cast("string").alias("link"), values.alias("values"),
         F.array(F.lit("Club | #7 | Center-Staff"), F.lit("First"), F.col("c_name"), F.lit("more")).alias("header"))
     return player_dimension(profiles).withColumn("c_custkey", F.col("page_web").cast("long")).drop("page_web")
+
+
+@query("""
+    WITH listed AS (SELECT o_orderkey AS k, o_orderstatus AS s, n_name, CAST(o_orderdate AS DATE) AS d FROM orders JOIN customer ON o_custkey = c_custkey
+                    JOIN nation ON c_nationkey = n_nationkey WHERE o_orderkey % 11 <> 0)
+    SELECT CASE WHEN k % 7 = 0 THEN 'name' WHEN k % 5 = 0 THEN 'date'
+                WHEN strftime(d, '%m-%d') > '05-31' AND strftime(d, '%m-%d') <= '06-15' THEN 'later'
+                WHEN s = 'P' THEN 'injury' ELSE 'read' END AS reason, count(*) AS n FROM listed GROUP BY 1
+    UNION ALL SELECT 'page', count(*) FROM orders WHERE o_orderkey % 11 = 0 HAVING count(*) > 0""")
+def page_rejects(spark, sf):
+    """A page per order, some without a table, some rows with a fault: all that is read and all that is left out, with the reason."""
+    orders, customer, nation = (table(spark, sf, t) for t in ("orders", "customer", "nation"))
+    key = F.col("o_orderkey")
+    faulty = lambda step, text, otherwise: F.when(key % step == 0, text).otherwise(otherwise)
+    cells = [faulty(7, "", "C. Name Some Name"), faulty(5, "unknown", F.date_format("o_orderdate", "E, MMM d")),
+             F.when(F.col("o_orderstatus") == "P", "Homesickness").otherwise(F.initcap("n_name"))]
+    page = F.concat(F.lit("<table><tr><th>Player<th>Updated<th>Injury<tr>"), *[F.concat(F.lit("<td>"), c) for c in cells], F.lit("</table>"))
+    pages = (orders.join(customer, F.col("o_custkey") == F.col("c_custkey")).join(nation, F.col("c_nationkey") == F.col("n_nationkey"))
+             .select("o_orderkey", faulty(11, "<p>not today</p>", page).alias("html")))
+    rows = rows_by_header(extract_html_tables(pages, "o_orderkey"), "o_orderkey", ["Player", "Updated", "Injury"])
+    kinds = nation.select(F.col("n_nationkey").alias("id_type_blessure"), F.col("n_name").alias("nom_blessure_anglais"))
+    tagged = cut_lineage(tag_injuries(rows.withColumn("Player", F.nullif("Player", F.lit(""))), kinds, datetime.date(2000, 6, 15), "2000-05-31"))
+    found = (accepted(tagged).select(F.lit("read").alias("reason")).unionByName(rejected(tagged).select("reason"))
+             .unionByName(without_op(pages).select(F.lit("page").alias("reason"))))
+    return found.groupBy("reason").agg(F.count(F.lit(1)).alias("n"))
+
+
+@query("""
+    SELECT reason, CAST(n AS BIGINT) AS n FROM (
+        SELECT 'read' AS reason, sum(CASE WHEN p_partkey % 5 = 0 THEN 1 ELSE 2 END) AS n FROM part WHERE p_partkey % 7 <> 0
+        UNION ALL SELECT 'width', count(*) FROM part WHERE p_partkey % 7 <> 0 AND p_partkey % 5 = 0
+        UNION ALL SELECT 'path', count(*) FROM part WHERE p_partkey % 7 = 0)""")
+def sheet_rejects(spark, sf):
+    """Game sheets, some with a line of another width, some with a path that names no day: lines read, and what was left out."""
+    day = "if(k % 7 = 0, '2020-13-41', '2020-12-22')"
+    value = "concat('equipe,q1,final\\r\\nA,1,2\\r\\nB,3', if(k % 5 = 0, '', ',4'), '\\r\\n')"
+    sheets = table(spark, sf, "part").selectExpr("p_partkey AS k").selectExpr(f"concat('/d/', {day}, '/m', k, '_', {day}, '.csv') AS path", f"{value} AS value")
+    lines = parse_sheets(sheets)
+    reasons = [game_rows(lines).select(F.lit("read").alias("reason")), rejected_lines(lines).select(F.lit("width").alias("reason")),
+               rejected_sheets(sheets).select(F.lit("path").alias("reason"))]
+    found = reasons[0].unionByName(reasons[1]).unionByName(reasons[2])
+    return found.groupBy("reason").agg(F.count(F.lit(1)).alias("n"))
+
+
+@query("""
+    WITH paged AS (SELECT *, CAST(o_orderdate AS DATE) AS day FROM orders
+                   WHERE o_orderkey <> (SELECT arg_max(o_orderkey, (CAST(o_orderdate AS DATE), o_orderkey)) FROM orders)),
+    stored AS (SELECT CAST(o_orderdate AS DATE) AS day, o_custkey FROM orders WHERE o_totalprice > 450000)
+    SELECT day AS date_choix, c_custkey AS id_joueur, 7 AS saison FROM paged JOIN customer ON o_custkey = c_custkey
+    WHERE NOT (day IN (SELECT day FROM stored) AND c_custkey IN (SELECT o_custkey FROM stored))""")
+def picks_pages(spark, sf):
+    """From pages to new picks: the orders of a day, at most a thousand to a page, as a paged history that ends with a row that is none."""
+    orders, customer = table(spark, sf, "orders"), table(spark, sf, "customer")
+    row = F.format_string("<tr><td>%s</td><td>Customer #%09d</td></tr>", F.date_format("o_orderdate", "yyyy-MM-dd"), "o_custkey")
+    page_no = F.datediff(date("o_orderdate"), F.to_date(F.lit("1990-01-01"))).cast("long") * 1_000_000_000 + F.floor(F.col("o_orderkey") / 1000)
+    pages = (orders.groupBy(page_no.alias("page_no")).agg(F.array_sort(F.collect_list(F.struct("o_orderkey", row.alias("row")))).alias("rows"))
+             .select("page_no", F.concat(F.lit("<html><table><thead><tr><th>Date<th>Joueur</thead>"), F.array_join("rows.row", ""),
+                                         F.lit("</table><table><tr><td>other</table>")).alias("html")))
+    players = customer.select(F.col("c_custkey").alias("id_joueur"), normalize_name("c_name").alias("nom_simple"))
+    known = orders.filter("o_totalprice > 450000").select(date("o_orderdate").alias("date_choix"), F.col("o_custkey").alias("id_joueur"))
+    return new_picks(pick_rows(extract_html_tables(pages, "page_no")), players, known, 7)
+
+
+@query("""
+    WITH linked AS (SELECT CAST(o_orderdate AS DATE) AS day, o_orderstatus AS s, lower(c_mktsegment) AS a, lower(n_name) AS b
+                    FROM orders JOIN customer ON o_custkey = c_custkey JOIN nation ON c_nationkey = n_nationkey)
+    SELECT DISTINCT upper(right(a, 3)) AS equipe_exterieure, upper(left(b, 3)) AS equipe_domicile, day AS date_match, 3 AS id_saison
+    FROM linked WHERE s <> 'P'""")
+def schedule_pages(spark, sf):
+    """From pages to the schedule: a page per order, with a link to a game among others."""
+    orders, customer, nation = (table(spark, sf, t) for t in ("orders", "customer", "nation"))
+    separator = F.when(F.col("o_orderstatus") == "P", "-at-").otherwise("-vs-")
+    game = F.concat(F.lit("/game/"), F.lower("c_mktsegment"), separator, F.lower("n_name"), F.lit("-"), F.col("o_orderkey").cast("string"))
+    pages = (orders.join(customer, F.col("o_custkey") == F.col("c_custkey")).join(nation, F.col("c_nationkey") == F.col("n_nationkey"))
+             .select("o_orderkey", date("o_orderdate").alias("day"),
+                     F.concat(F.lit("<a href='/home'>home</a><ul><li><a class=x href="), game, F.lit(">game</a><a href=\""), game, F.lit("\">again</a></ul>")).alias("html")))
+    return build_schedule(extract_links(pages, ["o_orderkey", "day"], containing="/game/"), "day", "link", 3)

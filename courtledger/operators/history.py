@@ -201,3 +201,32 @@ def _correct(spells, observed, days, key, value, day, start, end, order, value_o
     before = [F.col(key) if c == key else F.col(f"_old.{c}").alias(c) for c in spells.columns]
     return Correction(untouched.unionByName(heirs.filter(as_it_was).select(*out)), heirs.filter(~as_it_was).select(*out), gone.select(*spells.columns),
                       heirs.filter(has_old & (F.col("_start") != F.col(f"_old.{start}"))).select(*before))
+
+
+def last_spell(spells: DataFrame, days: DataFrame, key, day, start) -> DataFrame:
+    """The days with `_last`, the spell of their member that began last, on the day or before; null if there is none.
+
+    Spells that began on the same day: the one that is greatest by its other columns.
+    """
+    columns = [c for c in spells.columns if c not in (key, start)]
+    asked = days.select(key, day).distinct()
+    began = spells.select(F.col(key).alias("_key"), F.struct(start, *columns).alias("_spell"))
+    last = (asked.join(began, (F.col(key) == F.col("_key")) & (F.col(f"_spell.{start}") <= F.col(day)))
+            .groupBy(key, day).agg(F.max("_spell").alias("_last")))
+    return days.join(own_shuffle(last), [key, day], "left")
+
+
+def decide(spells: DataFrame, days: DataFrame, key, attr, day, start, end, kind="guaranteed") -> DataFrame:
+    """What a day says about a member's spell: (key, day, attr, decision, before, close_on, kind).
+
+    new: the member never had a spell; same: the one that is open on the day has this value; change: it has another, is closed the
+    day before, and a spell of the given kind begins; return: the last one has ended before, and one of that kind begins. `before`
+    is the value of the last spell.
+    """
+    found = last_spell(spells, days.select(key, F.col(day).cast("date").alias(day), attr), key, day, start)
+    last = lambda c: F.col(f"_last.{c}")
+    is_open = last(end).isNull() | (last(end) >= F.col(day))
+    decision = (F.when(F.col("_last").isNull(), "new").when(~is_open, "return").when(last(attr).eqNullSafe(F.col(attr)), "same").otherwise("change"))
+    found = found.withColumn("decision", decision)
+    return found.select(key, day, attr, "decision", last(attr).alias("before"), F.when(F.col("decision") == "change", day_before(day)).alias("close_on"),
+                        F.when(F.col("decision").isin("change", "return"), kind).alias("kind"))

@@ -17,7 +17,7 @@ from courtledger.operators.reshape import melt_map, pivot_pair
 from courtledger.operators.skew import own_shuffle
 from courtledger.plans.box_score import (GAME, game_tables, normalize_box_score, player_facts,
                                          rejected_games, rejected_rows, team_facts, team_tables)
-from courtledger.plans.injuries import apply_injury_list
+from courtledger.plans.injuries import accepted, apply_injury_list, rejected
 from courtledger.session import cut_lineage
 from courtledger.sources.html import extract_html_tables
 from courtledger.sources.tables import max_of, max_of_all
@@ -80,7 +80,10 @@ class _Import:
 
     def __init__(self, inputs, state, season, game_type, injury_list, last_ids, past_injuries, last_seen):
         self.inputs, self.state, self.season, self.game_type = inputs, state, season, game_type
-        self.injury_list, self.past_injuries, self.last_seen = injury_list, past_injuries, last_seen
+        # A tagged list is read once, for the rows that are applied and for those that are reported.
+        self.tagged = cut_lineage(injury_list) if injury_list is not None and "reason" in injury_list.columns else None
+        self.injury_list = injury_list if self.tagged is None else accepted(self.tagged)
+        self.past_injuries, self.last_seen = past_injuries, last_seen
         self.given_ids = dict(last_ids or {})
 
     @cached_property
@@ -213,6 +216,7 @@ class _Import:
         empty = lambda name: self.inputs["games"].sparkSession.createDataFrame([], schemas.REJECTS[name])
         return {"rejected_rows": empty("rejected_rows") if players is None else players.select(*place, F.array_join("rejected", ",").alias("rejected")),
                 "rejected_games": rejected_games(self.inputs["games"], self.inputs["teams"]),
+                "rejected_injuries": empty("rejected_injuries") if self.tagged is None else rejected(self.tagged),
                 "rejected_pages": empty("rejected_pages") if pages is None else pages}
 
 
@@ -221,7 +225,8 @@ def process_days(inputs: dict, state: dict, season=fv.DEFAULT_SEASON, game_type=
                  past_injuries: DataFrame | None = None, groups=GROUPS, last_seen: DataFrame | None = None) -> dict:
     """Any number of game days at once.
 
-    inputs: frames as from `read_day_pages`; injury_list as from `normalize_injury_list`, applied after the last day.
+    inputs: frames as from `read_day_pages`; injury_list as from `normalize_injury_list`, or as from `tag_injuries` to have
+    its rejects reported, applied after the last day.
     Returns groups of frames: "match", "stats", "presence" (what was seen of players by day) and new players to append; "contrat"
     and "blesse" as whole new tables, or "changes", their changed rows alone; and "rejects", what was left out and why. Only the
     groups asked for are worked out. Games that are stored already are skipped, so importing a day twice changes

@@ -29,6 +29,30 @@ def rejected_injuries(rows: DataFrame, kinds: DataFrame, ref, name="Player", upd
     return marked.select(*rows.columns, reason.alias("reason")).filter(F.col("reason").isNotNull())
 
 
+def tag_injuries(rows: DataFrame, kinds: DataFrame, ref, max_date, name="Player", updated="Updated", injury="Injury",
+                 kind_id="id_type_blessure", kind_name="nom_blessure_anglais") -> DataFrame:
+    """Every row of a scraped list in one pass: as `normalize_injury_list` gives it, with `reason`, null for accepted rows.
+
+    Reasons: "name", "date" (not readable), "later" (after max_date), "injury" (in no kind). Of kinds with the same name the
+    lowest id counts, so that rows in are rows out.
+    """
+    known = own_shuffle(kinds.groupBy(F.lower(kind_name).alias("_kind")).agg(F.min(kind_id).alias(kind_id)).filter("_kind IS NOT NULL"))
+    tagged = rows.select("*", infer_year(updated, ref).alias("date_blessure"), F.lower(injury).alias("_injury")).join(known, F.col("_injury") == F.col("_kind"), "left")
+    reason = (F.when(F.col(name).isNull(), "name").when(F.col("date_blessure").isNull(), "date")
+              .when(F.col("date_blessure") > F.to_date(F.lit(max_date)), "later").when(F.col("_kind").isNull(), "injury"))
+    return tagged.withColumns({"nom_simple": normalize_name(name_tail(name)), "reason": reason}).drop("_kind", "_injury")
+
+
+def accepted(tagged: DataFrame, name="Player", injury="Injury") -> DataFrame:
+    """The accepted rows, as an injury list."""
+    return tagged.filter("reason IS NULL").withColumns({name: name_tail(name), injury: F.lower(injury)}).drop("reason")
+
+
+def rejected(tagged: DataFrame, name="Player", updated="Updated", injury="Injury") -> DataFrame:
+    """The other rows, as they came, with the reason."""
+    return tagged.filter("reason IS NOT NULL").select(F.col(name).alias("Player"), F.col(updated).alias("Updated"), F.col(injury).alias("Injury"), "reason")
+
+
 def open_names(spells: DataFrame, members: DataFrame, kind=None, key="id_joueur", name="nom_simple",
                kind_id="id_type_blessure", end="date_guerison") -> DataFrame:
     """Names of members with an open spell (of a kind that satisfies the condition)."""

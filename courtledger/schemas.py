@@ -40,6 +40,7 @@ STORED = {
 REJECTS = {
     "rejected_rows": table(("game_date", DT), ("game_no", L), ("team_idx", I), ("row_idx", I), ("nom", S), ("rejected", S)),
     "rejected_games": table(("game_date", DT), ("game_no", L), ("reason", S)),
+    "rejected_injuries": table(("Player", S), ("Updated", S), ("Injury", S), ("reason", S)),
     "rejected_pages": table(("game_date", DT), ("game_no", L), ("kind", S)),
 }
 

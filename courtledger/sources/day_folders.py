@@ -39,6 +39,12 @@ def read_day_folders(spark: SparkSession, path: str) -> DataFrame:
     return parse_sheets(sheets)
 
 
+def rejected_sheets(sheets: DataFrame, path_col="path") -> DataFrame:
+    """Sheets whose path names no game, or no day of the calendar, so that none of their lines is read."""
+    day = F.regexp_extract(F.col(path_col), SHEET_PATH, 1).try_cast("date")
+    return sheets.filter(day.isNull()).select(path_col)
+
+
 def rejected_lines(sheets: DataFrame) -> DataFrame:
     """Lines that neither `game_rows` nor `player_rows` takes: their width is not the header's."""
     return sheets.filter(F.col("fields").isNull()).select("game_date", "game_no", "team_idx", "row_idx", "line")
