@@ -29,11 +29,19 @@ NORMAL, UNKNOWN, CONTROL, BYTE = 1, 2, 3, 6
 PAIRS = 1_000_000
 
 
+def model_bytes(path: str) -> bytes:
+    with open(path, "rb") as f:
+        return f.read()
+
+
 def read_model(path: str) -> dict:
+    return parse_model(model_bytes(path))
+
+
+def parse_model(content: bytes) -> dict:
     """What encoding needs of a model file; only merge models with byte fallback and no normalisation are taken."""
     model = sentencepiece_model_pb2.ModelProto()
-    with open(path, "rb") as f:
-        model.ParseFromString(f.read())
+    model.ParseFromString(content)
     norm, train = model.normalizer_spec, model.trainer_spec
     if train.model_type != 2 or not train.byte_fallback or norm.precompiled_charsmap or norm.remove_extra_whitespaces or not norm.add_dummy_prefix:
         raise ValueError("only merge models with byte fallback, a space put before the text and no normalisation")

@@ -4,8 +4,7 @@ A text is tokenised whole by both tokenizers, A with a space put before it, B as
 offset at which both have a token's end and after which both go on with a token that is marked by a space is an anchor; the
 anchors split the document into windows of A ids and B ids. Texts are made of the same words again and again, so a window is
 aligned once per worker and remembered by its tuples of ids: its groups (cut wherever both tokens end), its links (pairs of
-tokens whose bytes overlap), and whether its ids really spell the same bytes. What all windows of a document spell has to be
-the text itself, or else the document counts as not aligned.
+tokens whose bytes overlap), and whether its ids really spell the same bytes on both sides.
 
 How often a pair of ids is linked over the corpus is counted from per-document counts, which are stored: they are summed up in
 the tasks that read them before anything is shuffled. Looking the counts up again has two tiers: the `TABLE` most frequent
@@ -24,20 +23,23 @@ from math import prod
 import numpy as np
 import pyarrow as pa
 import public_tokenizers
+import sentencepiece
 from pyspark.sql import DataFrame, Window, functions as F
 
 from ..operators.skew import own_shuffle
 from ..session import cut_lineage
 from .common import id_and_text, map_batches, registry, table, texts_of
 from .packing import _as_bytes
-from .piece_codec import BYTE, SPACE, Codec, read_model
-from .pretokens import CACHE, Cache, Splitter, byte_letters, of_worker, unassigned
+from .piece_codec import BYTE, SPACE, model_bytes, parse_model, read_model
+from .pretokens import CACHE, Splitter, byte_letters, of_worker, unassigned
 from .token_counts import read_spec
 
 QUERIES, SQL, query = registry()
 
-#: Windows that a worker remembers, and the tokens of the longest of them.
-WINDOWS, LONGEST = 300_000, 64
+#: Windows that a worker remembers (or twice as many, see Recent), and the tokens of the longest of them.
+WINDOWS, LONGEST = 400_000, 64
+#: Stands between the ids of both sides; no id.
+MARK = (1 << 32) - 1
 #: Pairs of ids whose corpus-wide counts go to every task.
 TABLE = 65_536
 DOCUMENT = ("doc_id", "n_a", "n_b", "n_groups", "n_links", "groups_sha256")
@@ -59,98 +61,165 @@ def bytes_of_b(model: dict) -> list:
     return [bytes([int(piece[3:5], 16)]) if kind == BYTE else piece.replace(SPACE, " ").encode() for piece, _, kind in model["pieces"]]
 
 
-def align(a, b, of_a, of_b):
-    """(groups, links) of two lists of ids that spell the same bytes, in one walk over both. Groups hold ids, links pairs of ids."""
-    groups, links, i, j, end_a, end_b = [([], [])], [], 0, 0, 0, 0
-    while i < len(a) and j < len(b):
-        next_a, next_b = end_a + len(of_a[a[i]]), end_b + len(of_b[b[j]])
-        if min(next_a, next_b) > max(end_a, end_b):
-            links.append((a[i], b[j]))
-        if next_a <= next_b:
-            groups[-1][0].append(a[i])
-            i, end_a = i + 1, next_a
-        if next_b <= next_a:
-            groups[-1][1].append(b[j])
-            j, end_b = j + 1, next_b
-        if next_a == next_b and i < len(a) and j < len(b):
-            groups.append(([], []))
-    # Tokens without bytes at the very end.
-    groups[-1][0].extend(a[i:])
-    groups[-1][1].extend(b[j:])
-    return groups, links
+def align(a, b, length_a, length_b):
+    """For ids of both sides that spell the same bytes: (which token of A, which of B) for each link, and each token's group.
 
+    Between two neighbouring ends, of whichever side, lies in one token of A and one of B: each such stretch of bytes is a link, and all
+    links are such stretches. A group ends where both sides have an end.
+    """
+    end_a, end_b = np.cumsum(length_a[a]), np.cumsum(length_b[b])
+    ends = np.union1d(end_a, end_b)
+    begins = np.concatenate([[0], ends[:-1]]) if len(ends) else ends
+    link_a, link_b = np.searchsorted(end_a, begins, "right"), np.searchsorted(end_b, begins, "right")
+    shared = end_a[np.isin(end_a, end_b, assume_unique=True)]
+    return link_a, link_b, np.searchsorted(shared, end_a), np.searchsorted(shared, end_b)
 
-def groups_text(groups) -> str:
-    return ";".join(",".join(map(str, a)) + "|" + ",".join(map(str, b)) for a, b in groups)
+
+class Recent(dict):
+    """Remembers what was asked for lately: when it is full, what was not asked for since it was last full is forgotten."""
+
+    def __init__(self, limit, make=None):
+        super().__init__()
+        self.limit, self.before, self.make = limit, {}, make
+
+    def recall(self, key):
+        """What is known of a key that is not among the newest."""
+        found = self.before.get(key)
+        if found is not None:
+            self.learn(key, found)
+        return found
+
+    def learn(self, key, value):
+        if len(self) >= self.limit:
+            self.before = dict(self)
+            self.clear()
+        self[key] = value
+
+    def __missing__(self, key):
+        found = self.recall(key)
+        if found is None:
+            found = self.make(key)
+            self.learn(key, found)
+        return found
 
 
 class Aligner:
     """Aligns the texts of a worker's batches; remembers windows by their ids."""
 
-    def __init__(self, spec: str, model: dict, windows=WINDOWS):
-        self.splitter, self.codec, self.limit = Splitter(spec), Codec(model), windows
+    def __init__(self, spec: str, model_file: bytes, windows=WINDOWS):
+        self.splitter, model = Splitter(spec), parse_model(model_file)
         self.whole = Splitter(spec).tokenizer
         self.whole.encode_special_tokens = True
-        self.pieces = Cache(self.splitter, _as_bytes, (), CACHE)
+        self.ids_of_piece = Recent(CACHE, lambda piece: self.spelling(piece, self.splitter.encode_piece(piece)))
+        self.pieces = sentencepiece.SentencePieceProcessor(model_proto=model_file)
         self.of_a, self.of_b = bytes_of_a(self.splitter), bytes_of_b(model)
         self.length_a, self.length_b = (np.array([len(t) for t in of], np.int64) for of in (self.of_a, self.of_b))
         self.space_a, self.space_b = (np.array([t[:1] == b" " for t in of]) for of in (self.of_a, self.of_b))
-        self.known = {}
+        # An id with what stands behind it in a list of groups: another id of its side, the other side, the next group, or nothing.
+        self.written = [f"{i}{mark}" for mark in (",", "|", ";", "") for i in range(max(len(self.of_a), len(self.of_b)))]
+        self.known = Recent(windows)
+
+    def spelling(self, text: str, ids) -> bytes:
+        """The ids of A if they spell the text, else none."""
+        return _as_bytes(ids) if b"".join(map(self.of_a.__getitem__, ids)) == text.encode() else b""
 
     def ids_a(self, text: str) -> bytes:
-        """Ids of a space and the text; special strings in it are plain text."""
+        """Ids of a space and the text; special strings in it are plain text. As each piece is spelt by its ids, all of them spell the text if
+        they have as many bytes."""
+        text = " " + text
         if unassigned(text):
-            return _as_bytes(self.whole.encode(" " + text, add_special_tokens=False).ids)
-        return b"".join(map(self.pieces.__getitem__, self.splitter.pieces(" " + text)))
-
-    def ids_b(self, text: str) -> bytes:
-        return self.codec.encode(text)[4:-4]
-
-    def window(self, a: bytes, b: bytes):
-        """What a window spells (None if A and B do not agree), its groups as text, their number, and its links as keys."""
-        a, b = np.frombuffer(a, "<u4").tolist(), np.frombuffer(b, "<u4").tolist()
-        spelt = b"".join(map(self.of_a.__getitem__, a))
-        if spelt != b"".join(map(self.of_b.__getitem__, b)):
-            return None, "", 0, []
-        groups, links = align(a, b, self.of_a, self.of_b)
-        return spelt, groups_text(groups), len(groups), [x * len(self.of_b) + y for x, y in links]
-
-    def windows(self, a: bytes, b: bytes) -> list:
-        """The aligned windows of a document, cut at its anchors."""
-        at_a, at_b = np.frombuffer(a, "<u4"), np.frombuffer(b, "<u4")
-        first_a, first_b = np.flatnonzero(self.space_a[at_a[1:]]) + 1, np.flatnonzero(self.space_b[at_b[1:]]) + 1
-        offset_a, offset_b = np.cumsum(self.length_a[at_a])[first_a - 1], np.cumsum(self.length_b[at_b])[first_b - 1]
+            return self.spelling(text, self.whole.encode(text, add_special_tokens=False).ids)
+        return b"".join(map(self.ids_of_piece.__getitem__, self.splitter.pieces(text)))
+
+    def cuts(self, a, b, starts_a, starts_b):
+        """Where windows begin, as places in the ids of both sides: the starts of texts, the anchors, and the end. All texts are spelt by
+        both sides, so offsets run on over them."""
+        first_a, first_b = self.space_a[a], self.space_b[b]
+        first_a[starts_a], first_b[starts_b] = True, True
+        first_a, first_b = np.flatnonzero(first_a), np.flatnonzero(first_b)
+        offset_a, offset_b = (np.concatenate([[0], np.cumsum(length[ids])])[first] for length, ids, first in
+                              ((self.length_a, a, first_a), (self.length_b, b, first_b)))
         place = np.searchsorted(offset_b, offset_a)
         shared = np.flatnonzero(np.append(offset_b, -1)[place] == offset_a)
-        cuts_a = [0, *(4 * first_a[shared]).tolist(), len(a)]
-        cuts_b = [0, *(4 * first_b[place[shared]]).tolist(), len(b)]
-        known, found = self.known, []
-        if len(known) >= self.limit:
-            known.clear()
-        for i, k, j, m in zip(cuts_a, cuts_a[1:], cuts_b, cuts_b[1:]):
-            key = a[i:k], b[j:m]
-            window = known.get(key)
-            if window is None:
-                window = self.window(*key)
-                if k - i <= 4 * LONGEST and m - j <= 4 * LONGEST:
-                    known[key] = window
-            found.append(window)
+        return first_a[shared], first_b[place[shared]]
+
+    def agree(self, a, b, ends_a, ends_b):
+        """Which windows are spelt alike by both sides; all of them at once, and one by one only if they are not."""
+        spelt_a, spelt_b = (list(map(of.__getitem__, ids.tolist())) for of, ids in ((self.of_a, a), (self.of_b, b)))
+        if b"".join(spelt_a) == b"".join(spelt_b):
+            return np.ones(len(ends_a), bool)
+        begins = zip([0, *ends_a[:-1]], ends_a, [0, *ends_b[:-1]], ends_b)
+        return np.array([b"".join(spelt_a[i:k]) == b"".join(spelt_b[j:m]) for i, k, j, m in begins])
+
+    def align_windows(self, a, b, ends_a, ends_b) -> list:
+        """The groups of windows as text, their number, and their links as keys, all of them aligned in one go; None if the two sides do not
+        spell the same. The windows have the same number of bytes on both sides."""
+        good = self.agree(a, b, ends_a, ends_b)
+        link_a, link_b, group_a, group_b = align(a, b, self.length_a, self.length_b)
+        links = (a[link_a].astype(np.int64) * len(self.of_b) + b[link_b]).tobytes()
+        # All ids by group, those of A first, each with the mark behind it.
+        group = np.concatenate([group_a, group_b])
+        order = np.lexsort((np.arange(len(group)) >= len(a), group))
+        group, side = group[order], order >= len(a)
+        mark = np.append(np.where(group[1:] != group[:-1], 2, np.where(side[1:] != side[:-1], 1, 0)), 3)
+        ends = ends_a + ends_b
+        mark[ends - 1] = 3  # the last id of each window
+        written = [self.written[i] for i in (np.concatenate([a, b])[order] + mark * (len(self.written) // 4)).tolist()]
+        n_groups = np.diff(np.concatenate([[0], group_a[ends_a - 1] + 1]))
+        found, at, at_link = [], 0, 0
+        for end, groups, end_link in zip(ends.tolist(), n_groups.tolist(), (8 * np.searchsorted(link_a, ends_a)).tolist()):
+            found.append(("".join(written[at:end]), groups, links[at_link:end_link]))
+            at, at_link = end, end_link
+        return [w if ok else (None, 0, b"") for w, ok in zip(found, good.tolist())]
+
+    def windows(self, a, b, cuts_a, cuts_b) -> list:
+        """The aligned windows of some texts. A window's key are its ids of A, a mark and its ids of B."""
+        known, found, new = self.known, [], {}
+        get = known.get
+        sizes_a, sizes_b = np.diff(np.append(cuts_a, len(a))), np.diff(np.append(cuts_b, len(b)))
+        numbers = np.arange(len(cuts_a))
+        both = np.full(len(a) + len(b) + len(numbers), MARK, "<u4")
+        both[np.arange(len(a)) + np.repeat(numbers + cuts_b, sizes_a)] = a
+        both[np.arange(len(b)) + np.repeat(numbers + 1 + cuts_a + sizes_a, sizes_b)] = b
+        both, ends = both.tobytes(), (4 * np.cumsum(sizes_a + sizes_b + 1)).tolist()
+        for k, (i, j) in enumerate(zip([0, *ends], ends)):
+            key = both[i:j]
+            found.append(get(key) or known.recall(key) or new.setdefault(key, k))
+        # (A window's number may be 0: then it is new, too.)
+        if new:
+            at = np.fromiter(new.values(), np.int64, len(new))
+            chosen = lambda cuts, sizes: np.repeat(cuts[at] - np.concatenate([[0], np.cumsum(sizes[at])[:-1]]), sizes[at]) + np.arange(sizes[at].sum())
+            aligned = self.align_windows(a[chosen(cuts_a, sizes_a)], b[chosen(cuts_b, sizes_b)], np.cumsum(sizes_a[at]), np.cumsum(sizes_b[at]))
+            of_number = dict(zip(new.values(), aligned))
+            found = [of_number[w] if type(w) is int else w for w in found]
+            for key, window in zip(new, aligned):
+                if len(key) <= 8 * LONGEST:
+                    known.learn(key, window)
         return found
 
-    def document(self, text: str):
-        """n_a, n_b, n_groups, n_links, groups as text, keys of links and how often each occurs; None if the tokens do not spell the text."""
-        if not text:
-            return None
-        a, b = self.ids_a(text), self.ids_b(text)
-        found = self.windows(a, b)
-        spelt = [w[0] for w in found]
-        if None in spelt or b"".join(spelt) != b" " + text.encode():
-            return None
-        links = []
-        for w in found:
-            links += w[3]
-        keys, counts = np.unique(np.array(links, np.int64), return_counts=True)
-        return len(a) // 4, len(b) // 4, sum(w[2] for w in found), len(links), ";".join([w[1] for w in found]), keys, counts
+    def documents(self, texts) -> list:
+        """For each text n_a, n_b, n_groups, n_links, groups as text, keys of links and how often each occurs; None if the tokens do not
+        spell it."""
+        out, ids = [None] * len(texts), []
+        for k, (text, b) in enumerate(zip(texts, self.pieces.encode(texts, num_threads=1))):
+            a, b = np.frombuffer(self.ids_a(text) if text else b"", "<u4"), np.array(b, "<u4")
+            if text and self.length_a[a].sum() == self.length_b[b].sum() == len(text.encode()) + 1:
+                ids.append((k, a, b))
+        if not ids:
+            return out
+        a, b = (np.concatenate([x[side] for x in ids]) for side in (1, 2))
+        starts_a, starts_b = (np.cumsum([0] + [len(x[side]) for x in ids[:-1]]) for side in (1, 2))
+        cuts_a, cuts_b = self.cuts(a, b, starts_a, starts_b)
+        found = self.windows(a, b, cuts_a, cuts_b)
+        at = np.searchsorted(cuts_a, starts_a).tolist()
+        for (k, a, b), begin, end in zip(ids, at, [*at[1:], len(found)]):
+            of_text = found[begin:end]
+            groups = [w[0] for w in of_text]
+            if None not in groups:
+                links = np.frombuffer(b"".join([w[2] for w in of_text]), np.int64)
+                keys, counts = np.unique(links, return_counts=True)
+                out[k] = len(a), len(b), sum([w[1] for w in of_text]), len(links), ";".join(groups), keys, counts
+        return out
 
 
 def _lists(arrays, kind):
@@ -161,13 +230,14 @@ def _lists(arrays, kind):
 def align_texts(df: DataFrame, tokenizer: str, model: str, id_col="doc_id", text_col="text", with_groups=False) -> DataFrame:
     """One row per row: the id, numbers of tokens, groups and links, the digest of the groups (and the groups themselves on
     request), `pairs` (id of A times the size of B's vocabulary, plus id of B) and `times` (how often each is linked)."""
-    sent = df.sparkSession.sparkContext.broadcast((read_spec(tokenizer), read_model(model)))
-    kind = "int" if prod(_sizes(*sent.value)) < 1 << 31 else "long"
+    spec = read_spec(tokenizer)
+    sent = df.sparkSession.sparkContext.broadcast((spec, model_bytes(model)))
+    kind = "int" if prod((Splitter(spec).tokenizer.get_vocab_size(with_added_tokens=True), len(read_model(model)["pieces"]))) < 1 << 31 else "long"
     none = np.zeros(0, np.int64)
 
     def step(batch):
         aligner = of_worker(("aligner", tokenizer, model), lambda: Aligner(*sent.value))
-        found = [aligner.document(t) for t in texts_of(batch)]
+        found = aligner.documents(texts_of(batch))
         out = {"doc_id": batch.column("doc_id")}
         for k, name in enumerate(("n_a", "n_b", "n_groups", "n_links")):
             out[name] = [d[k] if d else 0 for d in found]
@@ -181,10 +251,6 @@ def align_texts(df: DataFrame, tokenizer: str, model: str, id_col="doc_id", text
                        f"pairs array<{kind}>, times array<int>" + ", groups string" * with_groups)
 
 
-def _sizes(spec: str, model: dict):
-    return Splitter(spec).tokenizer.get_vocab_size(with_added_tokens=True), len(model["pieces"])
-
-
 def _values(batch, name):
     return batch.column(name).flatten().to_numpy(zero_copy_only=False)
 

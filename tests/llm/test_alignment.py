@@ -9,7 +9,7 @@ import sentencepiece
 from tokenizers import Tokenizer
 
 from courtledger.llm import token_alignment as ta
-from courtledger.llm.piece_codec import read_model
+from courtledger.llm.piece_codec import model_bytes
 from courtledger.llm.pretokens import byte_letters
 from courtledger.llm.token_counts import read_spec
 
@@ -119,7 +119,17 @@ def test_groups_spell_the_text(docs_of, real):
 
 
 def test_windows_are_forgotten_without_harm(real):
-    spec, model = read_spec(A), read_model(B)
+    spec, model = read_spec(A), model_bytes(B)
     few, many = ta.Aligner(spec, model, windows=3), ta.Aligner(spec, model)
-    for _, text in real[:20]:
-        assert few.document(text)[:5] == many.document(text)[:5]
+    texts = [t for _, t in real[:20]]
+    assert [d and d[:5] for d in few.documents(texts)] == [d and d[:5] for d in many.documents(texts)]
+
+
+def test_recent():
+    made = []
+    recent = ta.Recent(2, lambda key: made.append(key) or key.upper())
+    for key in "abca":
+        assert recent[key] == key.upper()
+    assert made == ["a", "b", "c"]  # "a" was remembered anew when it was asked for
+    assert [recent[key] for key in "da"] == ["D", "A"] and made == ["a", "b", "c", "d"]
+    assert recent["b"] == "B" and made[-1] == "b"
