@@ -227,8 +227,9 @@ def bitmap(keys: DataFrame, drop_shard: bool) -> np.ndarray:
     filled = (keys.select(at.alias("at")).groupBy(F.bitmap_bucket_number("at").alias("bitmap"))
               .agg(F.bitmap_construct_agg(F.bitmap_bit_position("at")).alias("bits")))
     bits = np.zeros(n_bits // 8, np.uint8)
-    for row in filled.toLocalIterator():  # at most BITS / 8 bytes in all
-        bits[(row["bitmap"] - 1) * BITMAP // 8:row["bitmap"] * BITMAP // 8] = np.frombuffer(row["bits"], np.uint8)
+    found = filled.toArrow()  # at most BITS / 8 bytes in all
+    for place, part in zip(found["bitmap"].to_pylist(), found["bits"].to_pylist()):
+        bits[(place - 1) * BITMAP // 8:place * BITMAP // 8] = np.frombuffer(part, np.uint8)
     return bits
 
 
