@@ -1,6 +1,7 @@
 """Session settings, and where intermediate results may be written."""
 
 import atexit
+import re
 import tempfile
 import uuid
 
@@ -37,7 +38,8 @@ def shared_dir(spark: SparkSession) -> str:
     path = sc.getCheckpointDir()
     if path is None:
         configured = spark.conf.get("spark.checkpoint.dir", None)
-        if configured is None and not sc.master.startswith("local"):
+        # (The executors of local-cluster are processes of their own, as on any cluster.)
+        if configured is None and not re.fullmatch(r"local(\[.*\])?", sc.master):
             raise ValueError("set spark.checkpoint.dir to a folder all executors can reach")
         sc.setCheckpointDir(configured or tempfile.mkdtemp(prefix="courtledger-"))
         path = sc.getCheckpointDir()

@@ -1,12 +1,14 @@
 """Per-day folders of small CSV sheets, one file per game or per team of a game.
 
-Column positions differ between files: a game with overtime has more columns. Every sheet is one
-game, so it is read whole and its own header names its fields.
+Column positions differ between files: a game with overtime has more columns, so a sheet's own header
+names its fields. Small sheets are read whole (`read_day_folders`), large ones by lines (`read_split_sheets`).
 """
 
-from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.sql import DataFrame, SparkSession, Window, functions as F
 
 from courtledger import fixed_values as fv
+from courtledger.operators.skew import own_shuffle
+from courtledger.session import cut_lineage
 
 # Fixed value: where date, game and team stand in a path; the team is missing in game files.
 SHEET_PATH = r"(\d{4}-\d{2}-\d{2})/m(\d+)_(?:equipe(\d+)_)?\1\.csv$"
@@ -17,21 +19,45 @@ def parse_sheets(sheets: DataFrame, path_col="path", text_col="value") -> DataFr
 
     fields is null for a line whose width differs from the header; see `rejected_lines`.
     """
-    part = lambda i: F.regexp_extract(F.col(path_col), SHEET_PATH, i)
     lines = F.filter(F.split(F.col(text_col), r"\r?\n"), lambda line: line != "")
-    located = sheets.select(
+    return _located_lines(sheets.select(
+        F.col(path_col).alias("path"), F.split(F.get(lines, 0), ",").alias("_header"),
+        F.posexplode(F.slice(lines, 2, F.greatest(F.size(lines) - 1, F.lit(0)))).alias("row_idx", "_line")))
+
+
+def _located_lines(lines: DataFrame) -> DataFrame:
+    """Lines (path, _header, row_idx, _line) with the date, game and team of their path, and their fields by the header."""
+    part = lambda i: F.regexp_extract("path", SHEET_PATH, i)
+    located = lines.select(
         part(1).try_cast("date").alias("game_date"),
         part(2).try_cast("int").alias("game_no"),
-        part(3).try_cast("int").alias("team_idx"),
-        F.split(F.get(lines, 0), ",").alias("_header"),
-        F.posexplode(F.slice(lines, 2, F.greatest(F.size(lines) - 1, F.lit(0)))).alias("row_idx", "_line"),
-    ).filter(F.col("game_date").isNotNull())
+        part(3).try_cast("int").alias("team_idx"), "_header", "row_idx", "_line").filter(F.col("game_date").isNotNull())
     values = F.split("_line", ",", -1)
     return located.select(
         "game_date", "game_no", "team_idx", "row_idx", F.col("_line").alias("line"),
         F.when(F.size(values) == F.size("_header"), F.map_from_arrays("_header", values)).alias("fields"))
 
 
+def read_split_sheets(spark: SparkSession, path: str) -> DataFrame:
+    """`read_day_folders` for sheets of any size: a sheet is read by lines, in as many tasks as it has splits.
+
+    The header is found once per file, where its first split begins. A line's place in its file is its place in its split plus
+    the lines of the splits before; only counts, one row per split, are summed up for that.
+    """
+    lines = (spark.read.text(path, pathGlobFilter="m*.csv", recursiveFileLookup=True)
+             .select(F.col("_metadata.file_path").alias("path"), F.col("_metadata.file_block_start").alias("_split"), F.col("value").alias("line"))
+             .filter("line <> ''").withColumn("_id", F.monotonically_increasing_id()))
+    # Stored once, so that counts and lines agree even if tasks are repeated.
+    lines = cut_lineage(lines)
+    splits = lines.groupBy("path", "_split").agg(F.count(F.lit(1)).alias("_n"), F.min("_id").alias("_first"), F.min_by("line", "_id").alias("_line"))
+    in_file = Window.partitionBy("path").orderBy("_split")  # a file's splits
+    before = F.coalesce(F.sum("_n").over(in_file.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
+    header = F.first("_line").over(in_file.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing))
+    places = own_shuffle(splits.select("path", "_split", "_first", before.alias("_before"), F.split(header, ",").alias("_header")))
+    located = lines.join(places, ["path", "_split"]).withColumn("_place", F.col("_before") + F.col("_id") - F.col("_first"))
+    return _located_lines(located.filter("_place > 0").withColumn("row_idx", (F.col("_place") - 1).cast("int")).withColumnRenamed("line", "_line"))
+
+
 def read_day_folders(spark: SparkSession, path: str) -> DataFrame:
     """All sheets under path/<date>/."""
     sheets = (spark.read.text(path, wholetext=True, pathGlobFilter="m*.csv", recursiveFileLookup=True)

@@ -144,3 +144,23 @@ def test_lines_of_another_width_are_reported(spark, rows):
     sheets = day_folders.parse_sheets(spark.createDataFrame([("a/2021-01-05/m0_2021-01-05.csv", sheet)], "path string, value string"))
     assert day_folders.game_rows(sheets).count() == 1
     assert rows(day_folders.rejected_lines(sheets), "row_idx", "line") == [(1, "PHI,1,2,3,4")]
+
+
+def test_sheets_in_several_splits(spark, rows, tmp_path):
+    """Large sheets are read by lines, in several tasks, and give the rows that whole sheets give."""
+    from courtledger.sources.day_folders import read_split_sheets
+    for name, header, n in (("m0_2020-12-22", "equipe,q1,final", 400), ("m1_2020-12-22", "equipe,q1,pr1,final", 90), ("m2_2020-12-22", "equipe,q1", 0), ("other", "x", 5)):
+        (tmp_path / "2020-12-22").mkdir(exist_ok=True)
+        lines = [header] + [f"T{i},{i}" + ",7" * (header.count(",") - 1 - (i % 50 == 9)) for i in range(n)]
+        (tmp_path / "2020-12-22" / f"{name}.csv").write_bytes("\r\n".join(lines).encode() + b"\r\n\r\n" * (n % 3))
+    was = spark.conf.get("spark.sql.files.maxPartitionBytes")
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "600")
+    try:
+        split = read_split_sheets(spark, str(tmp_path))
+        text = spark.read.text(str(tmp_path), pathGlobFilter="m*.csv", recursiveFileLookup=True)
+        assert text.rdd.getNumPartitions() > 5
+        columns = ("game_no", "row_idx", "line", "fields")
+        key = lambda df: sorted(map(str, rows(df, *columns)))
+        assert key(split) == key(day_folders.read_day_folders(spark, str(tmp_path))) and split.count() == 490
+    finally:
+        spark.conf.set("spark.sql.files.maxPartitionBytes", was)
