@@ -7,7 +7,7 @@ import check_queries
 from courtledger import catalog
 
 SF = "/root/testdata/sf0.001"
-READ_PAGES = {"html_tables", "page_tables", "box_score", "game_tables", "team_stats", "hidden_cells", "injury_pages", "page_rejects", "picks_pages"}
+READ_PAGES = {"html_tables", "page_tables", "box_score", "game_tables", "team_stats", "hidden_cells", "injury_pages", "picks_pages"}
 
 
 @pytest.fixture(scope="module")
