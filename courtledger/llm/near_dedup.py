@@ -8,10 +8,11 @@ shingles two sets differ in, which is sharp for all but very long texts. Estimat
 threshold by more than six standard deviations; the others are confirmed on full sets, made anew from the texts, so that no
 link rests on a sketch.
 
-A band bucket of k vertices is never expanded into k*k pairs. First each vertex is compared with one leader of its bucket.
-Whoever is linked by then needs no further pair: only vertices of the same bucket that are still in different components
-are compared with each other, in blocks of bounded size, and a pair leaves the comparison only if its sketches are close.
-So a group of copies costs as many pairs as it has members, and no link is lost.
+A band bucket of k vertices is never expanded into k*k pairs. First each vertex is compared with one vertex, the least of
+the leaders of its buckets; then with those of its buckets' leaders that are still in another component; then vertices of the same bucket
+that are still in different components are compared with each other, in blocks of bounded size, and a pair leaves the comparison
+only if its sketches are close. After each round, links are between components found so far, not between vertices. So a
+group of copies costs about as many pairs as it has members, and no link between components is lost.
 
 A pair at the threshold itself shares no band with a probability of (1 - 0.8^5)^30, 7 in a million.
 
@@ -41,6 +42,8 @@ LEAST_ESTIMATE = 0.55
 BLOCK = 1024
 #: Words whose hash a worker remembers.
 CACHE = 400_000
+#: Tasks over which the nodes of one component are dealt.
+DEALT = 32
 _rng = np.random.default_rng(20)
 FACTORS = (_rng.integers(0, 1 << 32, SAMPLES, dtype=np.uint64) | np.uint64(1)).astype(np.uint32)[:, None]
 SHIFTS = _rng.integers(0, 1 << 32, SAMPLES, dtype=np.uint64).astype(np.uint32)[:, None]
@@ -201,6 +204,36 @@ def components(links: DataFrame) -> DataFrame:
             return parents.withColumnRenamed("parent", "component")
 
 
+def merged(linked: DataFrame, links: DataFrame) -> DataFrame:
+    """node, component for the same nodes after more links (a, b) between them: links are contracted to the components so far."""
+    end = lambda name: linked.select(F.col("node").alias(name), F.col("component").alias(f"of_{name}"))
+    half = links.join(end("b"), "b").select("a", "of_b").distinct()
+    contracted = own_shuffle(half).join(end("a"), "a").where("of_a <> of_b").select(F.col("of_a").alias("a"), F.col("of_b").alias("b")).distinct()
+    contracted = cut_lineage(contracted)
+    if contracted.isEmpty():
+        return linked
+    # A component may have any number of nodes: they are dealt over DEALT tasks.
+    better = components(contracted).select(F.col("node").alias("component"), F.col("component").alias("better"), F.explode(F.sequence(F.lit(0), F.lit(DEALT - 1))).alias("salt"))
+    salted = linked.withColumn("salt", F.pmod(F.xxhash64("node"), F.lit(DEALT)).cast("int"))
+    return cut_lineage(salted.join(own_shuffle(better), ["component", "salt"], "left").select("node", F.coalesce("better", "component").alias("component")))
+
+
+def leader_links(buckets: DataFrame, vertices: DataFrame, confirm) -> DataFrame:
+    """node, component of all vertices after they were compared with the leaders of their buckets. `confirm` gives the links among pairs."""
+    linked = cut_lineage(vertices.select(F.col("doc_id").alias("node"), F.col("doc_id").alias("component")).distinct())
+    # At most BANDS leaders to a vertex.
+    leaders = cut_lineage(buckets.where("node <> leader").groupBy("node").agg(F.collect_set("leader").alias("leaders")))
+    linked = merged(linked, confirm(cut_lineage(leaders.select(F.array_min("leaders").alias("a"), F.col("node").alias("b")))))
+    rest = cut_lineage(leaders.where("size(leaders) > 1").join(linked, "node"))
+    pairs = rest.select(F.col("node").alias("b"), "component", F.explode("leaders").alias("a"))
+    # Only leaders that have followers in other components are looked at again.
+    spans = own_shuffle(pairs.groupBy("a").agg(F.min("component").alias("low"), F.max("component").alias("high")))
+    own = linked.select(F.col("node").alias("a"), F.col("component").alias("own"))
+    still_open = cut_lineage(spans.join(own, "a").where("low <> own OR high <> own").select("a", "own"))
+    second = cut_lineage(pairs.join(own_shuffle(still_open), "a").where("component <> own").select("a", "b"))
+    return linked if second.isEmpty() else merged(linked, confirm(second))
+
+
 def bucketed(vertices: DataFrame) -> DataFrame:
     """node, band, leader, n: the buckets of two or more vertices; the leader is the smallest of them."""
     rows = vertices.select(F.col("doc_id").alias("node"), F.explode("bands").alias("band"))
@@ -250,17 +283,13 @@ def near_groups(df: DataFrame, n_words=5, percent=80, id_col="doc_id", text_col=
     heads = members.groupBy("class_id").agg(F.count(F.lit(1)).alias("size")).select(F.col("class_id").alias("doc_id"))
     vertices = cut_lineage(sets.select("doc_id", "bands", *SKETCHES).join(own_shuffle(heads), "doc_id", "left_semi").dropDuplicates(["doc_id", "bands"]))
     buckets = cut_lineage(bucketed(vertices))
-    to_leader = buckets.where("node <> leader").select(F.col("leader").alias("a"), F.col("node").alias("b")).distinct()
-    links = cut_lineage(confirmed(cut_lineage(with_sketches(to_leader, vertices, percent)), texts, n_words, percent))
-    linked = components(links)
+    confirm = lambda pairs: cut_lineage(confirmed(cut_lineage(with_sketches(pairs, vertices, percent)), texts, n_words, percent))
+    linked = leader_links(buckets, vertices, confirm)
     others = cut_lineage(open_pairs(buckets, linked, vertices, percent))
-    more = links
     if not others.isEmpty():
-        more = cut_lineage(links.unionByName(confirmed(others, texts, n_words, percent)))
+        linked = merged(linked, cut_lineage(confirmed(others, texts, n_words, percent)))
     # Ids that several classes share tie those together.
-    shared = members.groupBy("doc_id").agg(F.min("class_id").alias("a"), F.max("class_id").alias("b")).where("a <> b").select("a", "b")
-    whole = more.unionByName(shared)
-    linked = components(whole) if not whole.isEmpty() else linked
+    linked = merged(linked, members.groupBy("doc_id").agg(F.min("class_id").alias("a"), F.max("class_id").alias("b")).where("a <> b").select("a", "b"))
     named = members.groupBy("doc_id").agg(F.min("class_id").alias("class_id"))
     named = named.join(own_shuffle(linked.withColumnRenamed("node", "class_id")), "class_id", "left")
     named = named.select("doc_id", F.coalesce("component", "class_id").alias("component_id"))
