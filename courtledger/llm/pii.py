@@ -1,14 +1,15 @@
 """Personal data: patterns propose spans, checksums confirm them, nearby context words adjust their score.
 
-Kinds `email`, `ip`, `card` (Luhn) and `phone` are always reported once their own check has passed; `iban` (mod-97) and
-`ssn` are reported from a score of `MIN_SCORE`. A score begins with the weight of the kind, gains by a context word
-within `CONTEXT` characters on either side, and loses by a word that speaks against it.
+Kinds `email`, `ip`, `card` (Luhn) and `phone` are always reported once their own check has passed; `iban` (mod-97), `ssn` and
+`id` (a number without marks, of a passport, say) are reported from a score of `MIN_SCORE`. A score begins with the weight of the kind; the nearest
+context word of the clause, within `CONTEXT` characters, raises or lowers it, and the more the nearer it is.
 
 Defined cases: a null or empty text has no spans; repeated rows are each reported; an empty table gives an empty table;
 columns other than id and text are ignored, whatever their names. Time is linear in the text for every pattern.
 """
 
 import re
+from bisect import bisect_left, bisect_right
 
 from pyspark.sql import DataFrame, functions as F
 
@@ -30,12 +31,15 @@ PHONE = re.compile(r"\+[0-9][\x20().0-9-]+[0-9]")
 #: The start of an IBAN, and what may follow it: 34 characters at most in all.
 IBAN = re.compile(r"(?<![A-Za-z0-9])[A-Z]{2}[0-9]{2}(?=\x20?[A-Z0-9])")
 IBAN_REST = re.compile(r"(?:\x20?[A-Z0-9]){11,30}")
+#: Nine digits, or a letter and eight, that are a social security or passport number only if a word beside them says so.
+BARE = re.compile(r"(?<![A-Za-z0-9+.-])(?:[A-Z][0-9]{8}|(?!000|666|9)[0-9]{9})(?![A-Za-z0-9-]|\.[0-9])")
 SSN = re.compile(r"(?<![0-9-])(?!000|666|9)[0-9]{3}-(?!00)[0-9]{2}-(?!0000)[0-9]{4}(?![0-9-])")
-WEIGHT = {"email": 0.9, "ip": 0.6, "card": 0.8, "phone": 0.6, "iban": 0.85, "ssn": 0.4}
+WEIGHT = {"email": 0.9, "ip": 0.6, "card": 0.8, "phone": 0.6, "iban": 0.85, "ssn": 0.4, "id": 0.35}
 FOR = {
     "email": ("contact", "e-mail", "email", "mail", "write"), "ip": ("address", "host", "ip", "server"),
     "card": ("card", "credit", "debit", "mastercard", "payment", "visa"), "phone": ("call", "fax", "mobile", "phone", "tel", "telephone"),
     "iban": ("account", "bank", "bic", "iban", "transfer"), "ssn": ("insurance", "social", "ssn", "tax"),
+    "id": ("passport", "social", "ssn", "tax"),
 }
 AGAINST = ("example", "invoice", "isbn", "order", "sample", "serial", "version")
 IBAN_LENGTH = {"AD": 24, "AE": 23, "AL": 28, "AT": 20, "AZ": 28, "BA": 20, "BE": 16, "BG": 22, "BH": 22, "BI": 27, "BR": 29, "BY": 28, "CH": 21,
@@ -49,6 +53,8 @@ IBAN_LENGTH = {"AD": 24, "AE": 23, "AL": 28, "AT": 20, "AZ": 28, "BA": 20, "BE":
                "AO": 25, "BF": 28, "BJ": 28, "CF": 27, "CG": 27, "CI": 28, "CM": 27, "CV": 25, "DZ": 26, "GA": 27, "GQ": 27, "GW": 25, "IR": 26,
                "KM": 27, "MA": 28, "MG": 27, "ML": 28, "MZ": 25, "NE": 28, "SN": 28, "TD": 27, "TG": 28}
 WORD = re.compile(r"[A-Za-z][A-Za-z-]*", re.A)
+CLAUSE = re.compile(r"[;!?\n]|\.(?=\s)")
+CLAUSE_OR_COMMA = re.compile(r"[,;!?\n]|\.(?=\s|$)")
 REDACTED = {k: f"[{k.upper()}]" for k in WEIGHT}
 
 
@@ -126,26 +132,56 @@ def ssns(text):
         yield m.span()
 
 
-FINDERS = {"email": emails, "ip": ips, "card": cards, "phone": phones, "iban": ibans, "ssn": ssns}
+def bare_numbers(text):
+    for m in BARE.finditer(text):
+        yield m.span()
+
+
+FINDERS = {"email": emails, "ip": ips, "card": cards, "phone": phones, "iban": ibans, "ssn": ssns, "id": bare_numbers}
 PROPOSES = re.compile("[0-9@]")
 
 
-def scored(text, kind, start, end):
-    near = {w.lower() for w in WORD.findall(text, max(0, start - CONTEXT), start)} | {w.lower() for w in WORD.findall(text, end, end + CONTEXT)}
-    return round(min(1.0, WEIGHT[kind] + 0.2 * (not near.isdisjoint(FOR[kind]))) * (0.8 if not near.isdisjoint(AGAINST) else 1.0), 4)
+def context(text, kind, start, end, before, after):
+    """(distance, whether it speaks for the kind) of the nearest context word; None without one.
+
+    The context ends at `CONTEXT` characters, at the proposals on either side, and where the clause ends: to the left at a
+    semicolon, a sentence or a line, to the right at a comma as well. Words that reach over its edge do not count.
+    """
+    low, high = max(before, start - CONTEXT), min(after, end + CONTEXT)
+    for m in CLAUSE.finditer(text, low, start):
+        low = m.end()
+    if m := CLAUSE_OR_COMMA.search(text, end, high):
+        high = m.start()
+    words = [(start - m.end(), m) for m in WORD.finditer(text, low, start)] + [(m.start() - end, m) for m in WORD.finditer(text, end, high)]
+    whole = lambda m: not text[max(0, m.start() - 1):m.start()].isalnum() and not text[m.end():m.end() + 1].isalnum()
+    found = [(n, m.group().lower()) for n, m in words if whole(m)]
+    return min(((n, w in FOR[kind]) for n, w in found if w in FOR[kind] or w in AGAINST), key=lambda x: x[0], default=None)
+
+
+def scored(text, kind, start, end, before=0, after=None):
+    """The weight of the kind, moved by the nearest context word, and less so the farther it is; of words equally near, the one before counts."""
+    near = context(text, kind, start, end, before, len(text) if after is None else after)
+    if near is None:
+        return WEIGHT[kind]
+    distance, speaks_for = near
+    pull = 1 - distance / (2 * CONTEXT)
+    return round(min(1.0, WEIGHT[kind] + 0.2 * pull) if speaks_for else WEIGHT[kind] * (1 - 0.3 * pull), 4)
 
 
 def find_in(text: str, min_score: float = MIN_SCORE):
     """Spans of a text: those that are always reported, by kind as listed, then start; and those added by score."""
     base, added = [], []
     if PROPOSES.search(text):
-        for kind, find in FINDERS.items():
-            for start, end in find(text):
-                score = scored(text, kind, start, end)
-                if kind in BASE_KINDS:
-                    base.append((kind, start, end, score))
-                elif score >= min_score:
-                    added.append((kind, start, end, score))
+        proposed = [(kind, start, end) for kind, find in FINDERS.items() for start, end in find(text)]
+        # The nearest proposals that end before and begin behind a span bound its context.
+        ends, starts = sorted(e for _, _, e in proposed), sorted(s for _, s, _ in proposed)
+        for kind, start, end in proposed:
+            i, j = bisect_right(ends, start), bisect_left(starts, end)
+            score = scored(text, kind, start, end, ends[i - 1] if i else 0, starts[j] if j < len(starts) else len(text))
+            if kind in BASE_KINDS:
+                base.append((kind, start, end, score))
+            elif score >= min_score:
+                added.append((kind, start, end, score))
     return base, added
 
 
@@ -190,4 +226,5 @@ def op3_pii(spark, sf_dir):
     count = lambda kind: F.size(F.filter("base", lambda s: s["kind"] == kind)).cast("long")
     found = find_pii(table(spark, sf_dir, "documents"))
     return found.select("doc_id", *[count(k).alias(f"n_{k}") for k in BASE_KINDS], F.sha2(span_list("base"), 256).alias("base_sha256"),
-                        span_list(F.concat("base", "added")).alias("spans"), F.size("added").cast("long").alias("n_added"))
+                        span_list(F.concat("base", "added")).alias("spans"), F.size("added").cast("long").alias("n_added"),
+                        F.array_join(F.transform(F.concat("base", "added"), lambda s: s["score"].cast("string")), ",").alias("scores"))
