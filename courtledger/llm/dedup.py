@@ -97,17 +97,21 @@ def confirm(screened: DataFrame, snapshot: Snapshot, texts: DataFrame) -> DataFr
     known = snapshot.groups.select(*KEY, F.col("keep_id").alias("seen_id"), F.col("group_size").alias("seen_size"))
     pairs = screened.where("maybe_seen").join(known, KEY).select(*KEY, "keep_id", "seen_id", "seen_size")
     pairs = cut_lineage(pairs)
-    new = texts.select(F.col("doc_id").alias("keep_id"), F.col("text").alias("new_text"))
-    old = snapshot.texts.select(F.col("doc_id").alias("seen_id"), F.col("text").alias("old_text"))
-    # A repeated id may carry several texts: the one that has the digest is meant.
-    new = likely_rows(new, pairs.select("keep_id"), "keep_id").join(own_shuffle(pairs.select("keep_id", *KEY)), "keep_id").where(_is_text("new_text"))
-    old = likely_rows(old, pairs.select("seen_id"), "seen_id").join(own_shuffle(pairs.select("seen_id", "seen_size", *KEY)), "seen_id").where(_is_text("old_text"))
+    new = _with_digest(texts, pairs, "keep_id", "new_text")
+    old = _with_digest(snapshot.texts, pairs, "seen_id", "old_text", "seen_size")
     same = new.join(old, KEY).where(normalised(F.col("new_text")) == normalised(F.col("old_text")))
     return same.groupBy(*KEY).agg(F.max("seen_id").alias("seen_id"), F.max("seen_size").alias("seen_size"))
 
 
-def _is_text(name):
-    return F.sha2(normalised(F.col(name)).cast("binary"), 256) == F.col("text_sha256")
+def _with_digest(texts: DataFrame, pairs: DataFrame, id_name, text_name, *more) -> DataFrame:
+    """One text for each digest of the pairs, of the row that its id names. Repeated ids may carry several texts, and null ids, too, are ids
+    here: the digest is part of the key, which also spreads them."""
+    rows = texts.select(F.col("doc_id").alias("_id"), F.col("text").alias(text_name))
+    digest = F.sha2(normalised(F.col(text_name)).cast("binary"), 256)
+    rows = likely_rows(rows, pairs.select(id_name), "_id").withColumn("_digest", digest)
+    wanted = own_shuffle(pairs.select(id_name, *more, *KEY))
+    found = rows.join(wanted, (F.col("_digest") == F.col("text_sha256")) & F.col("_id").eqNullSafe(F.col(id_name)))
+    return found.select(text_name, id_name, *more, *KEY).dropDuplicates(KEY)
 
 
 def dedup(incoming: DataFrame, snapshot_rows: DataFrame | None = None, id_col="doc_id", text_col="text") -> DataFrame:

@@ -53,6 +53,12 @@ def test_batch_against_snapshot(docs_of):
     assert {r.doc_id: r.keep_id for r in dedup.dedup(empty, old).collect()} == {1: 2, 2: 2, 5: 5}
 
 
+def test_null_ids_across_batches(docs_of):
+    """Rows without an id meet rows of the other half as any others do."""
+    got = sorted(map(str, ((r.doc_id, r.keep_id, r.group_size, r.kept) for r in dedup.dedup(docs_of([(None, "q"), (None, "z"), (None, "Z")]), docs_of([(1, "q"), (None, "z"), (2, "y")])).collect())))
+    assert got == sorted(map(str, [(None, 1, 2, False), (1, 1, 2, True), (None, None, 3, True), (None, None, 3, True), (None, None, 3, True), (2, 2, 1, True)]))
+
+
 def test_kept_rows(docs_of):
     df = docs_of([(1, "a"), (2, "A"), (2, "A"), (3, "b"), (None, "c"), (4, None)])
     got = dedup.drop_copies(df)
