@@ -107,6 +107,22 @@ def test_checksums_and_context():
     assert pii.redact("xxxxx", [("card", 0, 3, 1.0), ("phone", 2, 4, 1.0)]) == "[CARD]x"
 
 
+@pytest.mark.parametrize("text, found", [
+    ("ssn: 123-45-6789; order no. 5", ["123-45-6789"]), ("ssn: 123-45-6789 and my order number is 77", ["123-45-6789"]), ("my ssn 123-45-6789, invoice attached", ["123-45-6789"]),
+    ("order 123-45-6789", []), ("ssn given. order 123-45-6789", []), ("123-45-6789", []), ("assn 123-45-6789", []), ("123-45-6789 is my social security number", ["123-45-6789"]),
+    ("order 123-45-6780 ssn 123-45-6789", ["123-45-6789"]), ("passport C01234567", ["C01234567"]), ("C01234567 and 123456789", []), ("ssn 123456789", ["123456789"]),
+    ("version 123456789", []), ("a passport, which was lost a long time ago: C01234567", [])])
+def test_the_nearest_word_of_the_clause_decides(text, found):
+    assert [text[a:b] for _, a, b, _ in pii.find_in(text)[1]] == found
+
+
+def test_scores_fall_with_the_distance():
+    scores = [pii.find_in("ssn" + " " * n + "123-45-6789")[1][0][3] for n in (1, 10, 30)]
+    assert scores == sorted(scores, reverse=True) and len(set(scores)) == 3
+    against = [pii.scored("sample" + " " * n + "DE89", "iban", 6 + n, 10 + n) for n in (1, 30)]
+    assert against[0] < against[1] < pii.WEIGHT["iban"]
+
+
 IBANS = ["DE89 3704 0044 0532 0130 00", "FR14 2004 1010 0505 0001 3M02 606", "TR33 0006 1005 1978 6457 8413 26", "SA03 8000 0000 6080 1016 7519",
          "AE07 0331 2345 6789 0123 456", "BR15 0000 0000 0000 1093 2840 814P 2", "NO93 8601 1117 947", "DZ58 0002 1000 0111 3000 0005 70"]
 
@@ -147,3 +163,20 @@ def test_redacted_table(docs_of):
     df = docs_of([(1, "write to a@b.cd"), (2, None), (3, "plain"), (3, "plain")])
     got = pii.redact_texts(df)
     assert got.columns == df.columns and sorted((r.doc_id, r.text) for r in got.collect()) == [(1, "write to [EMAIL]"), (2, None), (3, "plain"), (3, "plain")]
+
+
+@pytest.mark.parametrize("text", ["token=b=" * 125_000, "token = token + x1\n" * 52_000, "".join(f"password{i} = password{i + 1}\n" for i in range(40_000)), "token=b(=" * 100_000 + ")" * 9,
+                                  'secret = secret + "Zk3Lm9Qx7Tv1"\n' * 30_000, "token=f(" * 125_000 + ")" * 9, "token:a," * 125_000])
+def test_a_megabyte_of_pairs_within_pairs(text):
+    started = time.process_time()
+    secret_scan.lexed_spans(text)
+    assert time.process_time() - started < 30
+
+
+def test_every_literal_of_a_large_value():
+    """More literals than a score is made of, and names that stand for each other: all are reported, with the best score that reaches them."""
+    parts = [f"Zk3Lm9Qx7Tv1Bw5R{k}" for k in range(200)]
+    assert added("secret = " + " + ".join(f'"{p}"' for p in parts)) == [("literal", p) for p in parts]
+    lines = "".join(f'x{k} = {f"x{k + 1} + " * (k < 199)}"{p}"\n' for k, p in enumerate(parts))
+    assert added(lines + "password = x0\ntoken = x100") == [("constant", p) for p in parts]
+    assert added('a = b + "Zk3Lm9Qx"\nb = a + "7Tv1Bw5R"\npassword = a') == [("constant", "Zk3Lm9Qx"), ("constant", "7Tv1Bw5R")]
