@@ -7,9 +7,12 @@ word, piece by piece. Pieces hold a space mark only at their start, so words wit
 by one and remembered per worker; runs of spaces follow a rule of their own.
 
 Defined cases: a null or empty text has the begin and end ids and decodes to the empty text; repeated rows are each
-encoded; an empty table gives an empty table; columns other than id and text are ignored. Texts are encoded whole.
+encoded; an empty table gives an empty table; columns other than id and text are ignored. Texts are encoded whole. Ids that
+the vocabulary does not have decode to nothing; of bytes that are no UTF-8, each decodes to U+FFFD, as in the library.
 """
 
+import codecs
+import hashlib
 import re
 
 import ahocorasick
@@ -19,7 +22,7 @@ from pyspark.sql import DataFrame, functions as F
 from sentencepiece import sentencepiece_model_pb2
 
 from .common import id_and_text, map_batches, registry, table, texts_of
-from .pretokens import CACHE, of_worker
+from .pretokens import CACHE, Recent, of_worker
 
 QUERIES, SQL, query = registry()
 
@@ -53,7 +56,7 @@ def parse_model(content: bytes) -> dict:
 class Codec:
     def __init__(self, model: dict, cache=CACHE, pairs=PAIRS):
         pieces = model["pieces"]
-        self.begin, self.end, self.cache_limit, self.pair_limit = model["begin"], model["end"], cache, pairs
+        self.begin, self.end, self.pair_limit = model["begin"], model["end"], pairs
         self.rank, self.id, self.byte_id, self.spaces = {}, {}, {}, {}
         self.piece_bytes = []
         for i, (piece, score, kind) in enumerate(pieces):
@@ -74,7 +77,9 @@ class Codec:
             if self.merged(piece) == [piece]:
                 self.automaton.add_word(piece, piece)
         self.automaton.make_automaton()
-        self.apart, self.words = {}, {}
+        self.characters = frozenset(p for p in self.rank if len(p) == 1)
+        self.marked = {i for p, i in self.id.items() if p.startswith(SPACE)}
+        self.apart, self.words = {}, Recent(cache, self.both)
         self.one = {p: int(i).to_bytes(4, "little") for p, i in self.id.items()}
         self.byte_one = [int(self.byte_id[b]).to_bytes(4, "little") for b in range(256)]
 
@@ -102,17 +107,25 @@ class Codec:
 
     def known(self, word: str) -> list:
         """Tokens of a text whose characters are all pieces: the prefix table forwards, then the tokens backwards."""
-        last = [""] * (len(word) + 1)
+        last, apart = [""] * (len(word) + 1), self.apart
         for at, piece in self.automaton.iter(word):
-            if not last[at + 1]:
-                before = last[at + 1 - len(piece)]
-                if at + 1 == len(piece) or (before and self.compatible(before, piece)):
-                    last[at + 1] = piece
+            at += 1
+            if not last[at]:
+                start = at - len(piece)
+                if not start:
+                    last[at] = piece
+                elif before := last[start]:
+                    fits = apart.get((before, piece))
+                    if fits is None:
+                        fits = self.compatible(before, piece)
+                    if fits:
+                        last[at] = piece
         tokens, at = [], len(word)
         while at:
             tokens.append(last[at])
             at -= len(last[at])
-        return tokens[::-1]
+        tokens.reverse()
+        return tokens
 
     def run(self, n: int) -> list:
         """Tokens of n spaces that no word takes: the pieces grow from the left and end at the first length that is missing."""
@@ -133,6 +146,8 @@ class Codec:
         n = len(chunk) - len(word)
         tokens, at = [], 0
         text = (SPACE + word) if n else word
+        if self.characters.issuperset(text):
+            tokens, at = self.known(text), len(text)
         while at < len(text):
             end = at
             while end < len(text) and text[end] in self.rank:
@@ -147,7 +162,7 @@ class Codec:
             tokens = tokens[1:]
         elif n:
             n -= 1
-        out = [self.one[SPACE * k] for k in self.space_run(n)]
+        out = [self.one[SPACE * k] for k in self.space_run(n)] if n else []
         for t in tokens:
             out.append(self.one[t] if t in self.one else b"".join(self.byte_one[b] for b in t.encode()))
         return b"".join(out)
@@ -157,32 +172,61 @@ class Codec:
         longest = max(self.spaces)
         return [longest] * (n // longest) + self.run(n % longest)
 
+    def both(self, chunk: str):
+        """Ids of spaces and the word after them, and the bytes that those ids decode to."""
+        ids = self.chunk(chunk)
+        return ids, self.bytes_of(ids)
+
+    def bytes_of(self, ids: bytes) -> bytes:
+        return b"".join(map(self.piece_bytes.__getitem__, np.frombuffer(ids, "<u4").tolist()))
+
+    def chunks(self, text: str) -> list:
+        """(ids, decoded bytes) of a text's chunks; short ones are remembered."""
+        words, both = self.words, self.both
+        return [words[c] if len(c) <= LONGEST else both(c) for c in CHUNK.findall(SPACE + text.replace(" ", SPACE))] if text else []
+
     def encode(self, text: str) -> bytes:
         """Ids of a whole text, little-endian 32-bit, with begin and end."""
-        out = [int(self.begin).to_bytes(4, "little")]
-        if text:
-            words = self.words
-            for chunk in CHUNK.findall(SPACE + text.replace(" ", SPACE)):
-                found = words.get(chunk)
-                if found is None:
-                    found = self.chunk(chunk)
-                    if len(words) >= self.cache_limit:
-                        words.clear()
-                    if len(chunk) <= 64:
-                        words[chunk] = found
-                out.append(found)
-        out.append(int(self.end).to_bytes(4, "little"))
-        return b"".join(out)
+        return self.framed(self.chunks(text))
+
+    def framed(self, chunks) -> bytes:
+        ends = (int(i).to_bytes(4, "little") for i in (self.begin, self.end))
+        return b"".join([ids for ids, _ in chunks]).join(ends)
+
+    def text_of(self, raw: bytes, marked: bool) -> bytes:
+        """What bytes of pieces mean: without the space of the first piece, if that has a mark, and U+FFFD for each byte that is no UTF-8."""
+        raw = raw[1:] if marked else raw
+        try:
+            raw.decode()
+        except UnicodeDecodeError:
+            return raw.decode("utf-8", "byte").encode()
+        return raw
 
     def decode(self, ids: bytes) -> str:
-        """The text of ids: the space before the first piece is taken off again."""
-        raw = b"".join(map(self.piece_bytes.__getitem__, np.frombuffer(ids, "<u4").tolist()))
-        return (raw[1:] if raw[:1] == b" " else raw).decode("utf-8", "replace")
+        """The text of ids; ids that the vocabulary does not have are left out."""
+        found = np.frombuffer(ids[:len(ids) // 4 * 4], "<u4")
+        found = [i for i in found[found < len(self.piece_bytes)].tolist() if self.piece_bytes[i]]
+        return self.text_of(b"".join(map(self.piece_bytes.__getitem__, found)), bool(found) and found[0] in self.marked).decode()
+
+    def round_trip(self, text: str):
+        """The ids of a text and, in UTF-8, the text that they decode to: each chunk's ids were decoded when they were first met."""
+        chunks = self.chunks(text)
+        return self.framed(chunks), self.text_of(b"".join([raw for _, raw in chunks]), bool(chunks))  # (the first chunk has a mark)
+
 
+def _by_byte(error):
+    """One U+FFFD for the first byte that cannot be read; reading goes on behind it."""
+    return "�", error.start + 1
 
+
+codecs.register_error("byte", _by_byte)
 CHUNK = re.compile(f"{SPACE}*[^{SPACE}]+|{SPACE}+")
 
 
+#: Characters of the longest chunk that is remembered.
+LONGEST = 64
+
+
 def _codec(sent, path):
     return of_worker(("codec", path), lambda: Codec(sent.value))
 
@@ -209,10 +253,20 @@ def decode_ids(df: DataFrame, model: str, id_col="doc_id", ids_col="ids") -> Dat
     return map_batches(df.select(df[id_col].cast("long").alias("doc_id"), df[ids_col].alias("ids")), step, "doc_id long, ids binary, text string")
 
 
+def codec_digests(df: DataFrame, model: str, id_col="doc_id", text_col="text") -> DataFrame:
+    """One row per row, in one pass: the id, the number of ids, and SHA-256 of the ids and of the text that they decode to."""
+    sent = df.sparkSession.sparkContext.broadcast(read_model(model))
+    digest = lambda raw: hashlib.sha256(raw).hexdigest()
+
+    def step(batch):
+        codec = _codec(sent, model)
+        found = [codec.round_trip(t) for t in texts_of(batch)]
+        return {"doc_id": batch.column("doc_id"), "n_tokens": [len(ids) // 4 for ids, _ in found],
+                "ids_sha256": [digest(ids) for ids, _ in found], "decoded_sha256": [digest(raw) for _, raw in found]}
+    return map_batches(id_and_text(df, id_col, text_col), step, "doc_id long, n_tokens long, ids_sha256 string, decoded_sha256 string")
+
+
 @query()
 def op8_piece_codec(spark, sf_dir):
     """Ids of all documents and what they decode to, as digests."""
-    model = public_tokenizers.path("piece_bpe_32k.model")
-    decoded = decode_ids(encode_texts(table(spark, sf_dir, "documents"), model), model)
-    return decoded.select("doc_id", (F.octet_length("ids") / 4).cast("long").alias("n_tokens"), F.sha2("ids", 256).alias("ids_sha256"),
-                          F.sha2(F.col("text").cast("binary"), 256).alias("decoded_sha256"))
+    return codec_digests(table(spark, sf_dir, "documents"), public_tokenizers.path("piece_bpe_32k.model"))

@@ -92,6 +92,34 @@ class Cache(dict):
         return found
 
 
+class Recent(dict):
+    """Remembers what was asked for lately: when it is full, what was not asked for since it was last full is forgotten."""
+
+    def __init__(self, limit, make=None):
+        super().__init__()
+        self.limit, self.before, self.make = limit, {}, make
+
+    def recall(self, key):
+        """What is known of a key that is not among the newest."""
+        found = self.before.get(key)
+        if found is not None:
+            self.learn(key, found)
+        return found
+
+    def learn(self, key, value):
+        if len(self) >= self.limit:
+            self.before = dict(self)
+            self.clear()
+        self[key] = value
+
+    def __missing__(self, key):
+        found = self.recall(key)
+        if found is None:
+            found = self.make(key)
+            self.learn(key, found)
+        return found
+
+
 def of_worker(key, make):
     """One object per key and Python worker, for as long as Spark keeps the worker."""
     if key not in _workers:

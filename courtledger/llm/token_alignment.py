@@ -31,7 +31,7 @@ from ..session import cut_lineage
 from .common import id_and_text, map_batches, registry, table, texts_of
 from .packing import _as_bytes
 from .piece_codec import BYTE, SPACE, model_bytes, parse_model, read_model
-from .pretokens import CACHE, Splitter, byte_letters, of_worker, unassigned
+from .pretokens import CACHE, Recent, Splitter, byte_letters, of_worker, unassigned
 from .token_counts import read_spec
 
 QUERIES, SQL, query = registry()
@@ -75,34 +75,6 @@ def align(a, b, length_a, length_b):
     return link_a, link_b, np.searchsorted(shared, end_a), np.searchsorted(shared, end_b)
 
 
-class Recent(dict):
-    """Remembers what was asked for lately: when it is full, what was not asked for since it was last full is forgotten."""
-
-    def __init__(self, limit, make=None):
-        super().__init__()
-        self.limit, self.before, self.make = limit, {}, make
-
-    def recall(self, key):
-        """What is known of a key that is not among the newest."""
-        found = self.before.get(key)
-        if found is not None:
-            self.learn(key, found)
-        return found
-
-    def learn(self, key, value):
-        if len(self) >= self.limit:
-            self.before = dict(self)
-            self.clear()
-        self[key] = value
-
-    def __missing__(self, key):
-        found = self.recall(key)
-        if found is None:
-            found = self.make(key)
-            self.learn(key, found)
-        return found
-
-
 class Aligner:
     """Aligns the texts of a worker's batches; remembers windows by their ids."""
 

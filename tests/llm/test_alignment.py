@@ -10,7 +10,7 @@ from tokenizers import Tokenizer
 
 from courtledger.llm import token_alignment as ta
 from courtledger.llm.piece_codec import model_bytes
-from courtledger.llm.pretokens import byte_letters
+from courtledger.llm.pretokens import Recent, byte_letters
 from courtledger.llm.token_counts import read_spec
 
 A, B = (public_tokenizers.path(n) for n in ("byte_bpe_50k.json", "piece_bpe_32k.model"))
@@ -127,7 +127,7 @@ def test_windows_are_forgotten_without_harm(real):
 
 def test_recent():
     made = []
-    recent = ta.Recent(2, lambda key: made.append(key) or key.upper())
+    recent = Recent(2, lambda key: made.append(key) or key.upper())
     for key in "abca":
         assert recent[key] == key.upper()
     assert made == ["a", "b", "c"]  # "a" was remembered anew when it was asked for

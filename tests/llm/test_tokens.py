@@ -126,3 +126,26 @@ def test_packing_is_tight():
 def test_decoding_of_null_ids(spark):
     got = piece_codec.decode_ids(spark.createDataFrame([(1, None), (2, bytearray())], "doc_id long, ids binary"), MODEL)
     assert [r.text for r in got.collect()] == ["", ""]
+
+
+def test_decoding_like_the_library():
+    """Any ids, bytes in the midst of characters among them; and one pass gives what encoding and decoding do."""
+    rng, codec, library = np.random.default_rng(8), piece_codec.Codec(piece_codec.read_model(MODEL), cache=50), sentencepiece.SentencePieceProcessor(model_file=MODEL)
+    for _ in range(2000):
+        ids = np.where(rng.random(n := rng.integers(0, 12)) < 0.5, rng.integers(0, 300, n), rng.integers(0, 32_000, n))
+        assert codec.decode(ids.astype("<u4").tobytes()) == library.decode(ids.tolist()), ids
+    assert codec.decode(np.array([1, 99_999, 2], "<u4").tobytes()) == ""
+    for text in ["", " ", "a", "  b  c ", "naïve 東京 ͸\n\n", "x" * 200 + " y", "a▁b"]:
+        ids, raw = codec.round_trip(text)
+        assert ids == codec.encode(text) == np.array([1, *library.encode(text), 2], "<u4").tobytes() and raw.decode() == codec.decode(ids) == library.decode(library.encode(text))
+
+
+@settings(max_examples=200, deadline=None)
+@given(st.lists(st.integers(1, 30), max_size=40), st.integers(2, 60))
+def test_tightest_pair_of_all_pairs(lengths, room):
+    left = np.bincount(lengths, minlength=room + 1)
+    sums = [a + b for i, a in enumerate(lengths) for b in lengths[i + 1:] if a + b <= room]
+    first, second = packing.tightest_pair(left, room)
+    assert first + second == max(sums, default=0)
+    if first:
+        assert left[first] and left[second] and (first != second or left[first] > 1)
