@@ -10,8 +10,10 @@ stand in the text, as `literal` (bound directly) or `constant` (reached through
 
 Defined cases: a null or empty text has no spans; a repeated row is scanned again and reported again; an empty table
 gives an empty table; columns other than id and text are ignored, whatever their names. Texts are read whole, in time about
-linear in their length: targets within one unquoted run share its end, a value of more than `SCORED` characters or `LITERALS`
-literals is scored by the first of them, and the literals of such values are gone through once for all names.
+linear in their length: targets within one unquoted run share its end, a value is scored
+whole, one of more than `SCORED` characters or `LITERALS` literals from what is known of its parts, and the literals of such
+values are gone through once for all names. Only names bound to each other in circles, or to several names at once, are followed
+anew for each of them.
 """
 
 import math
@@ -28,7 +30,7 @@ from .common import id_and_text, map_batches, registry, span_list, table, texts_
 QUERIES, SQL, query = registry()
 
 MIN_SCORE = 0.5
-#: A value is scored by its first characters, so many at most, and by its first literals; all of its literals are reported, whole.
+#: Characters and literals of the longest values that are put together to be scored; longer ones are scored by the counts of their parts.
 SCORED, LITERALS = 256, 16
 BASE_KINDS = ("assign", "access", "hex")
 SPAN = "array<struct<kind: string, start: int, end: int, name: string, score: double>>"
@@ -60,6 +62,8 @@ NAME_WEIGHT = {
 NAME_PAIRS = {("access", "key"): 0.9, ("api", "key"): 0.9, ("client", "secret"): 0.95, ("encryption", "key"): 0.9,
               ("private", "key"): 0.9, ("secret", "key"): 0.95, ("signing", "key"): 0.9}
 PLACEHOLDERS = {"changeme", "dummy", "example", "false", "none", "null", "placeholder", "redacted", "test", "todo", "true", "undefined", "xxx", "your"}
+#: These count wherever they stand in a value; the others, only as the whole of it.
+LONG_PLACEHOLDERS = [p for p in sorted(PLACEHOLDERS) if len(p) > 4]
 
 
 def name_score(name: str) -> float:
@@ -73,20 +77,50 @@ def name_score(name: str) -> float:
 
 def literal_score(value: str) -> float:
     """Of 0 to 1: long, mixed and evenly spread characters look like a generated value."""
-    low = value.lower()
-    if len(value) < 6 or any(low == p or (len(p) > 4 and p in low) for p in PLACEHOLDERS) or len(set(low)) < 4 or value[0] in "<{%$" and value[-1] in ">}%":
-        return 0.0
-    n = len(value)
-    entropy = -sum(c / n * math.log2(c / n) for c in Counter(value).values())
-    classes = sum(any(map(f, set(value))) for f in (str.islower, str.isupper, str.isdigit, lambda c: not c.isalnum()))
-    return min(1.0, 0.35 + 0.12 * classes + 0.1 * max(0.0, entropy - 2) - (0.4 if " " in value else 0))
+    return Value.of(value).score()
 
 
-def value_score(name: str, value: str) -> float:
-    """The score of a literal for a name; a `pin` is a few digits, which look like nothing by themselves."""
-    if PIN.fullmatch(value) and "pin" in (p.lower() for p in PARTS.findall(name)):
-        return 1.0 if len(set(value)) > 1 else 0.0
-    return literal_score(value)
+class Value:
+    """What the score of a value needs: its length, how often each character occurs, its beginning and end, and whether it has a placeholder."""
+
+    __slots__ = ("n", "counts", "head", "tail", "placeholder")
+    #: Characters of the beginning and the end: more than the longest placeholder has.
+    EDGE = 16
+
+    def __init__(self, n, counts, head, tail, placeholder):
+        self.n, self.counts, self.head, self.tail, self.placeholder = n, counts, head, tail, placeholder
+
+    @classmethod
+    def of(cls, value: str):
+        low = value.lower()
+        return cls(len(value), Counter(value), value[:cls.EDGE], value[-cls.EDGE:], any(p in low for p in LONG_PLACEHOLDERS))
+
+    def __add__(self, other):
+        """The value with another one behind it."""
+        if not self.n or not other.n:
+            return self if self.n else other
+        counts = self.counts.copy()
+        counts.update(other.counts)
+        low = (self.tail + other.head).lower()
+        placeholder = self.placeholder or other.placeholder or any(p in low for p in LONG_PLACEHOLDERS)
+        return Value(self.n + other.n, counts, (self.head + other.head)[:self.EDGE], (self.tail + other.tail)[-self.EDGE:], placeholder)
+
+    def score(self) -> float:
+        n, chars = self.n, self.counts.keys()
+        if n < 6 or self.placeholder or n <= self.EDGE and self.head.lower() in PLACEHOLDERS:
+            return 0.0
+        if len(set("".join(chars).lower())) < 4 or self.head[0] in "<{%$" and self.tail[-1] in ">}%":
+            return 0.0
+        entropy = -sum(c / n * math.log2(c / n) for c in self.counts.values())
+        classes = sum(any(map(f, chars)) for f in (str.islower, str.isupper, str.isdigit, lambda c: not c.isalnum()))
+        return min(1.0, 0.35 + 0.12 * classes + 0.1 * max(0.0, entropy - 2) - (0.4 if " " in chars else 0))
+
+
+def value_score(name: str, value: Value) -> float:
+    """The score of a value for a name; a `pin` is a few digits, which look like nothing by themselves."""
+    if value.n <= value.EDGE and PIN.fullmatch(value.head) and "pin" in (p.lower() for p in PARTS.findall(name)):
+        return 1.0 if len(value.counts) > 1 else 0.0
+    return value.score()
 
 
 def base_spans(text: str) -> list:
@@ -187,7 +221,7 @@ def lexed_spans(text: str, min_score: float = MIN_SCORE) -> list:
     """Literals that a sensitive name is bound to; each place once, with its best score."""
     if "=" not in text and ":" not in text:
         return []
-    best, bound, found, large = {}, {}, list(pairs(text)), []
+    best, bound, found, large, whole = {}, {}, list(pairs(text)), [], None
     for at, (name, _) in enumerate(found):
         bound.setdefault(name, []).append(at)
 
@@ -203,7 +237,11 @@ def lexed_spans(text: str, min_score: float = MIN_SCORE) -> list:
         done = set()
         some = list(islice(reached(text, found, bound, at, done, LITERALS + 1), LITERALS + 1))
         places, through = dict.fromkeys((start, end) for start, end, _ in some[:LITERALS]), any(t for _, _, t in some)
-        value = beginning(text, places)
+        if len(some) <= LITERALS and len(done) <= LITERALS and sum(end - start for start, end in places) <= SCORED:
+            value = Value.of("".join([text[start:end] for start, end in places]))
+        else:
+            whole = whole or Wholes(text, found, bound)
+            value = whole.of(at)
         if (score := round(weight * value_score(name, value), 4)) >= min_score:
             if len(some) > LITERALS or len(done) > LITERALS:
                 large.append((-score, at, name))
@@ -218,14 +256,98 @@ def lexed_spans(text: str, min_score: float = MIN_SCORE) -> list:
     return [(kind, start, end, name, score) for (start, end), (kind, name, score) in sorted(best.items())]
 
 
-def beginning(text, places) -> str:
-    """The first characters of the literals one after the other: those that a score is made of."""
-    value = ""
-    for start, end in places:
-        value += text[start:min(end, start + SCORED - len(value))]
-        if len(value) >= SCORED:
-            break
-    return value
+class Parts:
+    """Values of any parts of a text, from counts of its characters up to every `step`-th place."""
+
+    def __init__(self, text):
+        self.text, codes = text, np.frombuffer(text.encode("utf-32-le"), "<u4")
+        chars, self.codes = np.unique(codes, return_inverse=True)
+        self.chars, size = np.array(list(map(chr, chars.tolist())), object), len(chars)
+        self.step = max(1024, len(text) * size // 2_000_000)
+        blocks = np.arange(len(text)) // self.step
+        counts = np.bincount(blocks * size + self.codes, minlength=(len(text) // self.step + 1) * size).reshape(-1, size)
+        self.before = np.concatenate([np.zeros((1, size), np.int64), np.cumsum(counts, axis=0)])
+        low = text.translate(ASCII_LOWER)
+        self.starts = {p: [m.start() for m in re.finditer(p, low)] for p in LONG_PLACEHOLDERS if p in low}
+
+    def up_to(self, at):
+        block = at // self.step
+        return self.before[block] + np.bincount(self.codes[block * self.step:at], minlength=len(self.chars))
+
+    def value(self, start, end) -> Value:
+        if end - start <= SCORED:
+            return Value.of(self.text[start:end])
+        counts = self.up_to(end) - self.up_to(start)
+        there = np.flatnonzero(counts)
+        inside = lambda p, starts: (i := bisect_left(starts, start)) < len(starts) and starts[i] + len(p) <= end
+        edge = Value.EDGE
+        return Value(end - start, Counter(dict(zip(self.chars[there].tolist(), counts[there].tolist()))), self.text[start:start + edge],
+                     self.text[end - edge:end], any(inside(p, starts) for p, starts in self.starts.items()))
+
+
+#: Lower-casing that keeps every place: all characters that become ASCII letters.
+ASCII_LOWER = {c: chr(c).lower() for c in (*range(ord("A"), ord("Z") + 1), 0x212A)}
+
+
+class Wholes:
+    """The whole values of pairs, whatever their number of literals: a value that is bound to one other name is made of that name's value."""
+
+    def __init__(self, text, found, bound):
+        self.text, self.found, self.bound, self.parts, self.known = text, found, bound, Parts(text), {}
+        # A place that several terms share counts once in a value: then all values are gone through.
+        places = [term[:2] for _, terms in found for term in terms]
+        self.apart = len(places) == len(set(places))
+
+    def terms(self, at):
+        """(the pair that a term stands for, its place or None if it is no literal) for each term."""
+        for start, end, bare in self.found[at][1]:
+            to = binding(self.bound, self.text, start, end, at) if bare else None
+            yield to, None if to is not None or bare and is_expression(self.text, start, end) else (start, end)
+
+    def follow(self, at):
+        """The value of a pair by going through all that it reaches, and the pairs on the way."""
+        done = set()
+        places = dict.fromkeys((start, end) for start, end, _ in reached(self.text, self.found, self.bound, at, done))
+        value = Value.of("".join([self.text[start:end] for start, end in places if end - start <= SCORED]))
+        if any(end - start > SCORED for start, end in places):
+            value = Value.of("")
+            for start, end in places:
+                value = value + self.parts.value(start, end)
+        return value, done
+
+    def of(self, first) -> Value:
+        path, at = {}, first
+        while at not in self.known:
+            if at in path:
+                for within in list(path)[list(path).index(at):]:
+                    self.known[within] = self.follow(within)
+                break
+            terms = list(self.terms(at))
+            names = {to for to, _ in terms if to is not None}
+            if len(names) > 1 or not self.apart:
+                self.known[at] = self.follow(at)
+                break
+            path[at] = terms
+            if not names:
+                break
+            at = names.pop()
+        for at, terms in reversed(path.items()):
+            if at in self.known:
+                continue
+            name = next((to for to, _ in terms if to is not None), None)
+            of_name, reach = self.known[name] if name is not None else (None, ())
+            # What the name is bound to may lead back to this pair: then it is part of a circle, and ends where it began.
+            if at in reach:
+                self.known[at] = self.follow(at)
+                continue
+            value = Value.of("")
+            for to, place in terms:
+                if place:
+                    value = value + self.parts.value(*place)
+                elif to is not None and of_name:
+                    value, of_name = value + of_name, None  # a second time, it is there already
+            self.known[at] = value, reach
+        return self.known[first][0]
 
 
 def find_secrets(df: DataFrame, id_col="doc_id", text_col="text", min_score=MIN_SCORE) -> DataFrame:

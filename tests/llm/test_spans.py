@@ -1,6 +1,7 @@
 """Secrets and personal data against plain patterns, and what the methods add."""
 
 import hashlib
+import random
 import re
 import time
 
@@ -180,3 +181,34 @@ def test_every_literal_of_a_large_value():
     lines = "".join(f'x{k} = {f"x{k + 1} + " * (k < 199)}"{p}"\n' for k, p in enumerate(parts))
     assert added(lines + "password = x0\ntoken = x100") == [("constant", p) for p in parts]
     assert added('a = b + "Zk3Lm9Qx"\nb = a + "7Tv1Bw5R"\npassword = a') == [("constant", "Zk3Lm9Qx"), ("constant", "7Tv1Bw5R")]
+
+
+def test_large_values_are_scored_whole():
+    """What makes a value look like a secret may come after many literals, characters or names."""
+    plain = ["ab"] * 16 + ["Zk3Lm9Qx7Tv1Bw5R"]
+    assert added("secret = " + " + ".join(f'"{p}"' for p in plain)) == [("literal", p) for p in plain]
+    long = "a" * 300 + "Zk3Lm9Qx7Tv1Bw5R" * 40
+    assert added(f'secret = "{long}"') == [("literal", long)]
+    chain = "".join(f"x{k} = x{k + 1}\n" for k in range(40))
+    assert added(chain + 'x40 = "Zk3Lm9Qx7Tv1Bw5R"\nsecret = x0') == [("constant", "Zk3Lm9Qx7Tv1Bw5R")]
+    # A placeholder over the border of two literals, or far behind, makes it none.
+    assert added("secret = " + " + ".join(f'"{p}"' for p in [*plain, "Zk3Lm9Qx7exam", "ple5"])) == []
+    assert added(f'secret = "{"Zk3Lm9Qx7Tv1Bw5R" * 40}changeme"') == []
+    # Circles, and names bound to several ones: each value is scored as if it were put together.
+    rnd = random.Random(11)
+    for _ in range(300):
+        names, lines = ["secret", "x", "y", "api_key"], []
+        for _ in range(rnd.randint(2, 30)):
+            terms = [rnd.choice([rnd.choice(names), '"' + "".join(rnd.choices("aB3x9Zq_", k=rnd.randint(0, 9))) + '"']) for _ in range(rnd.randint(1, 4))]
+            lines.append(rnd.choice(names) + " = " + " + ".join(terms))
+        text = "\n".join(lines)
+        found, bound, want = list(secret_scan.pairs(text)), {}, {}
+        for at, (name, _) in enumerate(found):
+            bound.setdefault(name, []).append(at)
+        for at, (name, _) in enumerate(found):
+            places = list(dict.fromkeys(p[:2] for p in secret_scan.reached(text, found, bound, at, set())))
+            score = round(secret_scan.name_score(name) * secret_scan.literal_score("".join(text[a:b] for a, b in places)), 4)
+            for a, b in places:
+                if b > a and score >= secret_scan.MIN_SCORE:
+                    want[a, b] = max(score, want.get((a, b), 0))
+        assert {s[1:3]: s[4] for s in secret_scan.lexed_spans(text)} == want
