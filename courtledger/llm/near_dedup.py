@@ -9,8 +9,8 @@ threshold by more than six standard deviations; the others are confirmed on full
 link rests on a sketch.
 
 A band bucket of k vertices is never expanded into k*k pairs. First each vertex is compared with one vertex, the least of
-the leaders of its buckets; then with those of its buckets' leaders that are still in another component; then vertices of the same bucket
-that are still in different components are compared with each other, in blocks of bounded size, and a pair leaves the comparison
+the leaders of its buckets; then with those of its buckets' leaders that are still in another component; then, while many pairs of buckets are
+left, with a few leaders drawn by a hash; then vertices of the same bucket that are still in different components are compared with each other, in blocks of bounded size, and a pair leaves the comparison
 only if its sketches are close. After each round, links are between components found so far, not between vertices. So a
 group of copies costs about as many pairs as it has members, and no link between components is lost.
 
@@ -40,6 +40,8 @@ SAMPLES = BANDS * ROWS
 LEAST_ESTIMATE = 0.55
 #: Vertices of a bucket that are compared with each other at once.
 BLOCK = 1024
+#: Rounds of drawn leaders at most, leaders that a vertex meets in one, and pairs to a row that need no round.
+ROUNDS, DRAWN, EASY = 4, 3, 4
 #: Words whose hash a worker remembers.
 CACHE = 400_000
 #: Tasks over which the nodes of one component are dealt.
@@ -251,13 +253,49 @@ def with_sketches(pairs: DataFrame, vertices: DataFrame, percent: int) -> DataFr
     return pairs.join(side("a"), "a").join(side("b"), "b").where(may_be_linked(of("a"), of("b"), percent)).select("a", "b")
 
 
-def open_pairs(buckets: DataFrame, linked: DataFrame, vertices: DataFrame, percent: int) -> DataFrame:
-    """Pairs of a bucket that are in different components and were not compared yet, if their sketches do not rule a link out."""
+def open_buckets(buckets: DataFrame, linked: DataFrame):
+    """band, node, leader, component, n of buckets whose vertices are in different components (stored); and of these buckets the rows, the
+    pairs of vertices in different components, and the components, each summed up."""
     # In a bucket of two, the one pair has been compared with its leader.
-    rows = buckets.where("n > 2").join(own_shuffle(linked), "node", "left").withColumn("component", F.coalesce("component", "node"))
+    rows = buckets.where("n > 2").drop("n").join(own_shuffle(linked), "node", "left").withColumn("component", F.coalesce("component", "node"))
     rows = cut_lineage(rows)
-    still_open = rows.groupBy("band").agg(F.min("component").alias("low"), F.max("component").alias("high"), F.count(F.lit(1)).alias("n")).where("low <> high")
-    rows = rows.drop("n").join(own_shuffle(still_open.select("band", "n")), "band").where("node <> leader")
+    sizes = rows.groupBy("band", "component").agg(F.count(F.lit(1)).alias("size")).groupBy("band").agg(
+        F.sum("size").alias("n"), F.sum(F.col("size").cast("double") * F.col("size")).alias("within"), F.count(F.lit(1)).alias("components"))
+    still_open = cut_lineage(sizes.where("components > 1"))
+    sums = still_open.agg(F.sum("n"), F.sum((F.col("n").cast("double") * F.col("n") - F.col("within")) / 2), F.sum("components")).first()
+    return cut_lineage(rows.join(own_shuffle(still_open.select("band", "n")), "band")), *[x or 0 for x in sums]
+
+
+def drawn_leader_links(buckets: DataFrame, linked: DataFrame, confirm):
+    """node, component after comparisons with leaders drawn by a hash, and the buckets that are still open.
+
+    The smallest vertex leads nearly all buckets of a large group; a drawn one differs from band to band and from round to round. Each vertex
+    meets `DRAWN` of its buckets' leaders in a round, so a round's pairs grow with the vertices. There are rounds for as long as the pairs in
+    different components far outnumber the rows and a round merges components; what is left is for `open_pairs`.
+    """
+    rows, n_rows, n_pairs, n_components = open_buckets(buckets, linked)
+    for turn in range(ROUNDS):
+        if n_pairs <= EASY * n_rows:
+            break
+        heads = rows.groupBy("band").agg(F.min_by(F.struct("node", "component"), F.xxhash64("node", "band", F.lit(turn))).alias("head"))
+        met = rows.join(own_shuffle(heads), "band").where("component <> head.component").select("node", F.col("head.node").alias("head"))
+        # At most BANDS leaders to a vertex.
+        drawn = met.groupBy("node").agg(F.collect_set(F.struct(F.xxhash64("head", "node", F.lit(turn)).alias("by"), "head")).alias("heads"))
+        pairs = drawn.select("node", F.explode(F.slice(F.array_sort("heads"), 1, DRAWN)["head"]).alias("head"))
+        more = merged(linked, confirm(cut_lineage(pairs.select(F.least("node", "head").alias("a"), F.greatest("node", "head").alias("b")).distinct())))
+        if more is linked:
+            break
+        linked, before = more, n_components
+        rows, n_rows, n_pairs, n_components = open_buckets(buckets, linked)
+        if n_components > 0.9 * before:
+            break
+    return linked, rows
+
+
+def open_pairs(buckets: DataFrame, linked: DataFrame, vertices: DataFrame, percent: int, rows: DataFrame | None = None) -> DataFrame:
+    """Pairs of a bucket that are in different components and were not compared with its leader, if their sketches do not rule a link out.
+    `rows` are the open buckets, if they are at hand."""
+    rows = (open_buckets(buckets, linked)[0] if rows is None else rows).where("node <> leader")
     rows = rows.join(vertices.select(F.col("doc_id").alias("node"), F.struct(*SKETCHES).alias("of")), "node")
     blocks = F.ceil(F.col("n") / BLOCK).cast("int")
     own = F.pmod(F.xxhash64("node"), blocks).cast("int")
@@ -285,7 +323,8 @@ def near_groups(df: DataFrame, n_words=5, percent=80, id_col="doc_id", text_col=
     buckets = cut_lineage(bucketed(vertices))
     confirm = lambda pairs: cut_lineage(confirmed(cut_lineage(with_sketches(pairs, vertices, percent)), texts, n_words, percent))
     linked = leader_links(buckets, vertices, confirm)
-    others = cut_lineage(open_pairs(buckets, linked, vertices, percent))
+    linked, still_open = drawn_leader_links(buckets, linked, confirm)
+    others = cut_lineage(open_pairs(buckets, linked, vertices, percent, still_open))
     if not others.isEmpty():
         linked = merged(linked, cut_lineage(confirmed(others, texts, n_words, percent)))
     # Ids that several classes share tie those together.

@@ -138,6 +138,23 @@ def test_open_pairs_of_a_large_bucket(spark, monkeypatch):
     assert sorted(got) == [(a, b) for a in range(1, 10) for b in range(10, 20)]
 
 
+def test_drawn_leaders(spark, monkeypatch):
+    """A large bucket whose smallest vertex links few: other leaders tie most of it together before pairs are made, and no link is lost."""
+    n, band = 120, list(range(30))
+    vertices = spark.createDataFrame([(i, 9, [0] * (near_dedup.BITS // 64), [0] * (near_dedup.SET_BITS // 64)) for i in range(n)],
+                                     "doc_id long, n_shingles long, sketch array<long>, parities array<long>")
+    buckets = spark.createDataFrame([(i, b, 0, n) for i in range(n) for b in band], "node long, band long, leader long, n long")
+    alone = spark.createDataFrame([(i, i) for i in range(n)], "node long, component long")
+    # Vertices are linked if their numbers are less than half of all apart: the smallest one is linked with the lower half only.
+    confirm = lambda pairs: pairs.where(f"b - a < {n // 2}")
+    linked, rows = near_dedup.drawn_leader_links(buckets, alone, confirm)
+    left = near_dedup.open_pairs(buckets, linked, vertices, 80, rows).count()
+    assert left < near_dedup.open_pairs(buckets, alone, vertices, 80).count() / 4
+    assert {r.component for r in near_dedup.merged(linked, confirm(near_dedup.open_pairs(buckets, linked, vertices, 80, rows))).collect()} == {0}
+    monkeypatch.setattr(near_dedup, "EASY", 1 << 40)
+    assert near_dedup.drawn_leader_links(buckets, alone, confirm)[0] is alone
+
+
 def test_components(spark):
     links = [(i, i + 1) for i in range(0, 40)] + [(100, k) for k in range(101, 140)] + [(139, 50), (50, 51)]
     got = {r.node: r.component for r in near_dedup.components(spark.createDataFrame(links, "a long, b long")).collect()}
