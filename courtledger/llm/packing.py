@@ -11,6 +11,7 @@ Defined cases: a null or empty text is one piece with the end id alone; repeated
 an empty table gives an empty table; other columns are ignored. Ties are broken by document, then piece.
 """
 
+import re
 import struct
 import zlib
 from math import ceil
@@ -21,26 +22,39 @@ import public_tokenizers
 from pyspark.sql import DataFrame, functions as F
 
 from .common import id_and_text, map_batches, registry, table, texts_of
-from .pretokens import CACHE, Cache, Splitter, of_worker, unassigned
+from .pretokens import CACHE, Cache, Recent, Splitter, of_worker, unassigned
 from .token_counts import read_spec
 
 QUERIES, SQL, query = registry()
 
 SEQUENCE, END_ID, GROUP = 2048, 0, 16_384
+#: Words that a worker remembers (or twice as many, see Recent).
+WORDS = 500_000
+SEPARATORS = re.compile("[\x1c-\x1f]")
 
 
 def _as_bytes(ids) -> bytes:
     return struct.pack(f"<{len(ids)}I", *ids)
 
 
-def text_ids(text: str, splitter: Splitter, encoded: Cache) -> bytes:
-    """The ids of a whole text, little-endian 32-bit, exactly those of the library."""
+def words_of(splitter: Splitter, encoded: Cache, limit=WORDS) -> Recent:
+    """Ids of what stands between two spaces in a normalised text, from those of its pieces."""
+    return Recent(limit, lambda word: b"".join([encoded[piece] for piece in splitter.find(word)]))
+
+
+def text_ids(text: str, splitter: Splitter, encoded: Cache, words: Recent | None = None) -> bytes:
+    """The ids of a whole text, little-endian 32-bit, exactly those of the library. With `words`, each word between white space is looked up
+    as one if the tokenizer drops white space: then no piece holds any, and a word's pieces do not depend on what is around it."""
     if unassigned(text):
         return _as_bytes(splitter.encode(text))
     out = []
     for part in splitter.parts(text):
         if part in splitter.special:
             out.append(_as_bytes([splitter.special[part]]))
+        elif words is not None and splitter.drops_space:
+            part = splitter.normalised(part)
+            # Python takes four control characters for white space, too.
+            out.extend(map(words.__getitem__, part.split(" ") if SEPARATORS.search(part) else part.split()))
         else:
             out.extend(map(encoded.__getitem__, splitter.pieces(part)))
     return b"".join(out)
@@ -52,13 +66,14 @@ def token_pieces(df: DataFrame, tokenizer: str, length=SEQUENCE, end_id=END_ID,
 
     def worker():
         splitter = Splitter(sent.value)
-        return splitter, Cache(splitter, _as_bytes, (), CACHE)
+        encoded = Cache(splitter, _as_bytes, (), CACHE)
+        return splitter, encoded, words_of(splitter, encoded)
 
     def step(batch):
-        splitter, encoded = of_worker(("ids", tokenizer), worker)
+        splitter, encoded, words = of_worker(("ids", tokenizer), worker)
         out = {k: [] for k in ("doc_id", "piece", "start", "length", "ids_crc32", *(["ids"] if with_ids else []))}
         for doc_id, text in zip(batch.column("doc_id").to_pylist(), texts_of(batch)):
-            ids = text_ids(text, splitter, encoded) + _as_bytes([end_id])
+            ids = text_ids(text, splitter, encoded, words) + _as_bytes([end_id])
             for piece, at in enumerate(range(0, len(ids), 4 * length)):
                 cut = ids[at:at + 4 * length]
                 for k, v in (("doc_id", doc_id), ("piece", piece), ("start", at // 4), ("length", len(cut) // 4), ("ids_crc32", zlib.crc32(cut))):

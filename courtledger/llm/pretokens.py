@@ -55,21 +55,31 @@ class Splitter:
             raise ValueError(f"pre-tokenizer {split['type']} is not supported")
         self.find = regex.compile(pattern.replace(r"[^\s\p{L}\p{N}]", r"[^\p{White_Space}\p{L}\p{N}]").replace(r"\s", r"\p{White_Space}")
                                   .replace(r"\S", r"\P{White_Space}")).findall
+        #: Whether the pattern is the library's own, by which a space before a word begins a piece.
+        self.leads_space = split["type"] == "ByteLevel"
+        #: Whether white space stands between pieces and in none of them.
+        self.drops_space = split["type"] == "Sequence" and not any(map(str.isspace, "".join(self.find(" a 1\t.\n'\xa0b  "))))
 
     def parts(self, text: str):
         """The text between special strings, each special string alone."""
         return self.cut.split(text) if self.cut and "<|" in text else (text,)
 
-    def pieces(self, part: str):
+    def normalised(self, part: str) -> str:
         if self.lower:
             if not part.isascii():
                 part = unicodedata.normalize("NFC", part).replace("Σ", "σ")
             part = part.lower()
-        return self.find(part)
+        return part
+
+    def pieces(self, part: str):
+        return self.find(self.normalised(part))
 
     def encode_piece(self, piece: str):
         """Ids of one piece, straight from the merges: neither special strings nor the normaliser can touch it any more."""
-        letters = piece.encode().decode("latin-1").translate(self.letters)
+        if piece.isascii() and piece.isprintable():  # of these bytes only the space has another letter than itself
+            letters = piece.replace(" ", self.letters[0x20])
+        else:
+            letters = piece.encode().decode("latin-1").translate(self.letters)
         return [t.id for t in self.merges.tokenize(letters)]
 
     def encode(self, text: str):

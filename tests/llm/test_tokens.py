@@ -149,3 +149,17 @@ def test_tightest_pair_of_all_pairs(lengths, room):
     assert first + second == max(sums, default=0)
     if first:
         assert left[first] and left[second] and (first != second or left[first] > 1)
+
+
+def test_words_between_white_space(monkeypatch):
+    """Words are remembered as a whole: far fewer look-ups than pieces, and the library's ids whatever white space there is."""
+    name = public_tokenizers.path("word_bpe_49k.json")
+    splitter = Splitter(token_counts.read_spec(name))
+    encoded = Cache(splitter, packing._as_bytes)
+    words = packing.words_of(splitter, encoded, 8)
+    for text in ["", " ", "it's e-mail, (twice) it's", "a\x1cb \x1f c\x85d\xa0e\u2028f", "\tA  \n B\r\n", "é\u0301 ΑΣ Σ <|endoftext|> x<|endoftext|>", "\u200b中文9 9.5"]:
+        assert packing.text_ids(text, splitter, encoded, words) == packing._as_bytes(splitter.encode(text))
+    monkeypatch.setattr(splitter, "find", None)  # known words are not split again
+    known = packing.words_of(splitter, encoded)
+    known.learn("e-mail,", b"1234")
+    assert packing.text_ids(" e-mail, e-mail,", splitter, encoded, known) == b"12341234"
