@@ -55,8 +55,6 @@ class Splitter:
             raise ValueError(f"pre-tokenizer {split['type']} is not supported")
         self.find = regex.compile(pattern.replace(r"[^\s\p{L}\p{N}]", r"[^\p{White_Space}\p{L}\p{N}]").replace(r"\s", r"\p{White_Space}")
                                   .replace(r"\S", r"\P{White_Space}")).findall
-        #: Whether the pattern is the library's own, by which a space before a word begins a piece.
-        self.leads_space = split["type"] == "ByteLevel"
         #: Whether white space stands between pieces and in none of them.
         self.drops_space = split["type"] == "Sequence" and not any(map(str.isspace, "".join(self.find(" a 1\t.\n'\xa0b  "))))
 

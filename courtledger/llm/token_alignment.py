@@ -38,8 +38,6 @@ QUERIES, SQL, query = registry()
 
 #: Windows that a worker remembers (or twice as many, see Recent), and the tokens of the longest of them.
 WINDOWS, LONGEST = 400_000, 64
-#: Pieces of A that a worker remembers, beside words: CACHE of both.
-PIECES = 50_000
 #: Stands between the ids of both sides; no id.
 MARK = (1 << 32) - 1
 #: Pairs of ids whose corpus-wide counts go to every task.
@@ -84,8 +82,7 @@ class Aligner:
         self.splitter, model = Splitter(spec), parse_model(model_file)
         self.whole = Splitter(spec).tokenizer
         self.whole.encode_special_tokens = True
-        self.ids_of_piece = Recent(PIECES, lambda piece: self.spelling(piece, self.splitter.encode_piece(piece)))
-        self.ids_of_word = Recent(CACHE - PIECES, self.spelt_word)
+        self.ids_of_piece = Recent(CACHE, lambda piece: self.spelling(piece, self.splitter.encode_piece(piece)))
         self.pieces = sentencepiece.SentencePieceProcessor(model_proto=model_file)
         self.of_a, self.of_b = bytes_of_a(self.splitter), bytes_of_b(model)
         self.length_a, self.length_b = (np.array([len(t) for t in of], np.int64) for of in (self.of_a, self.of_b))
@@ -98,24 +95,12 @@ class Aligner:
         """The ids of A if they spell the text, else none."""
         return _as_bytes(ids) if b"".join(map(self.of_a.__getitem__, ids)) == text.encode() else b""
 
-    def spelt_word(self, word: str):
-        """Ids of a space and what stands up to the next one; None if white space may be joined over that next space. Other pieces end before
-        a space, and begin anew with it."""
-        if not word or word[-1].isspace():
-            return None
-        return b"".join([self.ids_of_piece[piece] for piece in self.splitter.pieces(" " + word)])
-
     def ids_a(self, text: str) -> bytes:
         """Ids of a space and the text; special strings in it are plain text. As each piece is spelt by its ids, all of them spell the text if
         they have as many bytes."""
         text = " " + text
         if unassigned(text):
             return self.spelling(text, self.whole.encode(text, add_special_tokens=False).ids)
-        if self.splitter.leads_space:
-            words = text[1:].split(" ")
-            found = list(map(self.ids_of_word.__getitem__, words))
-            if None not in found:
-                return b"".join(found)
         return b"".join(map(self.ids_of_piece.__getitem__, self.splitter.pieces(text)))
 
     def cuts(self, a, b, starts_a, starts_b):
@@ -161,17 +146,18 @@ class Aligner:
 
     def windows(self, a, b, cuts_a, cuts_b) -> list:
         """The aligned windows of some texts. A window's key are its ids of A, a mark and its ids of B."""
-        known, new = self.known, {}
+        known, found, new = self.known, [], {}
+        get = known.get
         sizes_a, sizes_b = np.diff(np.append(cuts_a, len(a))), np.diff(np.append(cuts_b, len(b)))
         numbers = np.arange(len(cuts_a))
         both = np.full(len(a) + len(b) + len(numbers), MARK, "<u4")
         both[np.arange(len(a)) + np.repeat(numbers + cuts_b, sizes_a)] = a
         both[np.arange(len(b)) + np.repeat(numbers + 1 + cuts_a + sizes_a, sizes_b)] = b
         both, ends = both.tobytes(), (4 * np.cumsum(sizes_a + sizes_b + 1)).tolist()
-        keys = [both[i:j] for i, j in zip([0, *ends], ends)]
-        found = list(map(known.get, keys))
-        for k in [k for k, window in enumerate(found) if window is None]:
-            found[k] = known.recall(keys[k]) or new.setdefault(keys[k], k)
+        for k, (i, j) in enumerate(zip([0, *ends], ends)):
+            key = both[i:j]
+            found.append(get(key) or known.recall(key) or new.setdefault(key, k))
+        # (A window's number may be 0: then it is new, too.)
         if new:
             at = np.fromiter(new.values(), np.int64, len(new))
             chosen = lambda cuts, sizes: np.repeat(cuts[at] - np.concatenate([[0], np.cumsum(sizes[at])[:-1]]), sizes[at]) + np.arange(sizes[at].sum())
