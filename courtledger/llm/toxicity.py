@@ -5,7 +5,8 @@ the share of positives among labelled rows is the class prior. A linear model is
 positives would add as negatives is taken off the unlabelled risk, and where that difference falls below zero the step
 goes the other way, so that it cannot be fitted away (Kiryo et al. 2017). Inputs are words and the beginnings of words,
 hashed; their counts are divided by the square root of the text's length. Features that are in few positives are
-dropped. Training uses at most `SAMPLE` labelled rows, taken by a hash of their id; the model is a table of fixed size.
+dropped. Training uses at most `SAMPLE` labelled rows, taken by a hash of their id, which reach the driver packed; the model
+is a table of fixed size.
 
 Defined cases: a null or empty text has the score of no features; repeated rows are each scored, and repeated labels
 count once, toxic if one of them says so; null labels are no labels; without positives every score is 0; an empty
@@ -64,6 +65,30 @@ def counted(text: str, cache: dict):
     return ids[order], np.minimum(counts, 65_535).astype(np.uint16), total
 
 
+def packed(ids, counts) -> bytes:
+    """Sorted ids with their counts in about a quarter of their bytes."""
+    return zlib.compress(np.diff(ids, prepend=np.uint32(0)).tobytes() + counts.tobytes(), 1)
+
+
+def unpacked(found):
+    raw = zlib.decompress(found)
+    n = len(raw) // 6
+    return np.cumsum(np.frombuffer(raw, np.uint32, n), dtype=np.uint32), np.frombuffer(raw, np.uint16, n, 4 * n)
+
+
+class PackedRows:
+    """Rows of (ids, counts, words) that are unpacked one at a time, as they are asked for."""
+
+    def __init__(self, found, totals):
+        self.found, self.totals = found, totals
+
+    def __len__(self):
+        return len(self.found)
+
+    def __getitem__(self, i):
+        return *unpacked(self.found[i]), self.totals[i]
+
+
 def held_out(id_column):
     return F.pmod(F.crc32(id_column.cast("string").cast("binary")), F.lit(HOLD_OUT)) == 0
 
@@ -77,7 +102,9 @@ class Rows:
 
     def __init__(self, rows, used):
         self.ends = np.concatenate([[0], np.cumsum([int(used[ids].sum()) for ids, _, _ in rows])]).astype(np.int64)
-        self.ids, self.values = np.empty(self.ends[-1], np.int32), np.empty(self.ends[-1], np.float32)
+        # One block: the system gets a large one back as a whole, while parts of it stay with the process.
+        block = np.empty((2, self.ends[-1]), np.int32)
+        self.ids, self.values = block[0], block[1].view(np.float32)
         for i, (ids, counts, n) in enumerate(rows):
             kept, place = used[ids], slice(self.ends[i], self.ends[i + 1])
             self.ids[place] = ids[kept]
@@ -107,7 +134,7 @@ def train(rows, positive, seed=0):
         return weights.astype(np.float32), 60.0 if n_positive else -np.inf
     prior = n_positive / len(rows)
     least = int(np.clip(0.006 * n_positive, 2, 8))
-    support = np.bincount(np.concatenate([ids for (ids, _, _), p in zip(rows, positive) if p]).astype(np.int64), minlength=width)
+    support = np.bincount(np.concatenate([rows[i][0] for i in np.flatnonzero(positive)]).astype(np.int64), minlength=width)
     used = support >= least
     data = Rows(rows, used)
     rng, bias = np.random.default_rng(seed), float(np.log(prior / (1 - prior)))
@@ -165,20 +192,18 @@ def fit(docs: DataFrame, labels: DataFrame, id_col="doc_id", text_col="text", la
     rows = id_and_text(docs, id_col, text_col).join(F.broadcast(chosen), "doc_id")
 
     def step(batch):
-        cache, out = {}, {k: [] for k in ("doc_id", "label", "ids", "counts", "n")}
+        cache, out = {}, {k: [] for k in ("doc_id", "label", "first", "found", "n")}
         for doc_id, label, text in zip(batch.column("doc_id").to_pylist(), batch.column("label").to_pylist(), texts_of(batch)):
             ids, counts, n = counted(text, cache)
-            for k, v in (("doc_id", doc_id), ("label", label), ("ids", ids.tobytes()), ("counts", counts.tobytes()), ("n", n)):
+            for k, v in (("doc_id", doc_id), ("label", label), ("first", ids[:16].tobytes()), ("found", packed(ids, counts)), ("n", n)):
                 out[k].append(v)
         return out
-    found = map_batches(rows, step, "doc_id long, label int, ids binary, counts binary, n long").toArrow()
-    doc_ids, labelled, totals = (found.column(c).to_pylist() for c in ("doc_id", "label", "n"))
-    # Views of the collected bytes: a sample is held once here, and once more as the rows that are trained on.
-    view = lambda name, kind: [np.frombuffer(v.as_buffer(), kind) for chunk in found.column(name).chunks for v in chunk]
-    ids, counts = view("ids", np.uint32), view("counts", np.uint16)
-    order = sorted(range(len(totals)), key=lambda i: (doc_ids[i], totals[i], ids[i].tobytes()[:64]))
-    data, labels_of = [(ids[i], counts[i], totals[i]) for i in order], [labelled[i] for i in order]
-    return train(data, [label == 1 for label in labels_of])
+    sent = map_batches(rows, step, "doc_id long, label int, first binary, found binary, n long").toArrow()
+    doc_ids, labelled, firsts, totals = (sent.column(c).to_pylist() for c in ("doc_id", "label", "first", "n"))
+    # Views of the collected bytes: the driver holds the sample packed, and once more as the rows that are trained on.
+    found = [v.as_buffer() for chunk in sent.column("found").chunks for v in chunk]
+    order = sorted(range(len(totals)), key=lambda i: (doc_ids[i], totals[i], firsts[i]))
+    return train(PackedRows([found[i] for i in order], [totals[i] for i in order]), [labelled[i] == 1 for i in order])
 
 
 def score(docs: DataFrame, model, id_col="doc_id", text_col="text") -> DataFrame:

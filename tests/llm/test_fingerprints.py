@@ -11,6 +11,7 @@ import corpus_pipeline
 from courtledger.llm import fingerprints, packing, pii, toxicity
 from tests.llm.test_groups import UPPER, brute_components
 
+LETTERS = str.maketrans("0123456789", "klmnopqrst")
 PAIRS = [(3, "one two three four five six\nseven eight\n\nnine ten eleven twelve"), (10, None), (7, ""), (8, "é" * 5), (2, "short"), (12, "w " * 30_000), (1, "日本 語\r\nx"), (15, "short")]
 
 
@@ -103,6 +104,30 @@ def test_toxicity(spark, written):
     assert sorted((r.doc_id, r.score) for r in toxicity.op10_toxicity(spark, flipped).collect()) == sorted((r.doc_id, r.score) for r in got)
 
 
+def test_sample_reaches_the_driver_packed(spark, written, monkeypatch):
+    rnd = random.Random(11)
+    pairs = [(i, " ".join(f"{rnd.choice('abcdefgh')}word{rnd.randrange(4000)}".translate(LETTERS) for _ in range(rnd.randrange(600)))) for i in range(240)]
+    labels = {i: int(i % 4 == 0) for i, _ in pairs}
+    path = written(pairs, [(i, 1, y) for i, y in labels.items()])
+    rows = {i: toxicity.counted(t, {}) for i, t in pairs if zlib.crc32(str(i).encode()) % 5}
+    collected, kind = [], type(spark.range(0))
+    monkeypatch.setattr(kind, "toArrow", lambda df, collect=kind.toArrow: collected.append(collect(df)) or collected[-1])
+    weights, bias = toxicity.fit(spark.read.parquet(f"{path}/documents.parquet"), spark.read.parquet(f"{path}/labels.parquet"))
+    found = sum(len(ids) for ids, _, _ in rows.values())
+    assert found > 100_000 and sum(t.num_rows for t in collected) == len(rows)
+    assert sum(t.nbytes for t in collected) < 4 * found
+    # The model is that of the rows as they were counted.
+    plain = toxicity.train([rows[i] for i in sorted(rows)], [labels[i] for i in sorted(rows)])
+    assert np.array_equal(weights, plain[0]) and weights.any() and bias == plain[1]
+
+
+@pytest.mark.parametrize("text", ["", "one", "a b " * 70_000, " ".join(f"{chr(97 + k % 26)}{chr(97 + k // 26 % 26)}xyz" for k in range(600))])
+def test_packed_rows(text):
+    ids, counts, _ = toxicity.counted(text, {})
+    again = toxicity.unpacked(toxicity.packed(ids, counts))
+    assert [a.dtype for a in again] == [ids.dtype, counts.dtype] and np.array_equal(again[0], ids) and np.array_equal(again[1], counts)
+
+
 def test_toxicity_of_odd_tables(spark, written):
     assert toxicity.op10_toxicity(spark, written([])).collect() == []
     assert {r.score for r in toxicity.op10_toxicity(spark, written([(1, "a"), (2, None)])).collect()} == {0.0}
