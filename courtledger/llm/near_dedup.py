@@ -29,6 +29,7 @@ from pyspark.sql import DataFrame, functions as F
 from ..operators.skew import own_shuffle
 from ..session import cut_lineage
 from .common import id_and_text, likely_rows, map_batches, registry, rows_without, table
+from .pretokens import of_worker
 
 QUERIES, SQL, query = registry()
 
@@ -69,15 +70,14 @@ class WordHashes(dict):
         return found
 
 
-_hashes = WordHashes()
-
-
 def shingles(text: str, n_words: int):
     """The set of a text as sorted 64-bit hashes: A-Z lower-cased, words between white space, n words each."""
     words = text.encode().lower().split()
     if not words:
         return np.zeros(0, np.uint64)
-    hashes = np.fromiter(map(_hashes.__getitem__, words), np.uint64, len(words))
+    # Of the worker, so that they go when it turns to another stage.
+    known = of_worker("word hashes", WordHashes)
+    hashes = np.fromiter(map(known.__getitem__, words), np.uint64, len(words))
     width = min(n_words, len(words))
     n = len(words) - width + 1
     total = np.full(n, width, np.uint64)

@@ -1,6 +1,7 @@
 """Exact and near duplicates, archives and the filter, against brute force."""
 
 import base64
+import gc
 import gzip
 import hashlib
 import random
@@ -9,7 +10,7 @@ from collections import defaultdict
 import numpy as np
 import pytest
 
-from courtledger.llm import dedup, fuse, near_dedup, warc
+from courtledger.llm import dedup, fuse, near_dedup, pretokens, warc
 
 UPPER = str.maketrans("ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz")
 
@@ -199,3 +200,12 @@ def test_files_hold_standard_records(spark, tmp_path):
     list(warc.convert_archives(warc.arc_files(pages), f"{tmp_path}/w").collect())
     raw = b"".join(gzip.decompress(p.read_bytes()) for p in sorted((tmp_path / "w").glob("*.gz")))
     assert raw.count(b"WARC-Type: revisit") == 4 and raw.count(b"WARC-Record-ID: <urn:uuid:") == len(PAGES)
+
+
+def test_word_hashes_go_with_the_stage():
+    kept = lambda: any(isinstance(o, near_dedup.WordHashes) and len(o) for o in gc.get_objects())
+    found = near_dedup.shingles("one two three one two three", 2)
+    assert len(found) == 3 and kept()
+    pretokens.of_worker("another stage", dict)
+    assert not kept()
+    assert list(near_dedup.shingles("one two three one two three", 2)) == list(found)
